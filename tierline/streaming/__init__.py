@@ -1,0 +1 @@
+"""Empty on purpose: every job in this package is a bounded batch."""
