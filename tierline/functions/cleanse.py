@@ -1,11 +1,14 @@
-"""Text to typed values. Text that does not convert becomes NULL, never an error."""
+"""SQL texts from text to typed values. Text that does not convert becomes NULL, never an error."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-_CASE = {"text": lambda c: c, "lower": F.lower, "upper": F.upper, "title": F.initcap}
+_TEXT = {
+    "text": "trim({c})",
+    "lower": "lower(trim({c}))",
+    "upper": "upper(trim({c}))",
+    "title": "initcap(trim({c}))",
+    "optional": "nullif(trim({c}), '')",
+}
 _SQL_TYPE = {
     "integer": "int",
     "boolean": "boolean",
@@ -14,13 +17,9 @@ _SQL_TYPE = {
 }
 
 
-def blank(name: str) -> Column:
+def blank(column: str) -> str:
     """NULL, empty or spaces only."""
-    return F.col(name).isNull() | (F.trim(F.col(name)) == "")
-
-
-def present(name: str) -> Column:
-    return ~blank(name)
+    return f"({column} IS NULL OR trim({column}) = '')"
 
 
 def sql_type(kind: str) -> str:
@@ -30,13 +29,16 @@ def sql_type(kind: str) -> str:
     return _SQL_TYPE.get(kind, "string")
 
 
-def typed(source: str, kind: str) -> Column:
-    """Trim the text column `source` and bring it to the type of `kind`."""
-    text = F.trim(F.col(source))
-    if kind in _CASE:
-        return _CASE[kind](text)
-    if kind == "optional":
-        return F.nullif(text, F.lit(""))
-    if kind == "boolean":
-        text = F.lower(text)
-    return text.try_cast(sql_type(kind))
+def converted(column: str, target: str) -> str:
+    """The trimmed text as `target`, or NULL."""
+    text = f"trim(`{column}`)"
+    if target == "boolean":
+        text = f"lower({text})"
+    return f"try_cast({text} AS {target})"
+
+
+def typed(column: str, kind: str) -> str:
+    """Trim the text column and bring it to the type of `kind`."""
+    if kind in _TEXT:
+        return _TEXT[kind].format(c=f"`{column}`")
+    return converted(column, sql_type(kind))

@@ -1,46 +1,39 @@
-"""Ratios rounded half-up on integers, so no result depends on an intermediate scale."""
+"""SQL texts for ratios rounded half-up on integers, so no intermediate scale can shift a result."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MONEY = "decimal(28,2)"
 
 
-def _whole(value: Column, digits: int) -> Column:
+def _whole(value: str, digits: int) -> str:
     """`value`, which has at most `digits` decimals, as an integer of 10**-digits units."""
-    scaled = value.cast(f"decimal({28 if digits else 38},{digits})") * F.lit(10**digits).cast("decimal(10,0)")
-    return scaled.cast("decimal(38,0)")
-
-
-def _int_div(num: Column, den: Column) -> Column:
-    return F.call_function("div", num, den)
+    if digits == 0:
+        return f"cast({value} AS decimal(38,0))"
+    return f"cast(cast({value} AS decimal(28,{digits})) * {10**digits}BD AS decimal(38,0))"
 
 
-def half_up(num: Column, den: Column, places: int, digits: int = 0) -> Column:
+def half_up(num: str, den: str, places: int, digits: int = 0) -> str:
     """round(num / den, places), half away from zero; NULL when den is 0 or NULL.
 
     `digits` is the number of decimals either operand may have.
     """
-    step = F.lit(10**places).cast("decimal(10,0)")
-    two = F.lit(2).cast("decimal(1,0)")
-    n = F.abs(_whole(num, digits)) * step * two
-    d = F.abs(_whole(den, digits))
-    sign = F.when((num < 0) != (den < 0), -1).otherwise(1)
-    units = _int_div((n + d).cast("decimal(38,0)"), (d * two).cast("decimal(38,0)"))
-    value = (units * sign).cast("decimal(20,0)") * F.lit("1e-%d" % places).cast(f"decimal({places + 1},{places})")
-    return F.when(den != 0, value.cast(f"decimal(18,{places})"))
+    top = f"abs({_whole(f'({num})', digits)})"
+    bottom = f"abs({_whole(f'({den})', digits)})"
+    units = f"cast({top} * {2 * 10**places}BD + {bottom} AS decimal(38,0)) div cast({bottom} * 2BD AS decimal(38,0))"
+    sign = f"if((({num}) < 0) <> (({den}) < 0), -1, 1)"
+    step = f"{10**-places:.{places}f}BD"
+    return f"if(({den}) <> 0, cast(cast({units} AS decimal(20,0)) * {sign} * {step} AS decimal(18,{places})), NULL)"
 
 
-def percent(part: Column, whole: Column, digits: int = 0) -> Column:
+def percent(part: str, whole: str, digits: int = 0) -> str:
     """part / whole * 100 at two decimals; NULL when whole is not positive."""
-    return F.when(whole > 0, half_up(part * 100, whole, 2, digits).cast("decimal(18,2)"))
+    return f"if(({whole}) > 0, {half_up(f'({part}) * 100', whole, 2, digits)}, NULL)"
 
 
-def mean(total: Column, count: Column, places: int = 2, digits: int = 2) -> Column:
-    return half_up(total, count, places, digits)
+def mean(value: str, places: int = 2, digits: int = 2) -> str:
+    """Average over the rows where `value` is known."""
+    return half_up(f"sum({value})", f"count({value})", places, digits)
 
 
-def money(value: Column) -> Column:
-    return F.round(value, 2).cast(MONEY)
+def money(value: str) -> str:
+    return f"cast(round({value}, 2) AS {MONEY})"

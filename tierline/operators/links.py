@@ -12,27 +12,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.cleanse import present
+from tierline.functions.cleanse import blank
+from tierline.operators.measures import add, aggregate, same
 
 NULL_LANES = 1024
 
 
-def _never_matching(row_id: str) -> Column:
-    lane = F.pmod(F.xxhash64(F.col(row_id)), F.lit(NULL_LANES))
-    return F.concat(F.lit("\u001f"), lane.cast("string"))
-
-
 def hot_key_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, row_id: str, how: str = "left"
 ) -> DataFrame:
     """Join on text keys; `right_key` is dropped from the result. `row_id` spreads NULL keys."""
-    key = F.coalesce(F.col(left_key), _never_matching(row_id)) if how == "left" else F.col(left_key)
-    keyed = left.withColumn("_key", key).withColumn("_key_hash", F.xxhash64("_key"))
-    keyed_right = right.withColumn("_ref_hash", F.xxhash64(right_key))
-    on = (F.col("_key") == F.col(right_key)) & (F.col("_key_hash") == F.col("_ref_hash"))
+    key = left_key
+    if how == "left":
+        # No trimmed key starts with a control character, so these texts match nothing.
+        key = f"coalesce({left_key}, concat(char(31), pmod(xxhash64({row_id}), {NULL_LANES})))"
+    keyed = add(left, {"_key": key, "_key_hash": f"xxhash64({key})"})
+    keyed_right = add(right, {"_ref_hash": f"xxhash64({right_key})"})
+    on = F.expr(f"_key = {right_key} AND _key_hash = _ref_hash")
     return keyed.join(keyed_right, on, how).drop("_key", "_key_hash", "_ref_hash", right_key)
 
 
@@ -50,39 +49,36 @@ def link(
     The child keeps its row count: the parent side holds one row per key.
     """
     carry = dict(carry or {})
-    ref = parent.select(F.col(parent_key).alias("_ref"), *[F.col(c).alias(n) for c, n in carry.items()])
-    ref = ref.filter(F.col("_ref").isNotNull())
+    ref = parent.filter(f"{parent_key} IS NOT NULL")
     if carry:
-        ref = ref.groupBy("_ref").agg(*[F.min(n).alias(n) for n in carry.values()])
+        ref = aggregate(ref, {"_ref": parent_key}, {new: f"min({old})" for old, new in carry.items()})
     else:
-        ref = ref.distinct()
-    ref = ref.withColumn("_found", F.col("_ref"))
-    joined = hot_key_join(child, ref, child_key, "_ref", row_id)
-    return joined.withColumn(flag, F.col("_found").isNotNull()).drop("_found")
+        ref = ref.selectExpr(f"{parent_key} AS _ref").distinct()
+    joined = hot_key_join(child, add(ref, {"_found": "_ref"}), child_key, "_ref", row_id)
+    return add(joined, {flag: "_found IS NOT NULL"}).drop("_found")
 
 
-def attach_group(df: DataFrame, keys: list[str], row_id: str, **stats: Column) -> DataFrame:
+def attach_group(df: DataFrame, keys: list[str], row_id: str, stats: Mapping[str, str]) -> DataFrame:
     """Give each row the aggregates of its group; rows with NULL keys form groups of their own.
 
     Stands in for whole-partition window functions, which would hold a hot group in one task:
     the groups are pre-aggregated on the map side and joined back.
     """
     # Length-prefixed, so no two key tuples share a text and NULL differs from any value.
-    parts = [F.coalesce(F.concat(F.length(k).cast("string"), F.lit(":"), F.col(k)), F.lit("-")) for k in keys]
-    group = F.concat(*parts)
-    marked = df.withColumn("_group", group)
-    grouped = marked.groupBy(F.col("_group").alias("_group_ref")).agg(*[c.alias(n) for n, c in stats.items()])
+    parts = ", ".join(f"coalesce(concat(length({k}), ':', {k}), '-')" for k in keys)
+    marked = add(df, {"_group": f"concat({parts})"})
+    grouped = aggregate(marked, {"_group_ref": "_group"}, stats)
     return hot_key_join(marked, grouped, "_group", "_group_ref", row_id).drop("_group")
 
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row (duplicate_groups): how many key values occur more than once."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return groups.agg(F.count_if(F.col("_n") > 1).alias("duplicate_groups"))
+    groups = aggregate(df, same(*keys), {"_n": "count(*)"})
+    return groups.selectExpr("count_if(_n > 1) AS duplicate_groups")
 
 
 def _keys(df: DataFrame, key: str) -> DataFrame:
-    return df.select(F.trim(F.col(key)).alias("_id")).filter(present("_id")).distinct()
+    return df.selectExpr(f"trim({key}) AS _id").filter(f"NOT {blank('_id')}").distinct()
 
 
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -91,14 +87,11 @@ def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
 
 
 def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """One row (null_values, orphan_values, row_count); children are counted per key before the join."""
-    counted = child.groupBy(F.col(child_key).alias("_fk")).agg(F.count("*").alias("_n"))
-    parents = parent.select(F.col(parent_key).alias("_pk")).filter(F.col("_pk").isNotNull()).distinct()
-    known = counted.join(parents, F.col("_fk") == F.col("_pk"), "left")
-    missing = F.col("_fk").isNotNull() & F.col("_pk").isNull()
-    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0)).cast("bigint")
-    return known.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("row_count"),
-        total(F.col("_fk").isNull()).alias("null_values"),
-        total(missing).alias("orphan_values"),
+    """One row (row_count, null_values, orphan_values); children are counted per key before the join."""
+    counted = aggregate(child, {"_fk": child_key}, {"_n": "count(*)"})
+    parents = parent.selectExpr(f"{parent_key} AS _pk").filter("_pk IS NOT NULL").distinct()
+    return counted.join(parents, F.expr("_fk = _pk"), "left").selectExpr(
+        "coalesce(sum(_n), 0) AS row_count",
+        "coalesce(sum(_n) FILTER (WHERE _fk IS NULL), 0) AS null_values",
+        "coalesce(sum(_n) FILTER (WHERE _fk IS NOT NULL AND _pk IS NULL), 0) AS orphan_values",
     )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tierline.functions.exact import half_up
+from tierline.operators.measures import add, aggregate, same
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -17,7 +17,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
     long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (columna, valor)")
-    return long.groupBy("columna", "valor").agg(F.count("*").alias("n"))
+    return aggregate(long, same("columna", "valor"), {"n": "count(*)"})
 
 
 def first_values(counts: DataFrame, k: int = 10) -> DataFrame:
@@ -25,12 +25,11 @@ def first_values(counts: DataFrame, k: int = 10) -> DataFrame:
 
     Ranking keeps k rows per column before the shuffle, so nothing unbounded is collected.
     """
-    ranked = counts.filter(F.col("valor").isNotNull()).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("columna").orderBy("valor"))
+    ranked = add(
+        counts.filter("valor IS NOT NULL"), {"_rank": "row_number() OVER (PARTITION BY columna ORDER BY valor)"}
     )
-    kept = ranked.filter(F.col("_rank") <= k)
-    listed = F.sort_array(F.collect_list(F.struct("_rank", "valor")))
-    return kept.groupBy("columna").agg(F.concat_ws(", ", listed["valor"]).alias("ejemplos"))
+    listed = "sort_array(collect_list(struct(_rank, valor))).valor"
+    return aggregate(ranked.filter(f"_rank <= {k}"), same("columna"), {"ejemplos": f"concat_ws(', ', {listed})"})
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -39,13 +38,11 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     Only 8-byte row hashes are shuffled for the whole table; full rows are compared just for the
     hashes that repeat, so hash collisions cannot change the count.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
-    repeated = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("_hash")
-    same = hashed.join(repeated, "_hash", "left_semi").groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    return same.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicados"))
-
-
-_STATISTICS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
+    hashed = add(df, {"_hash": f"xxhash64({', '.join(f'`{c}`' for c in df.columns)})"})
+    repeated = aggregate(hashed, same("_hash"), {"_n": "count(*)"}).filter("_n > 1").select("_hash")
+    suspects = hashed.join(repeated, "_hash", "left_semi")
+    groups = suspects.groupBy(*df.columns).agg(F.expr("count(*) AS _n"))
+    return groups.selectExpr("coalesce(sum(_n - 1), 0) AS duplicados")
 
 
 def describe(df: DataFrame, column: str, digits: int) -> DataFrame:
@@ -54,26 +51,28 @@ def describe(df: DataFrame, column: str, digits: int) -> DataFrame:
     Values are counted first, so the exact percentiles hold one entry per distinct value; meant for
     columns with few distinct values, such as an age or a score with fixed decimals.
     """
-    counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    v, weight = F.col("v").cast(f"decimal(12,{digits})"), F.col("n")
-    number = F.coalesce(F.sum(weight), F.lit(0))
-    total, squares = F.sum(v * weight), F.sum(v * v * weight)
-    spread = (squares - total * total / number).cast("double") / (number - 1)
-    at = lambda p: F.expr(f"percentile(cast(v AS double), {p}, n)")
-    measures: list[Column] = [
-        number.cast("decimal(28,4)"),
-        half_up(total, number, 4, digits),
-        F.when(number > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))),
-        F.min("v"),
-        at(0.25),
-        at(0.5),
-        at(0.75),
-        F.max("v"),
-    ]
-    names = [f"_{i}" for i in range(len(measures))]
-    wide = counted.agg(*[F.round(m, 4).cast("decimal(28,4)").alias(c) for m, c in zip(measures, names, strict=True)])
-    pairs = ", ".join(f"'{s}', {c}" for s, c in zip(_STATISTICS, names, strict=True))
-    return wide.selectExpr(f"stack({len(names)}, {pairs}) AS (estadistica, valor)")
+    known = df.filter(f"{column} IS NOT NULL")
+    counted = aggregate(known, {"v": f"cast({column} AS decimal(12,{digits}))"}, {"n": "count(*)"})
+    total = aggregate(
+        counted,
+        {},
+        {
+            "rows": "coalesce(sum(n), 0)",
+            "mean": half_up("sum(v * n)", "sum(n)", 4, digits),
+            "spread": "(sum(v * v * n) - sum(v * n) * sum(v * n) / sum(n)) / (sum(n) - 1)",
+            "low": "min(v)",
+            **{f"p{p}": f"percentile(cast(v AS double), {p / 100}, n)" for p in (25, 50, 75)},
+            "high": "max(v)",
+        },
+    )
+    number = lambda sql: f"cast(round({sql}, 4) AS decimal(28,4))"
+    # Names of the statistics.
+    statistics = {
+        "count": "rows", "mean": "mean", "std": "if(rows > 1, sqrt(greatest(cast(spread AS double), 0)), NULL)",
+        "min": "low", "25%": "p25", "50%": "p50", "75%": "p75", "max": "high",
+    }
+    pairs = ", ".join(f"'{name}', {number(sql)}" for name, sql in statistics.items())
+    return total.selectExpr(f"stack({len(statistics)}, {pairs}) AS (estadistica, valor)")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
@@ -81,17 +80,13 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
     Empty bins are listed with 0. Values have two decimals; bin numbers come from whole cents.
     """
-    cents = df.filter(F.col(column).isNotNull()).select((F.col(column) * 100).cast("bigint").alias("v"))
-    counted = cents.groupBy("v").agg(F.count("*").alias("n"))
-    edges = counted.agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    spot = F.expr(f"if(high = low, 0, least({bins - 1}, (v - low) * {bins} div (high - low)))")
-    filled = counted.crossJoin(edges).groupBy(spot.alias("b")).agg(F.sum("n").alias("n"))
-    all_bins = edges.filter("low IS NOT NULL").select("low", "high", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    edge = lambda i: F.expr(f"cast((low * {bins} + (high - low) * ({i})) / {100 * bins} AS decimal(18,4))")
-    joined = all_bins.join(filled, F.col("bin") == F.col("b"), "left")
-    return joined.select(
-        F.col("bin").cast("bigint").alias("bin"),
-        edge("bin").alias("desde"),
-        edge("bin + 1").alias("hasta"),
-        F.coalesce("n", F.lit(0)).alias("cantidad"),
+    known = df.filter(f"{column} IS NOT NULL")
+    counted = aggregate(known, {"v": f"cast({column} * 100 AS bigint)"}, {"n": "count(*)"})
+    edges = aggregate(counted, {}, {"low": "min(v)", "high": "max(v)"}).filter("low IS NOT NULL")
+    spot = f"if(high = low, 0, least({bins - 1}, (v - low) * {bins} div (high - low)))"
+    filled = aggregate(counted.crossJoin(edges), {"b": spot}, {"n": "sum(n)"})
+    all_bins = edges.selectExpr("low", "high", f"explode(sequence(0L, {bins - 1}L)) AS bin")
+    edge = lambda i: f"cast((low * {bins} + (high - low) * ({i})) / {100 * bins}BD AS decimal(18,4))"
+    return all_bins.join(filled, F.expr("bin = b"), "left").selectExpr(
+        "bin", f"{edge('bin')} AS desde", f"{edge('bin + 1')} AS hasta", "coalesce(n, 0) AS cantidad"
     )

@@ -5,43 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.exact import money, percent
+from tierline.functions.exact import MONEY, money, percent
 from tierline.operators.links import hot_key_join
-from tierline.operators.measures import full_name, n, per_code, rows, sums, zero_filled
+from tierline.operators.measures import FULL_NAME, add, aggregate, count_of, n, per_code, same, sums, zero
 
 _CUSTOMER = ["customer_id", "external_ref", "customer_name", "email", "country", "segment", "is_student_linked"]
 
 
 def _customers(layers) -> DataFrame:
-    return layers.silver("customers").select(
-        "customer_id", "external_ref", full_name().alias("customer_name"), "email", "country", "segment",
+    return layers.silver("customers").selectExpr(
+        "customer_id", "external_ref", f"{FULL_NAME} AS customer_name", "email", "country", "segment",
         "is_student_linked",
     )
 
 
 def invoice_items_by_invoice(layers) -> DataFrame:
-    return layers.silver("invoice_items").groupBy("invoice_id").agg(
-        rows().alias("item_count"),
-        money(F.sum("line_total")).alias("items_reported_total"),
-        money(F.sum("calculated_line_total")).alias("items_calculated_total"),
-        F.bool_and("is_quantity_valid").alias("all_quantities_valid"),
-        F.bool_and("is_unit_price_valid").alias("all_unit_prices_valid"),
-        F.bool_and("is_line_total_valid").alias("all_line_totals_valid"),
+    return aggregate(
+        layers.silver("invoice_items"),
+        same("invoice_id"),
+        {
+            "item_count": "count(*)",
+            "items_reported_total": money("sum(line_total)"),
+            "items_calculated_total": money("sum(calculated_line_total)"),
+            "all_quantities_valid": "bool_and(is_quantity_valid)",
+            "all_unit_prices_valid": "bool_and(is_unit_price_valid)",
+            "all_line_totals_valid": "bool_and(is_line_total_valid)",
+        },
     )
 
 
 def payments_by_invoice(layers) -> DataFrame:
     """Valid linked payments per invoice. Methods are counted from per-(invoice, method) rows."""
-    valid = layers.silver("payments").filter("is_amount_valid AND is_invoice_linked")
-    per_method = valid.groupBy("invoice_id", "method").agg(
-        rows().alias("_n"), F.sum("amount").alias("_paid"), F.min("paid_at").alias("_first"), F.max("paid_at").alias("_last")
+    per_method = aggregate(
+        layers.silver("payments").filter("is_amount_valid AND is_invoice_linked"),
+        same("invoice_id", "method"),
+        {"_n": "count(*)", "_sum": "sum(amount)", "_first": "min(paid_at)", "_last": "max(paid_at)"},
     )
-    return per_method.groupBy("invoice_id").agg(
-        F.sum("_n").alias("payment_count"),
-        money(F.sum("_paid")).alias("amount_paid"),
-        F.min("_first").alias("first_payment_date"),
-        F.max("_last").alias("last_payment_date"),
-        F.count("method").alias("payment_method_count"),
+    return aggregate(
+        per_method,
+        same("invoice_id"),
+        {
+            "payment_count": "sum(_n)",
+            "amount_paid": money("sum(_sum)"),
+            "first_payment_date": "min(_first)",
+            "last_payment_date": "max(_last)",
+            "payment_method_count": "count(method)",
+        },
     )
 
 
@@ -50,17 +59,16 @@ def invoice_detail(layers) -> DataFrame:
 
     All three sides are grouped or keyed by invoice, so they share one partitioning.
     """
-    items = layers.gold("invoice_items_by_invoice").select(
-        F.col("invoice_id").alias("_billed"), "item_count", "items_reported_total", "items_calculated_total"
+    items = layers.gold("invoice_items_by_invoice").selectExpr(
+        "invoice_id AS _billed", "item_count", "items_reported_total", "items_calculated_total"
     )
     paid = layers.gold("payments_by_invoice").withColumnRenamed("invoice_id", "_paid")
     joined = (
         layers.silver("invoices")
-        .join(items, F.col("invoice_id") == F.col("_billed"), "left")
-        .join(paid, F.col("invoice_id") == F.col("_paid"), "left")
-        .withColumn("_got", F.coalesce("amount_paid", F.lit(0).cast("decimal(28,2)")))
+        .join(items, F.expr("invoice_id = _billed"), "left")
+        .join(paid, F.expr("invoice_id = _paid"), "left")
     )
-    return joined.selectExpr(
+    return add(joined, {"_got": f"coalesce(amount_paid, cast(0 AS {MONEY}))"}).selectExpr(
         "invoice_id",
         "customer_id",
         "currency",
@@ -68,10 +76,10 @@ def invoice_detail(layers) -> DataFrame:
         "issued_at",
         "due_at",
         "total AS invoice_total",
-        "coalesce(item_count, 0) AS item_count",
+        *zero(["item_count"]),
         "items_reported_total",
         "items_calculated_total",
-        "coalesce(payment_count, 0) AS payment_count",
+        *zero(["payment_count"]),
         "_got AS amount_paid",
         "first_payment_date",
         "last_payment_date",
@@ -79,10 +87,10 @@ def invoice_detail(layers) -> DataFrame:
         "_billed IS NULL AS is_without_items",
         "if(_billed IS NULL, NULL, coalesce(abs(total - items_reported_total) <= 0.01, false))"
         " AS does_invoice_match_items",
-        "cast(if(_billed IS NULL, NULL, total - items_reported_total) AS decimal(28,2)) AS invoice_item_difference",
-        "cast(total - _got AS decimal(28,2)) AS net_balance_amount",
-        "cast(greatest(total - _got, 0) AS decimal(28,2)) AS outstanding_amount",
-        "cast(greatest(_got - total, 0) AS decimal(28,2)) AS overpaid_amount",
+        f"cast(total - items_reported_total AS {MONEY}) AS invoice_item_difference",
+        f"cast(total - _got AS {MONEY}) AS net_balance_amount",
+        f"cast(greatest(total - _got, 0) AS {MONEY}) AS outstanding_amount",
+        f"cast(greatest(_got - total, 0) AS {MONEY}) AS overpaid_amount",
         "CASE WHEN _got - total > 0.01 THEN 'overpaid' WHEN _got - total >= -0.01 THEN 'exactly_paid'"
         " ELSE 'underpaid' END AS payment_balance_status",
         "coalesce(status = 'paid' AND total - _got > 0.01, false) AS is_paid_status_underpaid",
@@ -92,37 +100,41 @@ def invoice_detail(layers) -> DataFrame:
 
 def _per_customer_currency(layers) -> DataFrame:
     """Invoices rolled up to (customer, currency) before any customer attribute is attached."""
-    balance = {f"{s}_invoice_count": s for s in ("overpaid", "exactly_paid", "underpaid")}
-    status = {f"{s}_invoice_count": s for s in ("paid", "pending", "overdue")}
-    grouped = layers.gold("invoice_detail").groupBy(F.col("customer_id").alias("_customer"), "currency")
-    return grouped.agg(
-        rows().alias("invoice_count"),
-        *per_code("status", status),
-        money(F.sum("invoice_total")).alias("total_invoiced"),
-        money(F.sum("amount_paid")).alias("total_paid"),
-        money(F.sum("net_balance_amount")).alias("net_balance_amount"),
-        money(F.sum("overpaid_amount")).alias("overpaid_amount"),
-        *per_code("payment_balance_status", balance),
-        n("is_paid_status_underpaid").alias("paid_status_but_underpaid_count"),
-        n("is_open_status_fully_paid").alias("open_status_but_fully_paid_count"),
-        money(F.sum("outstanding_amount")).alias("outstanding_amount"),
-        F.sum("payment_count").alias("payment_count"),
-        n("payment_count > 0").alias("invoices_with_payment"),
-        n("payment_count = 0").alias("invoices_without_payment"),
-        n("is_without_items").alias("invoices_without_items"),
-        n("does_invoice_match_items").alias("invoices_matching_item_total"),
-        n("NOT does_invoice_match_items").alias("invoices_not_matching_item_total"),
-        money(F.sum(F.abs("invoice_item_difference"))).alias("total_absolute_item_difference"),
-        F.min("issued_at").alias("first_invoice_date"),
-        F.max("issued_at").alias("last_invoice_date"),
-        F.max("last_payment_date").alias("last_payment_date"),
+    return aggregate(
+        layers.gold("invoice_detail"),
+        {"_customer": "customer_id", "currency": "currency"},
+        {
+            "invoice_count": "count(*)",
+            **per_code("status", {f"{s}_invoice_count": s for s in ("paid", "pending", "overdue")}),
+            "total_invoiced": money("sum(invoice_total)"),
+            "total_paid": money("sum(amount_paid)"),
+            "net_balance_amount": money("sum(net_balance_amount)"),
+            "overpaid_amount": money("sum(overpaid_amount)"),
+            **per_code(
+                "payment_balance_status",
+                {f"{s}_invoice_count": s for s in ("overpaid", "exactly_paid", "underpaid")},
+            ),
+            "paid_status_but_underpaid_count": n("is_paid_status_underpaid"),
+            "open_status_but_fully_paid_count": n("is_open_status_fully_paid"),
+            "outstanding_amount": money("sum(outstanding_amount)"),
+            "payment_count": "sum(payment_count)",
+            "invoices_with_payment": n("payment_count > 0"),
+            "invoices_without_payment": n("payment_count = 0"),
+            "invoices_without_items": n("is_without_items"),
+            "invoices_matching_item_total": n("does_invoice_match_items"),
+            "invoices_not_matching_item_total": n("NOT does_invoice_match_items"),
+            "total_absolute_item_difference": money("sum(abs(invoice_item_difference))"),
+            "first_invoice_date": "min(issued_at)",
+            "last_invoice_date": "max(issued_at)",
+            "last_payment_date": "max(last_payment_date)",
+        },
     )
 
 
 def customer_billing_summary(layers) -> DataFrame:
     """One row per (customer, currency); customers without invoices have none."""
     metrics = _per_customer_currency(layers)
-    joined = _customers(layers).join(metrics, F.col("customer_id") == F.col("_customer"))
+    joined = _customers(layers).join(metrics, F.expr("customer_id = _customer"))
     return joined.select(*_CUSTOMER, *[c for c in metrics.columns if c != "_customer"])
 
 
@@ -135,79 +147,75 @@ _SUBSCRIPTION_COUNTS = [
     "subscriptions_to_active_products", "subscriptions_to_inactive_products",
     "active_subscriptions_to_inactive_products",
 ]
+_SUBSCRIPTION_DATES = [
+    "first_subscription_date", "latest_subscription_start_date", "latest_subscription_end_date",
+]
 
 
 def customer_subscription_summary(layers) -> DataFrame:
     """One row per customer. Subscriptions are grouped by (customer, product) before products are
     joined: the distinct product counts become row counts and a popular product shrinks first."""
-    status = {f"{s}_subscriptions": s for s in ("active", "paused", "cancelled")}
-    per_product = layers.silver("subscriptions").groupBy("customer_id", "product_id").agg(
-        rows().alias("total_subscriptions"),
-        *per_code("status", status),
-        n("NOT is_temporally_valid").alias("temporally_invalid_subscriptions"),
-        F.min("start_date").alias("_first"),
-        F.max("start_date").alias("_latest"),
-        F.max("end_date").alias("_latest_end"),
-    )
-    products = layers.silver("products").select(F.col("product_id").alias("_product"), "active")
-    known = hot_key_join(per_product, products, "product_id", "_product", "customer_id")
-    total_if = lambda value, cond: F.coalesce(F.sum(F.when(F.expr(cond), F.col(value))), F.lit(0))
-    metrics = known.groupBy(F.col("customer_id").alias("_customer")).agg(
-        *[F.sum(c).alias(c) for c in _SUBSCRIPTION_SUMS],
-        F.count("product_id").alias("distinct_products"),
-        n("product_id IS NOT NULL AND active_subscriptions > 0").alias("active_distinct_products"),
-        total_if("total_subscriptions", "active").alias("subscriptions_to_active_products"),
-        total_if("total_subscriptions", "NOT active").alias("subscriptions_to_inactive_products"),
-        total_if("active_subscriptions", "NOT active").alias("active_subscriptions_to_inactive_products"),
-        F.min("_first").alias("first_subscription_date"),
-        F.max("_latest").alias("latest_subscription_start_date"),
-        F.max("_latest_end").alias("latest_subscription_end_date"),
+    per_product = aggregate(
+        layers.silver("subscriptions"),
+        same("customer_id", "product_id"),
+        {
+            "total_subscriptions": "count(*)",
+            **per_code("status", {f"{s}_subscriptions": s for s in ("active", "paused", "cancelled")}),
+            "temporally_invalid_subscriptions": n("NOT is_temporally_valid"),
+            "_first": "min(start_date)",
+            "_latest": "max(start_date)",
+            "_latest_end": "max(end_date)",
+        },
     )
-    return _customers(layers).join(metrics, F.col("customer_id") == F.col("_customer"), "left").select(
-        *_CUSTOMER,
-        *zero_filled(_SUBSCRIPTION_COUNTS),
-        "first_subscription_date",
-        "latest_subscription_start_date",
-        "latest_subscription_end_date",
+    products = layers.reference("products", "product_id", "active").withColumnRenamed("product_id", "_product")
+    metrics = aggregate(
+        hot_key_join(per_product, products, "product_id", "_product", "customer_id"),
+        {"_customer": "customer_id"},
+        {
+            **{c: f"sum({c})" for c in _SUBSCRIPTION_SUMS},
+            "distinct_products": "count(product_id)",
+            "active_distinct_products": n("product_id IS NOT NULL AND active_subscriptions > 0"),
+            "subscriptions_to_active_products": count_of("total_subscriptions", "active"),
+            "subscriptions_to_inactive_products": count_of("total_subscriptions", "NOT active"),
+            "active_subscriptions_to_inactive_products": count_of("active_subscriptions", "NOT active"),
+            "first_subscription_date": "min(_first)",
+            "latest_subscription_start_date": "max(_latest)",
+            "latest_subscription_end_date": "max(_latest_end)",
+        },
     )
+    joined = _customers(layers).join(metrics, F.expr("customer_id = _customer"), "left")
+    return joined.selectExpr(*_CUSTOMER, *zero(_SUBSCRIPTION_COUNTS), *_SUBSCRIPTION_DATES)
 
 
 # KPI column -> column of the billing summary
 _INVOICE_SUMS = {
-    "total_invoices": "invoice_count",
-    "paid_invoices": "paid_invoice_count",
-    "pending_invoices": "pending_invoice_count",
-    "overdue_invoices": "overdue_invoice_count",
+    **{f"{s}_invoices": f"{s}_invoice_count" for s in ("paid", "pending", "overdue")},
     "total_payments": "payment_count",
 }
 _BALANCE_SUMS = {
-    "overpaid_invoices": "overpaid_invoice_count",
-    "exactly_paid_invoices": "exactly_paid_invoice_count",
-    "underpaid_invoices": "underpaid_invoice_count",
+    **{f"{s}_invoices": f"{s}_invoice_count" for s in ("overpaid", "exactly_paid", "underpaid")},
     "paid_status_but_underpaid": "paid_status_but_underpaid_count",
     "open_status_but_fully_paid": "open_status_but_fully_paid_count",
-    "invoices_without_items": "invoices_without_items",
-    "invoices_matching_item_total": "invoices_matching_item_total",
-    "invoices_not_matching_item_total": "invoices_not_matching_item_total",
+    **same("invoices_without_items", "invoices_matching_item_total", "invoices_not_matching_item_total"),
 }
-ROLLUP = {**_INVOICE_SUMS, **_BALANCE_SUMS}
+ROLLUP = {"total_invoices": "invoice_count", **_INVOICE_SUMS, **_BALANCE_SUMS}
+_AMOUNTS = ("total_invoiced", "total_paid", "net_balance_amount", "outstanding_amount", "overpaid_amount")
 
 
 def billing_currency_kpis(layers) -> DataFrame:
     """One row per currency. The summary has one row per (customer, currency), so its rows are the customers."""
-    amounts = ["total_invoiced", "total_paid", "net_balance_amount", "outstanding_amount", "overpaid_amount"]
-    totals = layers.gold("customer_billing_summary").groupBy("currency").agg(
-        F.count("customer_id").alias("customers"),
-        *sums(_INVOICE_SUMS),
-        *[money(F.sum(c)).alias(c) for c in amounts],
-        *sums(_BALANCE_SUMS),
-    )
-    whole = F.col("total_invoices")
-    checked = F.col("invoices_matching_item_total") + F.col("invoices_not_matching_item_total")
-    return totals.withColumns(
+    totals = aggregate(
+        layers.gold("customer_billing_summary"),
+        same("currency"),
         {
-            **{f"{s}_invoice_rate_pct": percent(F.col(f"{s}_invoices"), whole)
-               for s in ("paid", "overdue", "overpaid", "underpaid")},
-            "invoice_item_mismatch_rate_pct": percent(F.col("invoices_not_matching_item_total"), checked),
-        }
+            "customers": "count(customer_id)",
+            **sums({"total_invoices": "invoice_count", **_INVOICE_SUMS}),
+            **{c: money(f"sum({c})") for c in _AMOUNTS},
+            **sums(_BALANCE_SUMS),
+        },
     )
+    rates = {f"{s}_invoice_rate_pct": percent(f"{s}_invoices", "total_invoices")
+             for s in ("paid", "overdue", "overpaid", "underpaid")}
+    checked = "invoices_matching_item_total + invoices_not_matching_item_total"
+    rates["invoice_item_mismatch_rate_pct"] = percent("invoices_not_matching_item_total", checked)
+    return add(totals, rates)

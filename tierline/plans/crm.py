@@ -7,67 +7,82 @@ from pyspark.sql import functions as F
 
 from tierline.functions.exact import mean, money, percent
 from tierline.operators.links import hot_key_join
-from tierline.operators.measures import n, per_code, rows, sum_if, zero_filled
+from tierline.operators.measures import add, aggregate, n, per_code, same, sum_if, zero
 
 _OPEN = "stage NOT IN ('won', 'lost')"
-_STAGES = ("prospect", "qualification", "proposal", "negotiation", "won", "lost")
-_ROLES = ("decision_maker", "end_user", "financial", "influencer", "technical")
-_TYPES = ("call", "demo", "email", "meeting", "note")
+_STAGES = {f"{s}_opportunities": s for s in ("prospect", "qualification", "proposal", "negotiation", "won", "lost")}
+_ROLES = {
+    f"{r}_relationships": r for r in ("decision_maker", "end_user", "financial", "influencer", "technical")
+}
+_TYPES = {f"{t}_activities": t for t in ("call", "demo", "email", "meeting", "note")}
+
+_CONTACT_COUNTS = {
+    "total_contacts": "count(*)",
+    "contacts_with_email": n("is_email_present"),
+    "contacts_without_email": n("NOT is_email_present"),
+}
 
 
 def contact_metrics(layers) -> DataFrame:
-    return layers.silver("contacts").filter("is_account_linked").groupBy("account_id").agg(
-        rows().alias("total_contacts"),
-        n("is_email_present").alias("contacts_with_email"),
-        n("NOT is_email_present").alias("contacts_without_email"),
-        F.min("created_at").alias("first_contact_created_at"),
-        F.max("created_at").alias("latest_contact_created_at"),
-    )
+    dates = {"first_contact_created_at": "min(created_at)", "latest_contact_created_at": "max(created_at)"}
+    linked = layers.silver("contacts").filter("is_account_linked")
+    return aggregate(linked, same("account_id"), {**_CONTACT_COUNTS, **dates})
+
+
+_OPPORTUNITY_COUNTS = {
+    "total_opportunities": "count(*)",
+    **per_code("stage", _STAGES),
+    "open_opportunities": n(_OPEN),
+    "temporally_invalid_opportunities": n("NOT is_temporally_valid"),
+}
+_AMOUNTS = {
+    "total_crm_opportunity_amount": "true",
+    "won_crm_amount": "stage = 'won'",
+    "lost_crm_amount": "stage = 'lost'",
+    "open_pipeline_crm_amount": _OPEN,
+}
 
 
 def opportunity_metrics(layers) -> DataFrame:
-    linked = layers.silver("opportunities").filter("is_account_linked")
-    amount = lambda cond: money(sum_if("amount", f"is_amount_valid AND {cond}"))
-    return linked.groupBy("account_id").agg(
-        rows().alias("total_opportunities"),
-        *per_code("stage", {f"{s}_opportunities": s for s in _STAGES}),
-        n(_OPEN).alias("open_opportunities"),
-        n("NOT is_temporally_valid").alias("temporally_invalid_opportunities"),
-        amount("true").alias("total_crm_opportunity_amount"),
-        amount("stage = 'won'").alias("won_crm_amount"),
-        amount("stage = 'lost'").alias("lost_crm_amount"),
-        amount(_OPEN).alias("open_pipeline_crm_amount"),
-        mean(sum_if("amount", "is_amount_valid"), n("is_amount_valid")).alias("average_crm_opportunity_amount"),
-        F.min("created_at").alias("first_opportunity_created_at"),
-        F.max("created_at").alias("latest_opportunity_created_at"),
-        F.min("close_date").alias("earliest_close_date"),
-        F.max("close_date").alias("latest_close_date"),
+    return aggregate(
+        layers.silver("opportunities").filter("is_account_linked"),
+        same("account_id"),
+        {
+            **_OPPORTUNITY_COUNTS,
+            **{name: money(sum_if("amount", f"is_amount_valid AND {cond}")) for name, cond in _AMOUNTS.items()},
+            "average_crm_opportunity_amount": mean("if(is_amount_valid, amount, NULL)"),
+            "first_opportunity_created_at": "min(created_at)",
+            "latest_opportunity_created_at": "max(created_at)",
+            "earliest_close_date": "min(close_date)",
+            "latest_close_date": "max(close_date)",
+        },
     )
 
 
-_RELATION_SUMS = [
-    "opportunity_contact_relationships", "same_account_relationships", "different_account_relationships",
-    *[f"{r}_relationships" for r in _ROLES],
-]
+_RELATION_COUNTS = {
+    "opportunity_contact_relationships": "count(*)",
+    "same_account_relationships": n("is_same_account"),
+    "different_account_relationships": n("NOT is_same_account"),
+}
 
 
 def opportunity_contact_metrics(layers) -> DataFrame:
-    """Per account of the opportunity. Relations are summed per (opportunity, contact) first, then the
-    opportunity's account is attached, then per (account, contact): no distinct runs on raw rows."""
+    """Per account of the opportunity. Relations are summed per (opportunity, contact) before the
+    opportunity's account is attached, so the distinct counts see each pair once."""
+    counts = {**_RELATION_COUNTS, **per_code("role", _ROLES)}
     linked = layers.silver("opportunity_contacts").filter("is_opportunity_linked AND is_contact_linked")
-    pairs = linked.groupBy("opportunity_id", "contact_id").agg(
-        rows().alias("opportunity_contact_relationships"),
-        n("is_same_account").alias("same_account_relationships"),
-        n("NOT is_same_account").alias("different_account_relationships"),
-        *per_code("role", {f"{r}_relationships": r for r in _ROLES}),
-    )
-    owners = layers.silver("opportunities").select(F.col("opportunity_id").alias("_deal"), "account_id")
-    owned = hot_key_join(pairs, owners, "opportunity_id", "_deal", "contact_id", how="inner")
-    return owned.groupBy("account_id").agg(
-        *[F.sum(c).alias(c) for c in _RELATION_SUMS[:3]],
-        F.count_distinct("opportunity_id").alias("opportunities_with_contacts"),
-        F.count_distinct("contact_id").alias("distinct_contacts_in_opportunities"),
-        *[F.sum(c).alias(c) for c in _RELATION_SUMS[3:]],
+    pairs = aggregate(linked, same("opportunity_id", "contact_id"), counts)
+    owners = layers.reference("opportunities", "opportunity_id", "account_id")
+    owners = owners.withColumnRenamed("opportunity_id", "_deal")
+    return aggregate(
+        hot_key_join(pairs, owners, "opportunity_id", "_deal", "contact_id", how="inner"),
+        same("account_id"),
+        {
+            **{c: f"sum({c})" for c in _RELATION_COUNTS},
+            "opportunities_with_contacts": "count(DISTINCT opportunity_id)",
+            "distinct_contacts_in_opportunities": "count(DISTINCT contact_id)",
+            **{c: f"sum({c})" for c in _ROLES},
+        },
     )
 
 
@@ -76,12 +91,8 @@ def activity_assignment(layers) -> DataFrame:
 
     A linked opportunity without an account leaves the activity unassigned.
     """
-    people = layers.silver("contacts").select(
-        F.col("contact_id").alias("_person"), F.col("account_id").alias("_person_account")
-    )
-    deals = layers.silver("opportunities").select(
-        F.col("opportunity_id").alias("_deal"), F.col("account_id").alias("_deal_account")
-    )
+    people = layers.reference("contacts", "contact_id", "account_id").toDF("_person", "_person_account")
+    deals = layers.reference("opportunities", "opportunity_id", "account_id").toDF("_deal", "_deal_account")
     joined = hot_key_join(layers.silver("activities"), people, "contact_id", "_person", "activity_id")
     joined = hot_key_join(joined, deals, "opportunity_id", "_deal", "activity_id")
     both = "is_contact_linked AND is_opportunity_linked"
@@ -98,49 +109,37 @@ def activity_assignment(layers) -> DataFrame:
     )
 
 
-def activity_metrics(layers) -> DataFrame:
-    assigned = layers.gold("activity_assignment").filter("assigned_account_id IS NOT NULL")
-    references = ("contact_only", "opportunity_only", "contact_and_opportunity")
-    return assigned.groupBy(F.col("assigned_account_id").alias("account_id")).agg(
-        rows().alias("total_activities"),
-        *per_code("activity_type", {f"{t}_activities": t for t in _TYPES}),
-        *per_code("reference_type", {f"{r}_activities": r for r in references}),
-        n("both_references_same_account").alias("activities_with_same_account_references"),
-        n("both_references_different_account").alias("activities_with_different_account_references"),
-        F.min("occurred_at").alias("first_activity_at"),
-        F.max("occurred_at").alias("latest_activity_at"),
-    )
+_ACTIVITY_COUNTS = {
+    "total_activities": "count(*)",
+    **per_code("activity_type", _TYPES),
+    **per_code(
+        "reference_type",
+        {f"{r}_activities": r for r in ("contact_only", "opportunity_only", "contact_and_opportunity")},
+    ),
+    "activities_with_same_account_references": n("both_references_same_account"),
+    "activities_with_different_account_references": n("both_references_different_account"),
+}
 
 
-_CRM_ZERO = {
-    "contact_metrics": ["total_contacts", "contacts_with_email", "contacts_without_email"],
-    "opportunity_metrics": [
-        "total_opportunities", *[f"{s}_opportunities" for s in _STAGES], "open_opportunities",
-        "temporally_invalid_opportunities",
-    ],
-    "amounts": ["total_crm_opportunity_amount", "won_crm_amount", "lost_crm_amount", "open_pipeline_crm_amount"],
-    "opportunity_contact_metrics": [
-        *_RELATION_SUMS[:3], "opportunities_with_contacts", "distinct_contacts_in_opportunities",
-        *_RELATION_SUMS[3:],
-    ],
-    "activity_metrics": [
-        "total_activities", *[f"{t}_activities" for t in _TYPES], "contact_only_activities",
-        "opportunity_only_activities", "contact_and_opportunity_activities",
-        "activities_with_same_account_references", "activities_with_different_account_references",
-    ],
-}
+def activity_metrics(layers) -> DataFrame:
+    assigned = layers.gold("activity_assignment").filter("assigned_account_id IS NOT NULL")
+    dates = {"first_activity_at": "min(occurred_at)", "latest_activity_at": "max(occurred_at)"}
+    return aggregate(assigned, {"account_id": "assigned_account_id"}, {**_ACTIVITY_COUNTS, **dates})
 
 
 def account_crm_summary(layers) -> DataFrame:
     """One row per account, left-joined to four results that each have one row per account."""
     joined = layers.silver("accounts").withColumnRenamed("created_at", "account_created_at")
-    for part in ("contact_metrics", "opportunity_metrics", "opportunity_contact_metrics", "activity_metrics"):
-        metrics = layers.gold(part).withColumnRenamed("account_id", "_account")
-        joined = joined.join(metrics, F.col("account_id") == F.col("_account"), "left").drop("_account")
-    won, lost = F.col("won_opportunities"), F.col("lost_opportunities")
-    return joined.select(
+    for i, part in enumerate(
+        ("contact_metrics", "opportunity_metrics", "opportunity_contact_metrics", "activity_metrics")
+    ):
+        metrics = layers.gold(part).withColumnRenamed("account_id", f"_account_{i}")
+        joined = joined.join(metrics, F.expr(f"account_id = _account_{i}"), "left")
+    closed = "won_opportunities + lost_opportunities"
+    distinct = ["opportunities_with_contacts", "distinct_contacts_in_opportunities"]
+    return joined.selectExpr(
         "account_id",
-        F.col("name").alias("account_name"),
+        "name AS account_name",
         "industry",
         "country",
         "annual_revenue",
@@ -149,45 +148,48 @@ def account_crm_summary(layers) -> DataFrame:
         "is_annual_revenue_valid",
         "is_employees_valid",
         "is_created_at_valid",
-        *zero_filled(_CRM_ZERO["contact_metrics"]),
+        *zero(_CONTACT_COUNTS),
         "first_contact_created_at",
         "latest_contact_created_at",
-        *zero_filled(_CRM_ZERO["opportunity_metrics"]),
-        *[money(F.coalesce(c, F.lit(0))).alias(c) for c in _CRM_ZERO["amounts"]],
+        *zero(_OPPORTUNITY_COUNTS),
+        *[f"{money(f'coalesce({c}, 0)')} AS {c}" for c in _AMOUNTS],
         "average_crm_opportunity_amount",
-        percent(won, won + lost).alias("closed_opportunity_win_rate_pct"),
+        f"{percent('won_opportunities', closed)} AS closed_opportunity_win_rate_pct",
         "first_opportunity_created_at",
         "latest_opportunity_created_at",
         "earliest_close_date",
         "latest_close_date",
-        *zero_filled(_CRM_ZERO["opportunity_contact_metrics"]),
-        *zero_filled(_CRM_ZERO["activity_metrics"]),
+        *zero([*_RELATION_COUNTS, *distinct, *_ROLES]),
+        *zero(_ACTIVITY_COUNTS),
         "first_activity_at",
         "latest_activity_at",
     )
 
 
 def lead_funnel_summary(layers) -> DataFrame:
-    statuses = {f"{s}_leads": s for s in ("new", "contacted", "qualified", "converted", "lost")}
-    valid_score = F.when(F.col("is_score_valid"), F.col("score"))
-    funnel = layers.silver("leads").groupBy("source").agg(
-        rows().alias("total_leads"),
-        *per_code("status", statuses),
-        n("is_email_present").alias("leads_with_email"),
-        n("NOT is_email_present").alias("leads_without_email"),
-        mean(F.sum(valid_score), F.count(valid_score), digits=0).alias("average_lead_score"),
-        F.min(valid_score).alias("minimum_lead_score"),
-        F.max(valid_score).alias("maximum_lead_score"),
-        F.min("created_at").alias("first_lead_created_at"),
-        F.max("created_at").alias("latest_lead_created_at"),
-        n("NOT (is_source_valid AND is_status_valid AND is_score_valid AND is_created_at_valid)").alias(
-            "leads_with_quality_issue"
-        ),
+    score = "if(is_score_valid, score, NULL)"
+    funnel = aggregate(
+        layers.silver("leads"),
+        same("source"),
+        {
+            "total_leads": "count(*)",
+            **per_code("status", {f"{s}_leads": s for s in ("new", "contacted", "qualified", "converted", "lost")}),
+            "leads_with_email": n("is_email_present"),
+            "leads_without_email": n("NOT is_email_present"),
+            "average_lead_score": mean(score, digits=0),
+            "minimum_lead_score": f"min({score})",
+            "maximum_lead_score": f"max({score})",
+            "first_lead_created_at": "min(created_at)",
+            "latest_lead_created_at": "max(created_at)",
+            "leads_with_quality_issue": n(
+                "NOT (is_source_valid AND is_status_valid AND is_score_valid AND is_created_at_valid)"
+            ),
+        },
     )
-    total = F.col("total_leads")
-    return funnel.withColumns(
+    return add(
+        funnel,
         {
-            "conversion_rate_pct": percent(F.col("converted_leads"), total),
-            "qualified_or_converted_rate_pct": percent(F.col("qualified_leads") + F.col("converted_leads"), total),
-        }
+            "conversion_rate_pct": percent("converted_leads", "total_leads"),
+            "qualified_or_converted_rate_pct": percent("qualified_leads + converted_leads", "total_leads"),
+        },
     )

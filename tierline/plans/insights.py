@@ -6,11 +6,11 @@ groupings works on aggregates of a few rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.exact import mean, percent
-from tierline.operators.measures import labelled, n, rows, sums, top, with_share
+from tierline.operators.measures import add, aggregate, labelled, n, same, sums, top, with_share
 from tierline.operators.values import describe, histogram
 from tierline.plans import kpis
 
@@ -88,19 +88,15 @@ def top_courses_dropout(layers) -> DataFrame:
     return _top_rate(layers, "dropped_enrollments", "dropout_rate_pct")
 
 
-def _situation() -> Column:
-    failed, dropped = F.col("failed_enrollments") > 0, F.col("dropped_enrollments") > 0
-    return (
-        F.when(failed & dropped, "Reprobación y abandono")
-        .when(failed, "Solo reprobación")
-        .when(dropped, "Solo abandono")
-        .otherwise("Sin reprobación ni abandono")
-        .alias("situacion_academica")
-    )
+_SITUATION = {
+    "situacion_academica": "CASE WHEN failed_enrollments > 0 AND dropped_enrollments > 0 THEN 'Reprobación y abandono'"
+    " WHEN failed_enrollments > 0 THEN 'Solo reprobación' WHEN dropped_enrollments > 0 THEN 'Solo abandono'"
+    " ELSE 'Sin reprobación ni abandono' END"
+}
 
 
 def student_situation(layers) -> DataFrame:
-    counted = layers.gold("student_academic_summary").groupBy(_situation()).agg(rows().alias("estudiantes"))
+    counted = aggregate(layers.gold("student_academic_summary"), _SITUATION, {"estudiantes": "count(*)"})
     return with_share(counted, "estudiantes", "porcentaje")
 
 
@@ -130,10 +126,10 @@ def payment_reconciliation_share(layers) -> DataFrame:
 
 
 def paid_but_underpaid(layers) -> DataFrame:
-    return kpis.invoice_totals(layers).select(
-        F.col("paid_invoices").alias("facturas_paid"),
-        F.col("paid_status_but_underpaid").alias("paid_subpagadas"),
-        F.col("paid_status_underpaid_rate_pct").alias("tasa_pct"),
+    return kpis.invoice_totals(layers).selectExpr(
+        "paid_invoices AS facturas_paid",
+        "paid_status_but_underpaid AS paid_subpagadas",
+        "paid_status_underpaid_rate_pct AS tasa_pct",
     )
 
 
@@ -143,8 +139,8 @@ def currency_coverage(layers) -> DataFrame:
         "outstanding_amount", "overpaid_amount", "paid_invoice_rate_pct", "overdue_invoice_rate_pct",
         "overpaid_invoice_rate_pct", "underpaid_invoice_rate_pct", "invoice_item_mismatch_rate_pct",
     )
-    coverage = percent(F.col("total_paid"), F.col("total_invoiced"), digits=2)
-    return layers.gold("billing_currency_kpis").select(*columns, coverage.alias("payment_coverage_pct"))
+    coverage = percent("total_paid", "total_invoiced", digits=2)
+    return layers.gold("billing_currency_kpis").selectExpr(*columns, f"{coverage} AS payment_coverage_pct")
 
 
 def invoice_item_quality(layers) -> DataFrame:
@@ -158,10 +154,10 @@ def invoice_item_quality(layers) -> DataFrame:
 
 def subscription_kpis(layers) -> DataFrame:
     totals = kpis.subscription_totals(layers)
-    return totals.select(
+    return totals.selectExpr(
         "total_subscriptions", "active_subscriptions", "paused_subscriptions", "cancelled_subscriptions",
         "temporally_invalid_subscriptions",
-        F.col("active_subscriptions_on_inactive_products").alias("active_subscriptions_to_inactive_products"),
+        "active_subscriptions_on_inactive_products AS active_subscriptions_to_inactive_products",
         "customers_without_subscriptions",
     )
 
@@ -194,10 +190,10 @@ def opportunity_state_share(layers) -> DataFrame:
 
 
 def win_rate(layers) -> DataFrame:
-    return kpis.crm_totals(layers).select(
-        F.expr("won_opportunities + lost_opportunities").alias("oportunidades_cerradas"),
-        F.col("won_opportunities").alias("oportunidades_ganadas"),
-        F.col("closed_opportunity_win_rate_pct").alias("tasa_ganancia_pct"),
+    return kpis.crm_totals(layers).selectExpr(
+        "won_opportunities + lost_opportunities AS oportunidades_cerradas",
+        "won_opportunities AS oportunidades_ganadas",
+        "closed_opportunity_win_rate_pct AS tasa_ganancia_pct",
     )
 
 
@@ -260,12 +256,16 @@ def lead_score_conversion(layers) -> DataFrame:
 
 
 def integration_validation(layers) -> DataFrame:
-    wide = layers.gold("student_customer_360").agg(
-        rows().alias("total"),
-        n("customer_id IS NOT NULL").alias("linked"),
-        n("customer_id IS NULL").alias("unlinked"),
-        n("has_invoices").alias("invoiced"),
-        n("has_active_subscription").alias("subscribed"),
+    wide = aggregate(
+        layers.gold("student_customer_360"),
+        {},
+        {
+            "total": "count(*)",
+            "linked": "count(customer_id)",
+            "unlinked": n("customer_id IS NULL"),
+            "invoiced": n("has_invoices"),
+            "subscribed": n("has_active_subscription"),
+        },
     )
     indicators = {
         "Total de estudiantes": "total",
@@ -278,73 +278,76 @@ def integration_validation(layers) -> DataFrame:
 
 
 def customer_population(layers) -> DataFrame:
-    kind = F.when(F.col("is_student_linked"), "Vinculado a estudiante").otherwise("No vinculado a estudiante")
-    grouped = layers.gold("customer_subscription_summary").groupBy(kind.alias("customer_type")).agg(
-        rows().alias("customers"),
-        n("total_subscriptions > 0").alias("customers_with_subscriptions"),
-        n("active_subscriptions > 0").alias("customers_with_active_subscription"),
-        mean(F.sum("total_subscriptions"), rows(), digits=0).alias("average_subscriptions"),
-        mean(F.sum("active_subscriptions"), rows(), digits=0).alias("average_active_subscriptions"),
-    )
-    rate = lambda c: percent(F.col(c), F.col("customers"))
-    return grouped.withColumns(
+    grouped = aggregate(
+        layers.gold("customer_subscription_summary"),
+        {"customer_type": "if(is_student_linked, 'Vinculado a estudiante', 'No vinculado a estudiante')"},
         {
-            "subscription_customer_rate_pct": rate("customers_with_subscriptions"),
-            "active_subscription_customer_rate_pct": rate("customers_with_active_subscription"),
-        }
-    ).orderBy("customer_type")
-
-
-def _average(column: str, digits: int = 0) -> Column:
-    """Mean over the rows where the column is known, at four decimals."""
-    return mean(F.sum(column), F.count(column), 4, digits)
+            "customers": "count(*)",
+            "customers_with_subscriptions": n("total_subscriptions > 0"),
+            "customers_with_active_subscription": n("active_subscriptions > 0"),
+            "average_subscriptions": mean("total_subscriptions", digits=0),
+            "average_active_subscriptions": mean("active_subscriptions", digits=0),
+        },
+    )
+    rates = {
+        "subscription_customer_rate_pct": percent("customers_with_subscriptions", "customers"),
+        "active_subscription_customer_rate_pct": percent("customers_with_active_subscription", "customers"),
+    }
+    return add(grouped, rates).orderBy("customer_type")
 
 
 def student_360_by_situation(layers) -> DataFrame:
-    grouped = layers.gold("student_customer_360").groupBy(_situation()).agg(
-        rows().alias("estudiantes"),
-        n("has_invoices").alias("estudiantes_con_facturas"),
-        n("has_active_subscription").alias("estudiantes_con_suscripcion_activa"),
-        n("has_billing_reconciliation_issue").alias("estudiantes_con_incidencia_billing"),
-        _average("total_invoices").alias("promedio_facturas"),
-        _average("active_subscriptions").alias("promedio_suscripciones_activas"),
-        _average("average_weighted_observed_score", 2).alias("promedio_academico_observado"),
-    )
-    rate = lambda c: percent(F.col(c), F.col("estudiantes"))
-    return grouped.withColumns(
+    grouped = aggregate(
+        layers.gold("student_customer_360"),
+        _SITUATION,
         {
-            "tasa_con_facturas_pct": rate("estudiantes_con_facturas"),
-            "tasa_suscripcion_activa_pct": rate("estudiantes_con_suscripcion_activa"),
-            "tasa_incidencia_billing_pct": rate("estudiantes_con_incidencia_billing"),
-        }
+            "estudiantes": "count(*)",
+            "estudiantes_con_facturas": n("has_invoices"),
+            "estudiantes_con_suscripcion_activa": n("has_active_subscription"),
+            "estudiantes_con_incidencia_billing": n("has_billing_reconciliation_issue"),
+            "promedio_facturas": mean("total_invoices", 4, 0),
+            "promedio_suscripciones_activas": mean("active_subscriptions", 4, 0),
+            "promedio_academico_observado": mean("average_weighted_observed_score", 4),
+        },
     )
+    rates = {
+        "tasa_con_facturas_pct": "estudiantes_con_facturas",
+        "tasa_suscripcion_activa_pct": "estudiantes_con_suscripcion_activa",
+        "tasa_incidencia_billing_pct": "estudiantes_con_incidencia_billing",
+    }
+    return add(grouped, {name: percent(part, "estudiantes") for name, part in rates.items()})
 
 
 def academic_billing_detail(layers) -> DataFrame:
-    grouped = layers.gold("student_customer_360").groupBy(_situation()).agg(
-        rows().alias("estudiantes"),
-        *sums({c: c for c in ("total_invoices", "overpaid_invoices", "underpaid_invoices")}),
-        *sums({"paid_status_underpaid": "paid_status_but_underpaid"}),
-    )
-    rate = lambda c: percent(F.col(c), F.col("total_invoices"))
-    return grouped.withColumns(
+    grouped = aggregate(
+        layers.gold("student_customer_360"),
+        _SITUATION,
         {
-            "overpaid_invoice_rate_pct": rate("overpaid_invoices"),
-            "underpaid_invoice_rate_pct": rate("underpaid_invoices"),
-            "paid_status_underpaid_rate_pct": rate("paid_status_underpaid"),
-        }
+            "estudiantes": "count(*)",
+            **sums(same("total_invoices", "overpaid_invoices", "underpaid_invoices")),
+            **sums({"paid_status_underpaid": "paid_status_but_underpaid"}),
+        },
     )
+    rates = {
+        "overpaid_invoice_rate_pct": "overpaid_invoices",
+        "underpaid_invoice_rate_pct": "underpaid_invoices",
+        "paid_status_underpaid_rate_pct": "paid_status_underpaid",
+    }
+    return add(grouped, {name: percent(part, "total_invoices") for name, part in rates.items()})
 
 
 def _academics_by(layers, flag: str, label: str, when_true: str, when_false: str) -> DataFrame:
     """Academic means per value of a yes/no column; rows where it is unknown are left out."""
-    known = layers.gold("student_customer_360").filter(F.col(flag).isNotNull())
-    return known.groupBy(F.when(F.col(flag), when_true).otherwise(when_false).alias(label)).agg(
-        rows().alias("estudiantes"),
-        _average("completed_enrollments").alias("promedio_inscripciones_completadas"),
-        _average("failed_enrollments").alias("promedio_inscripciones_reprobadas"),
-        _average("dropped_enrollments").alias("promedio_inscripciones_abandonadas"),
-        _average("average_weighted_observed_score", 2).alias("promedio_academico_observado"),
+    return aggregate(
+        layers.gold("student_customer_360").filter(f"{flag} IS NOT NULL"),
+        {label: f"if({flag}, '{when_true}', '{when_false}')"},
+        {
+            "estudiantes": "count(*)",
+            "promedio_inscripciones_completadas": mean("completed_enrollments", 4, 0),
+            "promedio_inscripciones_reprobadas": mean("failed_enrollments", 4, 0),
+            "promedio_inscripciones_abandonadas": mean("dropped_enrollments", 4, 0),
+            "promedio_academico_observado": mean("average_weighted_observed_score", 4),
+        },
     )
 
 

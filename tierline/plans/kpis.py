@@ -3,98 +3,99 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tierline.functions.exact import mean, money, percent
-from tierline.operators.measures import n, rows, sums
+from tierline.operators.measures import add, aggregate, n, same, sums
 from tierline.plans.billing import ROLLUP
 
 
-def _same(*names: str) -> dict[str, str]:
-    return {c: c for c in names}
+def _totals(df: DataFrame, measures: dict[str, str], rates: dict[str, str] | None = None) -> DataFrame:
+    return add(aggregate(df, {}, measures), rates or {})
 
 
 def academic_totals(layers) -> DataFrame:
-    score = F.col("average_weighted_observed_score")
-    totals = layers.gold("student_academic_summary").agg(
-        rows().alias("total_students"),
-        *sums(_same("total_enrollments", "completed_enrollments", "active_enrollments", "failed_enrollments",
-                    "dropped_enrollments", "enrollments_with_grades")),
-        F.count(score).alias("students_with_observed_average"),
-        mean(F.sum(score), F.count(score)).alias("average_student_observed_score"),
-    )
-    rate = lambda c: percent(F.col(c), F.col("total_enrollments"))
-    return totals.withColumns(
+    states = ("completed", "active", "failed", "dropped")
+    rates = {"completion": "completed", "failure": "failed", "dropout": "dropped"}
+    score = "average_weighted_observed_score"
+    return _totals(
+        layers.gold("student_academic_summary"),
         {
-            "enrollment_completion_rate_pct": rate("completed_enrollments"),
-            "enrollment_failure_rate_pct": rate("failed_enrollments"),
-            "enrollment_dropout_rate_pct": rate("dropped_enrollments"),
-        }
+            "total_students": "count(*)",
+            **sums(same("total_enrollments", *[f"{s}_enrollments" for s in states], "enrollments_with_grades")),
+            "students_with_observed_average": f"count({score})",
+            "average_student_observed_score": mean(score),
+        },
+        {f"enrollment_{r}_rate_pct": percent(f"{s}_enrollments", "total_enrollments") for r, s in rates.items()},
     )
 
 
 def course_totals(layers) -> DataFrame:
-    return layers.gold("course_performance_summary").agg(rows().alias("total_courses"))
+    return _totals(layers.gold("course_performance_summary"), {"total_courses": "count(*)"})
 
 
 def invoice_totals(layers) -> DataFrame:
-    totals = layers.gold("customer_billing_summary").agg(
-        F.count_distinct("customer_id").alias("customers_with_invoices"),
-        F.count_distinct("currency").alias("billing_currencies"),
-        *sums({k: v for k, v in ROLLUP.items() if k != "open_status_but_fully_paid"}),
-    )
-    paid = F.col("paid_invoices")
-    return totals.withColumns(
+    return _totals(
+        layers.gold("customer_billing_summary"),
         {
-            "paid_invoice_status_rate_pct": percent(paid, F.col("total_invoices")),
-            "paid_status_underpaid_rate_pct": percent(F.col("paid_status_but_underpaid"), paid),
-        }
+            "customers_with_invoices": "count(DISTINCT customer_id)",
+            "billing_currencies": "count(DISTINCT currency)",
+            **sums(ROLLUP),
+        },
+        {
+            "paid_invoice_status_rate_pct": percent("paid_invoices", "total_invoices"),
+            "paid_status_underpaid_rate_pct": percent("paid_status_but_underpaid", "paid_invoices"),
+        },
     )
 
 
 def subscription_totals(layers) -> DataFrame:
-    totals = layers.gold("customer_subscription_summary").agg(
-        rows().alias("total_customers"),
-        n("total_subscriptions = 0").alias("customers_without_subscriptions"),
-        *sums(_same("total_subscriptions", "active_subscriptions", "paused_subscriptions",
-                    "cancelled_subscriptions", "temporally_invalid_subscriptions")),
-        *sums({"active_subscriptions_on_inactive_products": "active_subscriptions_to_inactive_products"}),
+    states = ("total", "active", "paused", "cancelled", "temporally_invalid")
+    return _totals(
+        layers.gold("customer_subscription_summary"),
+        {
+            "total_customers": "count(*)",
+            "customers_without_subscriptions": n("total_subscriptions = 0"),
+            **sums(same(*[f"{s}_subscriptions" for s in states])),
+            **sums({"active_subscriptions_on_inactive_products": "active_subscriptions_to_inactive_products"}),
+        },
+        {"active_subscription_rate_pct": percent("active_subscriptions", "total_subscriptions")},
     )
-    rate = percent(F.col("active_subscriptions"), F.col("total_subscriptions"))
-    return totals.withColumn("active_subscription_rate_pct", rate)
+
+
+_DEALS = ("total", "won", "lost", "open", "temporally_invalid", "prospect", "qualification", "proposal", "negotiation")
+_ACTIVITIES = ("call", "demo", "email", "meeting", "note")
 
 
 def crm_totals(layers) -> DataFrame:
-    counts = [
-        "total_contacts", "total_opportunities", "won_opportunities", "lost_opportunities", "open_opportunities",
-        "temporally_invalid_opportunities", "opportunity_contact_relationships", "same_account_relationships",
-        "different_account_relationships",
-    ]
-    extra = [f"{s}_opportunities" for s in ("prospect", "qualification", "proposal", "negotiation")]
-    extra += [f"{t}_activities" for t in ("call", "demo", "email", "meeting", "note")]
-    amounts = ["total_crm_opportunity_amount", "won_crm_amount", "lost_crm_amount", "open_pipeline_crm_amount"]
-    totals = layers.gold("account_crm_summary").agg(
-        rows().alias("total_accounts"),
-        *sums(_same(*counts, *extra)),
-        *sums({"assigned_activities": "total_activities"}),
-        *[money(F.sum(c)).alias(c) for c in amounts],
+    relations = ("opportunity_contact", "same_account", "different_account")
+    amounts = ("total_crm_opportunity_amount", "won_crm_amount", "lost_crm_amount", "open_pipeline_crm_amount")
+    closed = "won_opportunities + lost_opportunities"
+    return _totals(
+        layers.gold("account_crm_summary"),
+        {
+            "total_accounts": "count(*)",
+            **sums(same("total_contacts", *[f"{s}_opportunities" for s in _DEALS])),
+            **sums(same(*[f"{r}_relationships" for r in relations])),
+            **sums({"assigned_activities": "total_activities", **same(*[f"{t}_activities" for t in _ACTIVITIES])}),
+            **{c: money(f"sum({c})") for c in amounts},
+        },
+        {"closed_opportunity_win_rate_pct": percent("won_opportunities", closed)},
     )
-    won, lost = F.col("won_opportunities"), F.col("lost_opportunities")
-    return totals.withColumn("closed_opportunity_win_rate_pct", percent(won, won + lost))
 
 
 def lead_totals(layers) -> DataFrame:
-    statuses = ("new_leads", "contacted_leads", "qualified_leads", "converted_leads", "lost_leads")
-    totals = layers.gold("lead_funnel_summary").agg(
-        rows().alias("lead_sources"), *sums(_same("total_leads", *statuses, "leads_with_quality_issue"))
+    states = ("total", "new", "contacted", "qualified", "converted", "lost")
+    return _totals(
+        layers.gold("lead_funnel_summary"),
+        {"lead_sources": "count(*)", **sums(same(*[f"{s}_leads" for s in states], "leads_with_quality_issue"))},
+        {"lead_conversion_rate_pct": percent("converted_leads", "total_leads")},
     )
-    return totals.withColumn("lead_conversion_rate_pct", percent(F.col("converted_leads"), F.col("total_leads")))
 
 
 def activity_totals(layers) -> DataFrame:
-    return layers.silver("activities").agg(
-        rows().alias("total_activities"), n("NOT has_any_reference").alias("unassigned_activities")
-    )
+    missing = n("contact_id IS NULL AND opportunity_id IS NULL")
+    references = layers.reference("activities", "contact_id", "opportunity_id")
+    return _totals(references, {"total_activities": "count(*)", "unassigned_activities": missing})
 
 
 EXECUTIVE_COLUMNS = [
@@ -125,6 +126,5 @@ def executive_kpis(layers) -> DataFrame:
     wide = academic_totals(layers)
     for part in (course_totals, invoice_totals, subscription_totals, crm_totals, lead_totals, activity_totals):
         wide = wide.crossJoin(part(layers))
-    without = F.col("total_customers") - F.col("customers_with_invoices")
-    wide = wide.withColumn("customers_without_invoices", without)
-    return wide.select(F.lit("current").alias("snapshot_id"), *EXECUTIVE_COLUMNS)
+    wide = add(wide, {"customers_without_invoices": "total_customers - customers_with_invoices"})
+    return wide.selectExpr("'current' AS snapshot_id", *EXECUTIVE_COLUMNS)

@@ -1,7 +1,8 @@
 """Discovery over bronze: tables, columns, keys, categories, dates, types and business rules.
 
 Each table is read once per report; what the report needs per column is one aggregate over the
-table's value counts or one wide aggregate that is stacked into rows.
+table's value counts or one wide aggregate that is stacked into rows. Output names and states are
+fixed values.
 """
 
 from __future__ import annotations
@@ -12,26 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.catalogue import CATEGORICAL, RELATIONS, TABLES, columns_of_kind
-from tierline.functions.cleanse import sql_type
-from tierline.functions.exact import half_up, percent
+from tierline.functions.cleanse import converted, sql_type
+from tierline.functions.exact import MONEY, half_up, percent
 from tierline.operators.links import attach_group, duplicate_groups, orphan_rows
+from tierline.operators.measures import add, aggregate, count_of, n, named, same, union
 from tierline.operators.values import describe, duplicate_rows, first_values, value_counts
-from tierline.plans.rules import null_key, union
+from tierline.plans.rules import null_key
 
-OK, REVIEW = "OK", "REVISAR"  # Fixed values
-NULL_LABEL = "VALOR_NULO"  # Fixed value
+OK, REVIEW = "OK", "REVISAR"
+NULL_LABEL = "VALOR_NULO"
+ZERO_PCT = "cast(0 AS decimal(18,2))"
 
 
-def _state(fine) -> "F.Column":
-    return F.when(fine, OK).otherwise(REVIEW)
+def _state(fine: str) -> dict[str, str]:
+    return {"estado": f"if({fine}, '{OK}', '{REVIEW}')"}
 
 
 def _raw(layers, table: str) -> DataFrame:
     return layers.bronze(table).select(*TABLES[table].columns)
 
 
-def _long(amount) -> "F.Column":
-    return F.coalesce(amount, F.lit(0)).cast("bigint")
+def _tagged(table: str, df: DataFrame) -> DataFrame:
+    return df.selectExpr(f"'{table}' AS tabla", "*")
 
 
 # ---- tables and columns
@@ -41,35 +44,28 @@ def profile_tables(layers) -> DataFrame:
     parts = []
     for table, spec in TABLES.items():
         df = _raw(layers, table)
-        nulls = sum((F.col(c).isNull().cast("bigint") for c in spec.columns), F.lit(0).cast("bigint"))
-        size = df.agg(
-            F.count("*").alias("filas"),
-            F.lit(len(spec.columns)).cast("bigint").alias("columnas"),
-            _long(F.sum(nulls)).alias("nulos_totales"),
+        nulls = " + ".join(f"count_if(`{c}` IS NULL)" for c in spec.columns)
+        size = aggregate(
+            df, {}, {"filas": "count(*)", "columnas": f"{len(spec.columns)}L", "nulos_totales": nulls}
         )
-        parts.append(size.crossJoin(duplicate_rows(df)).select(F.lit(table).alias("tabla"), "*"))
+        parts.append(_tagged(table, size.crossJoin(duplicate_rows(df))))
     return union(parts)
 
 
+_NULLS = count_of("n", "valor IS NULL")
+
+
 def profile_columns(layers) -> DataFrame:
     parts = []
     for table, spec in TABLES.items():
         counts = value_counts(_raw(layers, table), list(spec.columns))
-        per_column = counts.groupBy("columna").agg(
-            _long(F.sum(F.when(F.col("valor").isNull(), F.col("n")))).alias("cantidad_nulos"),
-            F.sum("n").alias("_filas"),
-            F.count("valor").alias("valores_unicos"),
-        )
-        parts.append(
-            per_column.select(
-                F.lit(table).alias("tabla"),
-                "columna",
-                F.lit("string").alias("tipo_actual"),
-                "cantidad_nulos",
-                percent(F.col("cantidad_nulos"), F.col("_filas")).alias("porcentaje_nulos"),
-                "valores_unicos",
-            )
-        )
+        measures = {
+            "tipo_actual": "'string'",
+            "cantidad_nulos": _NULLS,
+            "porcentaje_nulos": percent(_NULLS, "sum(n)"),
+            "valores_unicos": "count(valor)",
+        }
+        parts.append(_tagged(table, aggregate(counts, same("columna"), measures)))
     return union(parts)
 
 
@@ -84,18 +80,16 @@ def columns_with_nulls(layers) -> DataFrame:
 def profile_primary_keys(layers) -> DataFrame:
     parts = []
     for table, spec in TABLES.items():
-        key = list(spec.key)
-        groups = _raw(layers, table).groupBy(*key).agg(F.count("*").alias("n"))
-        missing = F.expr(" OR ".join(f"{k} IS NULL" for k in key))
-        parts.append(
-            groups.agg(
-                _long(F.sum("n")).alias("cantidad_filas"),
-                F.count("*").alias("pk_unicas"),
-                _long(F.sum(F.when(missing, F.col("n")))).alias("pk_nulas"),
-                _long(F.sum(F.when(F.col("n") > 1, F.col("n")))).alias("filas_con_pk_duplicada"),
-            ).select(F.lit(table).alias("tabla"), F.lit(" + ".join(key)).alias("llave_primaria"), "*")
-        )
-    return union(parts).withColumn("estado", _state(F.expr("pk_nulas = 0 AND filas_con_pk_duplicada = 0")))
+        groups = aggregate(_raw(layers, table), same(*spec.key), {"n": "count(*)"})
+        measures = {
+            "llave_primaria": f"'{' + '.join(spec.key)}'",
+            "cantidad_filas": "coalesce(sum(n), 0)",
+            "pk_unicas": "count(*)",
+            "pk_nulas": count_of("n", " OR ".join(f"{k} IS NULL" for k in spec.key)),
+            "filas_con_pk_duplicada": count_of("n", "n > 1"),
+        }
+        parts.append(_tagged(table, aggregate(groups, {}, measures)))
+    return add(union(parts), _state("pk_nulas = 0 AND filas_con_pk_duplicada = 0"))
 
 
 def profile_foreign_keys(layers) -> DataFrame:
@@ -103,43 +97,43 @@ def profile_foreign_keys(layers) -> DataFrame:
     for child, column, parent, nullable in RELATIONS:
         pk = TABLES[parent].key[0]
         counted = orphan_rows(_raw(layers, child), column, _raw(layers, parent), pk)
-        parts.append(
-            counted.select(
-                F.lit(child).alias("tabla_hija"),
-                F.lit(column).alias("columna_fk"),
-                F.lit(parent).alias("tabla_padre"),
-                F.lit(pk).alias("columna_pk"),
-                F.lit(nullable).alias("permite_nulos"),
-                F.col("row_count").alias("cantidad_filas"),
-                F.col("null_values").alias("valores_nulos"),
-                F.col("orphan_values").alias("valores_huerfanos"),
-            )
-        )
-    filled = F.col("cantidad_filas") - F.col("valores_nulos")
-    zero = F.lit(0).cast("decimal(18,2)")
-    return union(parts).withColumns(
-        {
-            "porcentaje_huerfanos": F.coalesce(percent(F.col("valores_huerfanos"), filled), zero),
-            "estado": _state(F.expr("valores_huerfanos = 0 AND (valores_nulos = 0 OR permite_nulos)")),
+        columns = {
+            "tabla_hija": f"'{child}'",
+            "columna_fk": f"'{column}'",
+            "tabla_padre": f"'{parent}'",
+            "columna_pk": f"'{pk}'",
+            "permite_nulos": str(nullable).lower(),
+            "cantidad_filas": "row_count",
+            "valores_nulos": "null_values",
+            "valores_huerfanos": "orphan_values",
         }
+        parts.append(counted.selectExpr(*named(columns)))
+    share = percent("valores_huerfanos", "cantidad_filas - valores_nulos")
+    return add(
+        union(parts),
+        {
+            "porcentaje_huerfanos": f"coalesce({share}, {ZERO_PCT})",
+            **_state("valores_huerfanos = 0 AND (valores_nulos = 0 OR permite_nulos)"),
+        },
     )
 
 
 def profile_logical_link(layers) -> DataFrame:
     """external_ref against student_id: matches, misses and repeats among the non-null references."""
     refs = _raw(layers, "customers").filter("external_ref IS NOT NULL")
-    counted = refs.groupBy("external_ref").agg(F.count("*").alias("n"))
+    counted = aggregate(refs, same("external_ref"), {"n": "count(*)"})
     students = _raw(layers, "students").select("student_id").filter("student_id IS NOT NULL").distinct()
-    known = counted.join(students, F.col("external_ref") == F.col("student_id"), "left")
-    total = known.agg(
-        _long(F.sum("n")).alias("external_ref_no_nulos"),
-        _long(F.sum(F.when(F.col("student_id").isNotNull(), F.col("n")))).alias("coincidencias"),
-        _long(F.sum(F.when(F.col("student_id").isNull(), F.col("n")))).alias("sin_coincidencia"),
-        _long(F.sum(F.col("n") - 1)).alias("duplicados"),
-    )
-    return total.withColumn(
-        "porcentaje_coincidencia", percent(F.col("coincidencias"), F.col("external_ref_no_nulos"))
+    totals = aggregate(
+        counted.join(students, F.expr("external_ref = student_id"), "left"),
+        {},
+        {
+            "external_ref_no_nulos": "coalesce(sum(n), 0)",
+            "coincidencias": count_of("n", "student_id IS NOT NULL"),
+            "sin_coincidencia": count_of("n", "student_id IS NULL"),
+            "duplicados": "coalesce(sum(n - 1), 0)",
+        },
     )
+    return add(totals, {"porcentaje_coincidencia": percent("coincidencias", "external_ref_no_nulos")})
 
 
 # ---- categories
@@ -150,101 +144,76 @@ def _category_counts(layers, table: str) -> DataFrame:
 
 
 def profile_categories(layers) -> DataFrame:
+    measures = {"cantidad_filas": "sum(n)", "valores_unicos": "count(valor)", "valores_nulos": _NULLS}
     parts = []
     for table in CATEGORICAL:
         counts = _category_counts(layers, table)
-        sized = counts.groupBy("columna").agg(
-            F.sum("n").alias("cantidad_filas"),
-            F.count("valor").alias("valores_unicos"),
-            _long(F.sum(F.when(F.col("valor").isNull(), F.col("n")))).alias("valores_nulos"),
-        )
+        sized = aggregate(counts, same("columna"), measures).join(first_values(counts), "columna", "left")
         parts.append(
-            sized.join(first_values(counts), "columna", "left").select(
-                F.lit(table).alias("tabla"), "columna", "cantidad_filas", "valores_unicos", "valores_nulos",
-                F.coalesce("ejemplos", F.lit("")).alias("ejemplos"),
-            )
+            _tagged(table, sized.selectExpr("columna", *measures, "coalesce(ejemplos, '') AS ejemplos"))
         )
     return union(parts)
 
 
+def _distribution(layers, table: str, columns: list[str]) -> DataFrame:
+    """NULL joins the rows that already carry its label, as filling them in would."""
+    df = _raw(layers, table)
+    labelled = {"columna": "columna", "valor": f"coalesce(valor, '{NULL_LABEL}')"}
+    merged = aggregate(value_counts(df, columns), labelled, {"cantidad": "sum(n)"})
+    size = aggregate(df, {}, {"_filas": "count(*)"})
+    shares = add(merged.crossJoin(size), {"porcentaje": percent("cantidad", "_filas")})
+    return _tagged(table, shares.drop("_filas"))
+
+
 def category_distribution(layers) -> DataFrame:
-    parts = []
-    for table in CATEGORICAL:
-        counts = _category_counts(layers, table)
-        # NULL joins the rows that already carry the label, as filling them in would.
-        merged = counts.groupBy("columna", F.coalesce("valor", F.lit(NULL_LABEL)).alias("valor"))
-        merged = merged.agg(F.sum("n").alias("cantidad"))
-        size = _raw(layers, table).agg(F.count("*").alias("_filas"))
-        parts.append(
-            merged.crossJoin(size).select(
-                F.lit(table).alias("tabla"), "columna", "valor", "cantidad",
-                percent(F.col("cantidad"), F.col("_filas")).alias("porcentaje"),
-            )
-        )
-    return union(parts)
+    return union([_distribution(layers, table, list(columns)) for table, columns in CATEGORICAL.items()])
 
 
 def distribution_of(layers, table: str, column: str) -> DataFrame:
     """The distribution of one categorical column, most frequent value first."""
-    found = category_distribution(layers).filter((F.col("tabla") == table) & (F.col("columna") == column))
-    return found.orderBy(F.desc("cantidad"), "valor")
+    return _distribution(layers, table, [column]).orderBy(F.desc("cantidad"), "valor")
 
 
 def category_spelling_variants(layers) -> DataFrame:
-    normal = F.lower(F.regexp_replace("valor", r"(?U)^\s+|\s+$", ""))
+    normal = {"columna": "columna", "normal": r"lower(regexp_replace(valor, r'(?U)^\s+|\s+$', ''))"}
     parts = []
     for table in CATEGORICAL:
-        counts = _category_counts(layers, table)
-        merged = counts.groupBy("columna", normal.alias("normal")).agg(F.count("valor").alias("originals"))
-        parts.append(
-            merged.groupBy("columna").agg(
-                F.sum("originals").alias("valores_originales"), F.count("normal").alias("valores_normalizados")
-            ).select(F.lit(table).alias("tabla"), "*")
-        )
-    return union(parts).withColumns(
+        merged = aggregate(_category_counts(layers, table), normal, {"originals": "count(valor)"})
+        measures = {"valores_originales": "sum(originals)", "valores_normalizados": "count(normal)"}
+        parts.append(_tagged(table, aggregate(merged, same("columna"), measures)))
+    return add(
+        union(parts),
         {
-            "posibles_variantes": F.expr("valores_originales - valores_normalizados"),
-            "estado": _state(F.expr("valores_originales = valores_normalizados")),
-        }
+            "posibles_variantes": "valores_originales - valores_normalizados",
+            **_state("valores_originales = valores_normalizados"),
+        },
     )
 
 
 def country_distribution(layers) -> DataFrame:
-    counted = layers.reference("students", "country").groupBy("country").agg(F.count("*").alias("count"))
-    return counted.orderBy("country")
+    return aggregate(layers.reference("students", "country"), same("country"), {"count": "count(*)"}).orderBy("country")
 
 
 # ---- dates and types
 
 
-def _stacked(df: DataFrame, table: str, measures: dict[str, list["F.Column"]], names: list[str]) -> DataFrame:
-    """One aggregate over `df`, turned into one row per column: {column: [measure, ...]}."""
-    wide = df.agg(*[m.alias(f"{c}__{i}") for c, ms in measures.items() for i, m in enumerate(ms)])
-    entries = [", ".join([f"'{c}'", *[f"`{c}__{i}`" for i in range(len(ms))]]) for c, ms in measures.items()]
-    return wide.selectExpr(
-        f"'{table}' AS tabla", f"stack({len(measures)}, {', '.join(entries)}) AS (columna, {', '.join(names)})"
-    )
-
-
-def _by_table(pairs: list[tuple[str, str]]) -> dict[str, list[str]]:
-    grouped: dict[str, list[str]] = {}
-    for table, column in pairs:
-        grouped.setdefault(table, []).append(column)
-    return grouped
+def _stacked(df: DataFrame, measures: dict[str, list[str]], names: list[str]) -> DataFrame:
+    """One aggregate over `df`, turned into one row per column: {column: [aggregate SQL, ...]}."""
+    wide = aggregate(df, {}, {f"{c}__{i}": sql for c, sqls in measures.items() for i, sql in enumerate(sqls)})
+    entries = [", ".join([f"'{c}'", *[f"`{c}__{i}`" for i in range(len(sqls))]]) for c, sqls in measures.items()]
+    return wide.selectExpr(f"stack({len(measures)}, {', '.join(entries)}) AS (columna, {', '.join(names)})")
 
 
 def profile_dates(layers) -> DataFrame:
     names = ["cantidad_filas", "valores_nulos", "fechas_validas", "fechas_invalidas", "fecha_minima", "fecha_maxima"]
-    parts = []
-    for table, columns in _by_table(columns_of_kind("date", "timestamp")).items():
-        measures = {}
-        for c in columns:
-            moment = F.trim(F.col(c)).try_cast("timestamp_ntz")
-            wrong = F.col(c).isNotNull() & moment.isNull()
-            measures[c] = [F.count("*"), F.count_if(F.col(c).isNull()), F.count(moment), F.count_if(wrong),
-                           F.min(moment), F.max(moment)]
-        parts.append(_stacked(_raw(layers, table), table, measures, names))
-    return union(parts)
+    by_table: dict[str, dict[str, list[str]]] = {}
+    for table, c in columns_of_kind("date", "timestamp"):
+        moment = converted(c, "timestamp_ntz")
+        by_table.setdefault(table, {})[c] = [
+            "count(*)", f"count_if({c} IS NULL)", f"count({moment})", f"count({c}) - count({moment})",
+            f"min({moment})", f"max({moment})",
+        ]
+    return union([_tagged(t, _stacked(_raw(layers, t), measures, names)) for t, measures in by_table.items()])
 
 
 # Columns expected as points in time although silver keeps only their day.
@@ -269,21 +238,20 @@ def _logical(table: str, column: str, kind: str) -> str:
 
 def type_report(layers) -> DataFrame:
     """Expected type per column and how many non-null values convert to it."""
+    names = ["tipo_esperado_silver", "tipo_sql_silver", "valores", "convertibles", "no_convertibles",
+             "requiere_conversion"]
     parts = []
     for table, spec in TABLES.items():
-        logical = {c: _logical(table, c, kind) for c, kind in spec.columns.items()}
         measures = {}
         for c, kind in spec.columns.items():
-            target = "timestamp_ntz" if logical[c] == "timestamp" else sql_type(kind)
-            text = F.lower(F.trim(F.col(c))) if kind == "boolean" else F.trim(F.col(c))
-            good = F.count(F.col(c) if target == "string" else text.try_cast(target))
+            logical = _logical(table, c, kind)
+            target = sql_type("timestamp" if logical == "timestamp" else kind)
+            good = f"count(`{c}`)" if target == "string" else f"count({converted(c, target)})"
             measures[c] = [
-                F.max(F.lit(logical[c])), F.max(F.lit(_SQL_NAME[logical[c]])), F.count(F.col(c)), good,
-                F.count(F.col(c)) - good, F.max(F.lit("NO" if logical[c] == "string" else "SÍ")),
+                f"'{logical}'", f"'{_SQL_NAME[logical]}'", f"count(`{c}`)", good, f"count(`{c}`) - {good}",
+                "'NO'" if logical == "string" else "'SÍ'",
             ]
-        names = ["tipo_esperado_silver", "tipo_sql_silver", "valores", "convertibles", "no_convertibles",
-                 "requiere_conversion"]
-        parts.append(_stacked(_raw(layers, table), table, measures, names))
+        parts.append(_tagged(table, _stacked(_raw(layers, table), measures, names)))
     return union(parts)
 
 
@@ -302,82 +270,84 @@ class Rule:
     table: str
     text: str
     source: str
-    columns: tuple[str, ...]
     key: str
     invalid: str
+    columns: tuple[str, ...] = ()
     severity: str = "ERROR"
 
 
+def _rule(code: str, table: str, text: str, invalid: str, *columns: str) -> Rule:
+    key = TABLES[table].key[0]
+    return Rule(code, table, text, table, key, invalid, (key, *columns))
+
+
+def _warning(code: str, table: str, text: str, source: str, key: str, invalid: str) -> Rule:
+    return Rule(code, table, text, source, key, invalid, severity="WARNING")
+
+
 _TEMPORAL = (
-    Rule("SEM-01", "semesters", "start_date <= end_date", "semesters", ("semester_id", "start_date", "end_date"),
-         "semester_id", "start_date > end_date"),
-    Rule("STU-01", "students", "birth_date < enrolled_at", "students", ("student_id", "birth_date", "enrolled_at"),
-         "student_id", "cast(birth_date AS timestamp_ntz) >= enrolled_at"),
-    Rule("SUB-01", "subscriptions", "start_date <= end_date", "subscriptions",
-         ("subscription_id", "start_date", "end_date"), "subscription_id", "start_date > end_date"),
-    Rule("OPP-01", "opportunities", "created_at <= close_date", "opportunities",
-         ("opportunity_id", "created_at", "close_date"), "opportunity_id",
-         "created_at > cast(close_date AS timestamp_ntz)"),
+    _rule("SEM-01", "semesters", "start_date <= end_date", "start_date > end_date", "start_date", "end_date"),
+    _rule("STU-01", "students", "birth_date < enrolled_at", "cast(birth_date AS timestamp_ntz) >= enrolled_at",
+          "birth_date", "enrolled_at"),
+    _rule("SUB-01", "subscriptions", "start_date <= end_date", "start_date > end_date", "start_date", "end_date"),
+    _rule("OPP-01", "opportunities", "created_at <= close_date", "created_at > cast(close_date AS timestamp_ntz)",
+          "created_at", "close_date"),
 )
 
+_NO_SCORE = "score IS NULL OR score NOT BETWEEN 0 AND 100"
 _BUSINESS = (
-    Rule("UNI-01", "grades", "score between 0 and 100", "grades", ("grade_id", "score"), "grade_id",
-         "score IS NULL OR score NOT BETWEEN 0 AND 100"),
-    Rule("UNI-02", "grades", "0 < weight <= 1", "grades", ("grade_id", "weight"), "grade_id",
-         "weight <= 0 OR weight > 1"),
-    Rule("UNI-03", "enrollments", "student, course and semester occur together once", "_enrollment_groups", (),
-         "enrollment_id", "_n > 1", "WARNING"),
-    Rule("UNI-04", "grades agrupado por enrollment_id", "weights of an enrollment add up to 1", "_weight_sums", (),
-         "enrollment_id", "abs(suma_pesos - 1) > 0.01", "WARNING"),
-    Rule("BIL-01", "invoice_items", "quantity > 0", "invoice_items", ("invoice_item_id", "quantity"),
-         "invoice_item_id", "quantity <= 0"),
-    Rule("BIL-02", "invoice_items", "unit_price >= 0", "invoice_items", ("invoice_item_id", "unit_price"),
-         "invoice_item_id", "unit_price < 0"),
-    Rule("BIL-03", "invoice_items", "line_total = quantity x unit_price", "invoice_items",
-         ("invoice_item_id", "quantity", "unit_price", "line_total"), "invoice_item_id",
-         "NOT coalesce(abs(line_total - quantity * unit_price) <= 0.01, false)"),
-    Rule("BIL-04", "products", "monthly_price >= 0", "products", ("product_id", "monthly_price"), "product_id",
-         "monthly_price < 0"),
-    Rule("BIL-05", "payments", "amount > 0", "payments", ("payment_id", "amount"), "payment_id", "amount <= 0"),
-    Rule("BIL-06", "invoices + invoice_items", "an invoice has at least one line", "_reconciliation", (),
-         "invoice_id", "sin_lineas", "WARNING"),
-    Rule("BIL-07", "invoices + invoice_items", "total = sum of the lines", "_reconciliation", (), "invoice_id",
-         "NOT sin_lineas AND NOT total_coincide", "WARNING"),
-    Rule("CRM-01", "accounts", "annual_revenue >= 0", "accounts", ("account_id", "annual_revenue"), "account_id",
-         "annual_revenue < 0"),
-    Rule("CRM-02", "accounts", "employees >= 0", "accounts", ("account_id", "employees"), "account_id",
-         "employees < 0"),
-    Rule("CRM-03", "leads", "score between 0 and 100", "leads", ("lead_id", "score"), "lead_id",
-         "score IS NULL OR score NOT BETWEEN 0 AND 100"),
-    Rule("CRM-04", "opportunities", "amount >= 0", "opportunities", ("opportunity_id", "amount"), "opportunity_id",
-         "amount < 0"),
+    _rule("UNI-01", "grades", "score between 0 and 100", _NO_SCORE, "score"),
+    _rule("UNI-02", "grades", "0 < weight <= 1", "weight <= 0 OR weight > 1", "weight"),
+    _warning("UNI-03", "enrollments", "student, course and semester occur together once", "_enrollment_groups",
+             "enrollment_id", "_n > 1"),
+    _warning("UNI-04", "grades agrupado por enrollment_id", "weights of an enrollment add up to 1", "_weight_sums",
+             "enrollment_id", "abs(suma_pesos - 1) > 0.01"),
+    _rule("BIL-01", "invoice_items", "quantity > 0", "quantity <= 0", "quantity"),
+    _rule("BIL-02", "invoice_items", "unit_price >= 0", "unit_price < 0", "unit_price"),
+    _rule("BIL-03", "invoice_items", "line_total = quantity x unit_price",
+          "NOT coalesce(abs(line_total - quantity * unit_price) <= 0.01, false)",
+          "quantity", "unit_price", "line_total"),
+    _rule("BIL-04", "products", "monthly_price >= 0", "monthly_price < 0", "monthly_price"),
+    _rule("BIL-05", "payments", "amount > 0", "amount <= 0", "amount"),
+    _warning("BIL-06", "invoices + invoice_items", "an invoice has at least one line", "_reconciliation",
+             "invoice_id", "sin_lineas"),
+    _warning("BIL-07", "invoices + invoice_items", "total = sum of the lines", "_reconciliation", "invoice_id",
+             "NOT sin_lineas AND NOT total_coincide"),
+    _rule("CRM-01", "accounts", "annual_revenue >= 0", "annual_revenue < 0", "annual_revenue"),
+    _rule("CRM-02", "accounts", "employees >= 0", "employees < 0", "employees"),
+    _rule("CRM-03", "leads", "score between 0 and 100", _NO_SCORE, "score"),
+    _rule("CRM-04", "opportunities", "amount >= 0", "amount < 0", "amount"),
 )
 
 
 def invoice_line_reconciliation(layers) -> DataFrame:
     """Per invoice: the sum of its lines and whether it matches the total within 0.01."""
-    lines = layers.reference("invoice_items", "invoice_id", "line_total").groupBy(F.col("invoice_id").alias("_lines"))
-    summed = lines.agg(F.coalesce(F.sum("line_total"), F.lit(0)).cast("decimal(28,2)").alias("total_calculado_lineas"))
+    summed = aggregate(
+        layers.reference("invoice_items", "invoice_id", "line_total"),
+        {"_lines": "invoice_id"},
+        {"total_calculado_lineas": f"cast(coalesce(sum(line_total), 0) AS {MONEY})"},
+    )
     invoices = layers.reference("invoices", "invoice_id", "customer_id", "issued_at", "status", "currency", "total")
-    joined = invoices.join(summed, F.col("invoice_id") == F.col("_lines"), "left").drop("_lines")
-    return joined.withColumns(
+    difference = "total - total_calculado_lineas"
+    return add(
+        invoices.join(summed, F.expr("invoice_id = _lines"), "left").drop("_lines"),
         {
-            "sin_lineas": F.col("total_calculado_lineas").isNull(),
-            "diferencia": F.expr("cast(total - total_calculado_lineas AS decimal(28,2))"),
-            "total_coincide": F.expr("coalesce(abs(total - total_calculado_lineas) <= 0.01, false)"),
-        }
+            "sin_lineas": "total_calculado_lineas IS NULL",
+            "diferencia": f"cast({difference} AS {MONEY})",
+            "total_coincide": f"coalesce(abs({difference}) <= 0.01, false)",
+        },
     )
 
 
 def _weight_sums(layers) -> DataFrame:
     weights = layers.reference("grades", "enrollment_id", "weight").filter("enrollment_id IS NOT NULL")
-    return weights.groupBy("enrollment_id").agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("suma_pesos"))
+    return aggregate(weights, same("enrollment_id"), {"suma_pesos": "coalesce(sum(weight), 0)"})
 
 
 def _enrollment_groups(layers) -> DataFrame:
     keys = ["student_id", "course_id", "semester_id"]
     enrollments = layers.reference("enrollments", "enrollment_id", *keys)
-    return attach_group(enrollments, keys, "enrollment_id", _n=F.count("*"))
+    return attach_group(enrollments, keys, "enrollment_id", {"_n": "count(*)"})
 
 
 _DERIVED = {
@@ -387,10 +357,11 @@ _DERIVED = {
 }
 
 
-def _rule_source(layers, rule: Rule) -> DataFrame:
-    if rule.source in _DERIVED:
-        return _DERIVED[rule.source](layers)
-    return layers.reference(rule.source, *rule.columns)
+def _source(layers, rules: list[Rule]) -> DataFrame:
+    name = rules[0].source
+    if name in _DERIVED:
+        return _DERIVED[name](layers)
+    return layers.reference(name, *dict.fromkeys(c for r in rules for c in r.columns))
 
 
 def _registry(layers, rules: tuple[Rule, ...]) -> DataFrame:
@@ -399,34 +370,27 @@ def _registry(layers, rules: tuple[Rule, ...]) -> DataFrame:
     for rule in rules:
         by_source.setdefault(rule.source, []).append(rule)
     parts = []
-    for source, members in by_source.items():
-        if source in _DERIVED:
-            df = _DERIVED[source](layers)
-        else:
-            df = layers.reference(source, *dict.fromkeys(c for r in members for c in r.columns))
-        wide = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.expr(r.invalid)).alias(r.code) for r in members])
+    for members in by_source.values():
+        measures = {"_rows": "count(*)", **{r.code: n(r.invalid) for r in members}}
         entries = ", ".join(
             f"'{r.code}', '{r.table}', '{r.text}', '{r.severity}', _rows, `{r.code}`" for r in members
         )
         parts.append(
-            wide.selectExpr(
+            aggregate(_source(layers, members), {}, measures).selectExpr(
                 f"stack({len(members)}, {entries}) AS "
                 "(codigo, tabla, descripcion, severidad, registros_evaluados, registros_invalidos)"
             )
         )
-    zero = F.lit(0).cast("decimal(18,2)")
-    share = percent(F.col("registros_invalidos"), F.col("registros_evaluados"))
-    return union(parts).withColumns(
-        {
-            "porcentaje_invalido": F.coalesce(share, zero),
-            "estado": _state(F.col("registros_invalidos") == 0),
-        }
+    share = percent("registros_invalidos", "registros_evaluados")
+    return add(
+        union(parts),
+        {"porcentaje_invalido": f"coalesce({share}, {ZERO_PCT})", **_state("registros_invalidos = 0")},
     )
 
 
 def temporal_rules(layers) -> DataFrame:
-    return _registry(layers, _TEMPORAL).select(
-        F.col("codigo").alias("regla"), "tabla", "descripcion", "registros_invalidos", "estado"
+    return _registry(layers, _TEMPORAL).selectExpr(
+        "codigo AS regla", "tabla", "descripcion", "registros_invalidos", "estado"
     )
 
 
@@ -435,29 +399,30 @@ def business_rules(layers) -> DataFrame:
 
 
 def rules_to_review(layers) -> DataFrame:
-    return business_rules(layers).filter(F.col("estado") == REVIEW)
+    return business_rules(layers).filter(f"estado = '{REVIEW}'")
 
 
 def rule_examples(layers, code: str, k: int = 20) -> DataFrame:
     """The first k violating rows of one rule, in key order."""
     rule = next(r for r in (*_TEMPORAL, *_BUSINESS) if r.code == code)
-    return _rule_source(layers, rule).filter(rule.invalid).orderBy(rule.key).limit(k)
+    return _source(layers, [rule]).filter(rule.invalid).orderBy(rule.key).limit(k)
 
 
 def rule_samples(layers, k: int = 20) -> DataFrame:
     """(codigo, clave): keys of the first k violating rows of every business rule."""
-    parts = []
-    for rule in _BUSINESS:
-        first = rule_examples(layers, rule.code, k)
-        parts.append(first.select(F.lit(rule.code).alias("codigo"), F.col(rule.key).alias("clave")))
-    return union(parts)
+    return union(
+        [
+            rule_examples(layers, r.code, k).selectExpr(f"'{r.code}' AS codigo", f"{r.key} AS clave")
+            for r in _BUSINESS
+        ]
+    )
 
 
 def student_ages(layers) -> DataFrame:
     """(student_id, edad): years of 365 days between birth and enrollment, at one decimal."""
+    days = "datediff(cast(enrolled_at AS date), birth_date)"
     students = layers.reference("students", "student_id", "birth_date", "enrolled_at")
-    days = F.datediff(F.col("enrolled_at").cast("date"), "birth_date")
-    return students.select("student_id", half_up(days, F.lit(365), 1).alias("edad"))
+    return students.selectExpr("student_id", f"{half_up(days, '365', 1)} AS edad")
 
 
 def age_at_enrollment(layers) -> DataFrame:
@@ -467,12 +432,11 @@ def age_at_enrollment(layers) -> DataFrame:
 def validation_summary(layers) -> DataFrame:
     """Row conservation, repeated ids and missing ids of the students table as three rows."""
     silver = layers.silver("students")
-    counts = silver.agg(F.count("*").alias("silver"), F.count_if(F.expr(null_key("students"))).alias("missing"))
-    counts = counts.crossJoin(_raw(layers, "students").agg(F.count("*").alias("bronze")))
-    counts = counts.crossJoin(duplicate_groups(silver, ["student_id"]))
-    rows = counts.selectExpr(
+    counts = aggregate(silver, {}, {"silver": "count(*)", "missing": n(null_key("students"))})
+    counts = counts.crossJoin(aggregate(_raw(layers, "students"), {}, {"bronze": "count(*)"}))
+    rows = counts.crossJoin(duplicate_groups(silver, ["student_id"])).selectExpr(
         "stack(3, 'Conteo Bronze vs Silver', bronze = silver, silver,"
         " 'Student ID duplicados', duplicate_groups = 0, duplicate_groups,"
         " 'Student ID nulos', missing = 0, missing) AS (validacion, fine, cantidad)"
     )
-    return rows.select("validacion", _state(F.col("fine")).alias("resultado"), "cantidad")
+    return rows.selectExpr("validacion", f"{_state('fine')['estado']} AS resultado", "cantidad")

@@ -6,17 +6,12 @@ pass over it; a NULL condition is no violation.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tierline.catalogue import ENROLLMENT_STATUS, INVOICE_STATUS, RELATIONS, SUBSCRIPTION_STATUS, TABLES
+from tierline.functions.cleanse import blank
 from tierline.operators.links import duplicate_groups, orphan_keys
-
-
-def _blank(column: str) -> str:
-    return f"{column} IS NULL OR trim({column}) = ''"
+from tierline.operators.measures import add, aggregate, n, union
 
 
 def _outside(column: str, accepted: tuple[str, ...]) -> str:
@@ -25,7 +20,7 @@ def _outside(column: str, accepted: tuple[str, ...]) -> str:
 
 
 def _blanks(*columns: str) -> dict[str, str]:
-    return {f"{c}_blank": _blank(c) for c in columns}
+    return {f"{c}_blank": blank(c) for c in columns}
 
 
 def _nulls(*columns: str) -> dict[str, str]:
@@ -171,34 +166,30 @@ def _stack(df: DataFrame, names: list[str], label: str, value: str) -> DataFrame
     return df.selectExpr(f"stack({len(names)}, {pairs}) AS ({label}, {value})")
 
 
-def union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def null_key(table: str) -> str:
-    return " OR ".join(f"({_blank(k)})" for k in TABLES[table].key)
+    return " OR ".join(blank(k) for k in TABLES[table].key)
 
 
 def rule_counts(layers, table: str) -> DataFrame:
     """(rule, violations) for one table, missing keys first, in one pass."""
     rules = {KEY_MISSING: null_key(table), **RULES[table]}
-    wide = layers.silver(table).agg(*[F.count_if(F.expr(sql)).alias(rule) for rule, sql in rules.items()])
+    wide = aggregate(layers.silver(table), {}, {rule: n(sql) for rule, sql in rules.items()})
     return _stack(wide, list(rules), "rule", "violations")
 
 
 def _one(df: DataFrame, column: str, rule: str) -> DataFrame:
-    return df.select(F.lit(rule).alias("rule"), F.col(column).cast("bigint").alias("violations"))
+    return df.selectExpr(f"'{rule}' AS rule", f"{column} AS violations")
 
 
 def _orphans(layers, relation: tuple) -> DataFrame:
     child, column, parent, _ = relation
     parents = layers.reference(parent, TABLES[parent].key[0])
     keys = orphan_keys(layers.reference(child, column), column, parents, TABLES[parent].key[0])
-    return keys.agg(F.count("*").alias("orphan_keys"))
+    return aggregate(keys, {}, {"orphan_keys": "count(*)"})
 
 
 def _repeated_attribute(layers, table: str, column: str) -> DataFrame:
-    named = layers.reference(table, column).filter(F.trim(F.col(column)) != "")
+    named = layers.reference(table, column).filter(f"NOT {blank(column)}")
     return duplicate_groups(named, [column])
 
 
@@ -209,7 +200,7 @@ def _repeated_combinations(layers) -> DataFrame:
 
 def _weight_sum_enrollments(layers) -> DataFrame:
     wrong = layers.silver("grades").filter("NOT is_weight_sum_one").select("enrollment_id").distinct()
-    return wrong.agg(F.count("*").alias("enrollments"))
+    return aggregate(wrong, {}, {"enrollments": "count(*)"})
 
 
 def table_report(layers, table: str) -> DataFrame:
@@ -231,7 +222,7 @@ def table_report(layers, table: str) -> DataFrame:
 
 
 def _named(table: str, df: DataFrame) -> DataFrame:
-    return df.select(F.lit(table).alias("table_name"), "*")
+    return df.selectExpr(f"'{table}' AS table_name", "*")
 
 
 def all_rule_counts(layers) -> DataFrame:
@@ -239,12 +230,8 @@ def all_rule_counts(layers) -> DataFrame:
 
 
 def null_keys(layers) -> DataFrame:
-    return union(
-        [
-            _named(t, layers.reference(t, *TABLES[t].key).agg(F.count_if(F.expr(null_key(t))).alias("null_key_rows")))
-            for t in TABLES
-        ]
-    )
+    keys = {t: layers.reference(t, *TABLES[t].key) for t in TABLES}
+    return union([_named(t, aggregate(df, {}, {"null_key_rows": n(null_key(t))})) for t, df in keys.items()])
 
 
 def duplicate_keys(layers) -> DataFrame:
@@ -257,18 +244,17 @@ def row_conservation(layers) -> DataFrame:
     """(table_name, bronze_rows, silver_rows, state): silver neither drops nor multiplies rows."""
     parts = []
     for t in TABLES:
-        before = layers.bronze(t).agg(F.count("*").alias("bronze_rows"))
-        after = layers.silver(t).agg(F.count("*").alias("silver_rows"))
+        before = aggregate(layers.bronze(t), {}, {"bronze_rows": "count(*)"})
+        after = aggregate(layers.silver(t), {}, {"silver_rows": "count(*)"})
         parts.append(_named(t, before.crossJoin(after)))
-    return union(parts).withColumn("state", F.when(F.expr("bronze_rows = silver_rows"), "OK").otherwise("REVISAR"))
+    return add(union(parts), {"state": "if(bronze_rows = silver_rows, 'OK', 'REVISAR')"})
 
 
 def orphans(layers) -> DataFrame:
     return union(
         [
-            _orphans(layers, r).select(
-                F.lit(r[0]).alias("table_name"), F.lit(r[1]).alias("column_name"), F.lit(r[2]).alias("parent"),
-                "orphan_keys",
+            _orphans(layers, r).selectExpr(
+                f"'{r[0]}' AS table_name", f"'{r[1]}' AS column_name", f"'{r[2]}' AS parent", "orphan_keys"
             )
             for r in ORPHAN_CHECKS
         ]
@@ -278,8 +264,8 @@ def orphans(layers) -> DataFrame:
 def duplicate_attributes(layers) -> DataFrame:
     return union(
         [
-            _repeated_attribute(layers, t, c).select(
-                F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "duplicate_groups"
+            _repeated_attribute(layers, t, c).selectExpr(
+                f"'{t}' AS table_name", f"'{c}' AS column_name", "duplicate_groups"
             )
             for t, c in UNIQUE_ATTRIBUTES
         ]
@@ -320,16 +306,16 @@ def gold_conservation(layers) -> DataFrame:
     """(object, expected_rows, actual_rows, state): gold row counts follow from their inputs."""
 
     def compare(name: str, expected: DataFrame, actual: DataFrame) -> DataFrame:
-        left = expected.agg(F.count("*").alias("expected_rows"))
-        return left.crossJoin(actual.agg(F.count("*").alias("actual_rows"))).select(F.lit(name).alias("object"), "*")
+        left = aggregate(expected, {}, {"expected_rows": "count(*)"})
+        both = left.crossJoin(aggregate(actual, {}, {"actual_rows": "count(*)"}))
+        return both.selectExpr(f"'{name}' AS object", "*")
 
     parts = []
     for name, layer, source, distinct in _CONSERVED:
         base = layers.silver(source) if layer == "silver" else layers.gold(source)
         parts.append(compare(name, base.select(*distinct).distinct() if distinct else base, layers.gold(name)))
     parts.append(compare("customer_billing_summary", _billing_pairs(layers), layers.gold("customer_billing_summary")))
-    checked = union(parts)
-    return checked.withColumn("state", F.when(F.expr("expected_rows = actual_rows"), "OK").otherwise("REVISAR"))
+    return add(union(parts), {"state": "if(expected_rows = actual_rows, 'OK', 'REVISAR')"})
 
 
 class InvalidTable(ValueError):
@@ -339,7 +325,7 @@ class InvalidTable(ValueError):
 def assert_valid(bronze: DataFrame, silver: DataFrame, table: str) -> int:
     """Row count of `silver`; raises on missing keys, duplicate keys or a row count unlike bronze."""
     key = list(TABLES[table].key)
-    counts = silver.agg(F.count("*").alias("rows"), F.count_if(F.expr(null_key(table))).alias("missing")).first()
+    counts = aggregate(silver, {}, {"rows": "count(*)", "missing": n(null_key(table))}).first()
     repeated = duplicate_groups(silver, key).first()["duplicate_groups"]
     before = bronze.count()
     if before != counts["rows"]:

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.exact import half_up, mean, percent
-from tierline.operators.measures import full_name, n, per_code, rows, zero_filled
+from tierline.functions.exact import half_up, percent
+from tierline.operators.measures import FULL_NAME, aggregate, count_of, n, per_code, same, sum_if, zero
 
-_STATUS = {
-    "completed_enrollments": "completed",
-    "active_enrollments": "active",
-    "failed_enrollments": "failed",
-    "dropped_enrollments": "dropped",
-}
+_STATUS = {f"{s}_enrollments": s for s in ("completed", "active", "failed", "dropped")}
 _GRADED = "status IN ('completed', 'failed') AND weighted_average_observed IS NOT NULL"
 
 
@@ -23,139 +18,113 @@ def grades_by_enrollment(layers) -> DataFrame:
     `is_weight_sum_one` restates the silver flag from the weights: all grades of an enrollment
     share it, and this way the silver join that spreads it over the rows is not needed here.
     """
-    weight = F.sum("weight")
-    usable = F.bool_and("is_score_valid") & F.bool_and("is_weight_valid") & (weight > 0)
-    grouped = layers.silver("grades").groupBy("enrollment_id")
-    return grouped.agg(
-        rows().alias("grade_records"),
-        F.bool_and("is_score_valid").alias("all_scores_valid"),
-        F.bool_and("is_weight_valid").alias("all_weights_valid"),
-        weight.cast("decimal(18,4)").alias("observed_weight_sum"),
-        F.when(usable, half_up(F.sum(F.col("score") * F.col("weight")), weight, 2, digits=6))
-        .cast("decimal(18,2)")
-        .alias("weighted_average_observed"),
-        F.coalesce((rows() == F.count("weight")) & (weight == 1), F.lit(False)).alias("is_weight_sum_one"),
+    usable = "bool_and(is_score_valid) AND bool_and(is_weight_valid) AND sum(weight) > 0"
+    average = half_up("sum(score * weight)", "sum(weight)", 2, digits=6)
+    return aggregate(
+        layers.silver("grades"),
+        same("enrollment_id"),
+        {
+            "grade_records": "count(*)",
+            "all_scores_valid": "bool_and(is_score_valid)",
+            "all_weights_valid": "bool_and(is_weight_valid)",
+            "observed_weight_sum": "cast(sum(weight) AS decimal(18,4))",
+            "weighted_average_observed": f"if({usable}, {average}, NULL)",
+            "is_weight_sum_one": "coalesce(count(*) = count(weight) AND sum(weight) = 1, false)",
+        },
     )
 
 
 def _graded_enrollments(layers) -> DataFrame:
     """Enrollments with their grade summary; both sides have one row per enrollment."""
-    grades = layers.gold("grades_by_enrollment").select(
-        F.col("enrollment_id").alias("_graded"), "weighted_average_observed", "is_weight_sum_one"
+    grades = layers.gold("grades_by_enrollment").selectExpr(
+        "enrollment_id AS _graded", "weighted_average_observed", "is_weight_sum_one"
     )
-    enrollments = layers.silver("enrollments")
-    return enrollments.join(grades, F.col("enrollment_id") == F.col("_graded"), "left")
-
-
-def _score_parts() -> list[Column]:
-    return [
-        n(_GRADED).alias("enrollments_with_observed_average"),
-        F.sum(F.when(F.expr(_GRADED), F.col("weighted_average_observed"))).alias("_score_sum"),
-    ]
+    return layers.silver("enrollments").join(grades, F.expr("enrollment_id = _graded"), "left")
 
 
-def _average_score() -> Column:
-    return mean(F.col("_score_sum"), F.col("enrollments_with_observed_average"))
-
-
-_STUDENT_COUNTS = [
-    "total_enrollments", *_STATUS, "repeated_combination_enrollments", "enrollments_with_grades",
-    "weight_sum_one_enrollments", "weight_sum_not_one_enrollments", "enrollments_with_observed_average",
-]
+# Counts over graded enrollments; the score sum stays apart so that groups can be merged exactly.
+_COUNTS = {
+    "total_enrollments": "count(*)",
+    **per_code("status", _STATUS),
+    "repeated_combination_enrollments": n("is_repeated_combination"),
+    "enrollments_with_grades": n("_graded IS NOT NULL"),
+}
+_WEIGHT_COUNTS = {
+    "weight_sum_one_enrollments": n("_graded IS NOT NULL AND is_weight_sum_one"),
+    "weight_sum_not_one_enrollments": n("_graded IS NOT NULL AND NOT is_weight_sum_one"),
+}
+_SCORED = {"enrollments_with_observed_average": n(_GRADED)}
+_SCORE_SUM = {"_score_sum": sum_if("weighted_average_observed", _GRADED)}
+_AVERAGE = half_up("_score_sum", "enrollments_with_observed_average", 2, digits=2) + " AS average_weighted_observed_score"
 
 
 def student_academic_summary(layers) -> DataFrame:
-    grouped = _graded_enrollments(layers).groupBy(F.col("student_id").alias("_student"))
-    metrics = grouped.agg(
-        rows().alias("total_enrollments"),
-        *per_code("status", _STATUS),
-        n("is_repeated_combination").alias("repeated_combination_enrollments"),
-        n("_graded IS NOT NULL").alias("enrollments_with_grades"),
-        n("_graded IS NOT NULL AND is_weight_sum_one").alias("weight_sum_one_enrollments"),
-        n("_graded IS NOT NULL AND NOT is_weight_sum_one").alias("weight_sum_not_one_enrollments"),
-        *_score_parts(),
-    )
-    students = layers.silver("students")
-    return students.join(metrics, F.col("student_id") == F.col("_student"), "left").select(
+    counts = {**_COUNTS, **_WEIGHT_COUNTS, **_SCORED}
+    metrics = aggregate(_graded_enrollments(layers), {"_student": "student_id"}, {**counts, **_SCORE_SUM})
+    joined = layers.silver("students").join(metrics, F.expr("student_id = _student"), "left")
+    return joined.selectExpr(
         "student_id",
-        full_name().alias("student_name"),
+        f"{FULL_NAME} AS student_name",
         "email",
         "country",
         "enrolled_at",
-        F.col("is_temporally_valid").alias("is_student_temporally_valid"),
-        *zero_filled(_STUDENT_COUNTS),
-        _average_score().alias("average_weighted_observed_score"),
+        "is_temporally_valid AS is_student_temporally_valid",
+        *zero(counts),
+        _AVERAGE,
     )
 
 
-_COURSE_SUMS = [
-    "total_enrollments", *_STATUS, "repeated_combination_enrollments", "enrollments_with_grades",
-    "enrollments_with_observed_average",
-]
-
-
 def _course_metrics(layers) -> DataFrame:
     """Per course, in two levels: first per (course, semester), which is where semesters are joined.
 
-    The few hundred thousand pairs of the first level are all that meets the semester table, and
-    the semester count falls out as a row count, so no distinct aggregate is left on the raw rows.
+    Only the pairs of the first level meet the semester table, and the semester count falls out of
+    them, so no distinct aggregate is left on the raw rows.
     """
-    per_semester = _graded_enrollments(layers).groupBy("course_id", "semester_id").agg(
-        rows().alias("total_enrollments"),
-        *per_code("status", _STATUS),
-        n("is_repeated_combination").alias("repeated_combination_enrollments"),
-        n("_graded IS NOT NULL").alias("enrollments_with_grades"),
-        *_score_parts(),
-    )
-    semesters = layers.silver("semesters").select(
-        F.col("semester_id").alias("_semester"), "year", F.col("is_temporally_valid").alias("_valid")
+    counts = {**_COUNTS, **_SCORED}
+    per_semester = aggregate(
+        _graded_enrollments(layers), same("course_id", "semester_id"), {**counts, **_SCORE_SUM}
     )
-    dated = per_semester.join(semesters, F.col("semester_id") == F.col("_semester"), "left")
-    return dated.groupBy(F.col("course_id").alias("_course")).agg(
-        *[F.sum(c).alias(c) for c in _COURSE_SUMS],
-        F.sum("_score_sum").alias("_score_sum"),
-        F.count_distinct("semester_id").alias("semesters_offered"),
-        F.min("year").alias("first_year_offered"),
-        F.max("year").alias("last_year_offered"),
-        F.coalesce(F.sum(F.when(~F.col("_valid"), F.col("total_enrollments"))), F.lit(0)).alias(
-            "temporally_invalid_semester_enrollments"
-        ),
+    semesters = layers.silver("semesters").selectExpr("semester_id AS _semester", "year", "is_temporally_valid")
+    return aggregate(
+        per_semester.join(semesters, F.expr("semester_id = _semester"), "left"),
+        {"_course": "course_id"},
+        {
+            **{c: f"sum({c})" for c in (*counts, *_SCORE_SUM)},
+            "semesters_offered": "count(DISTINCT semester_id)",
+            "first_year_offered": "min(year)",
+            "last_year_offered": "max(year)",
+            "temporally_invalid_semester_enrollments": count_of("total_enrollments", "NOT is_temporally_valid"),
+        },
     )
 
 
 def course_performance_summary(layers) -> DataFrame:
-    pairs = layers.silver("enrollments").select("course_id", "student_id").distinct()
-    attendance = pairs.groupBy(F.col("course_id").alias("_attended")).agg(
-        F.count("student_id").alias("distinct_students")
-    )
-    professors = layers.silver("professors").select(
-        F.col("professor_id").alias("_professor"),
-        full_name().alias("professor_name"),
-        F.col("department").alias("professor_department"),
+    pairs = layers.reference("enrollments", "course_id", "student_id").distinct()
+    attendance = aggregate(pairs, {"_attended": "course_id"}, {"distinct_students": "count(student_id)"})
+    professors = layers.silver("professors").selectExpr(
+        "professor_id AS _professor", f"{FULL_NAME} AS professor_name", "department AS professor_department"
     )
     joined = (
         layers.silver("courses")
-        .join(professors, F.col("professor_id") == F.col("_professor"), "left")
-        .join(_course_metrics(layers), F.col("course_id") == F.col("_course"), "left")
-        .join(attendance, F.col("course_id") == F.col("_attended"), "left")
+        .join(professors, F.expr("professor_id = _professor"), "left")
+        .join(_course_metrics(layers), F.expr("course_id = _course"), "left")
+        .join(attendance, F.expr("course_id = _attended"), "left")
     )
-    rate = lambda c: percent(F.col(c), F.col("total_enrollments"))
-    return joined.select(
+    rates = {"completion_rate_pct": "completed", "failure_rate_pct": "failed", "dropout_rate_pct": "dropped"}
+    return joined.selectExpr(
         "course_id",
-        F.col("code").alias("course_code"),
-        F.col("name").alias("course_name"),
+        "code AS course_code",
+        "name AS course_name",
         "credits",
         "department",
         "professor_id",
-        F.coalesce("professor_name", F.lit("")).alias("professor_name"),
+        "coalesce(professor_name, '') AS professor_name",
         "professor_department",
-        *zero_filled(["total_enrollments", "distinct_students", "semesters_offered"]),
-        *zero_filled([c for c in _COURSE_SUMS if c != "total_enrollments"]),
-        _average_score().alias("average_weighted_observed_score"),
+        *zero(["total_enrollments", "distinct_students", "semesters_offered"]),
+        *zero([*list(_COUNTS)[1:], *_SCORED]),
+        _AVERAGE,
         "first_year_offered",
         "last_year_offered",
-        *zero_filled(["temporally_invalid_semester_enrollments"]),
-        rate("completed_enrollments").alias("completion_rate_pct"),
-        rate("failed_enrollments").alias("failure_rate_pct"),
-        rate("dropped_enrollments").alias("dropout_rate_pct"),
+        *zero(["temporally_invalid_semester_enrollments"]),
+        *[f"{percent(f'{s}_enrollments', 'total_enrollments')} AS {rate}" for rate, s in rates.items()],
     )

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.exact import percent
-from tierline.operators.measures import sums, zero_filled
+from tierline.operators.measures import add, aggregate, sums, zero
 from tierline.plans.billing import ROLLUP
 
 
-def _any_positive(*columns: str) -> Column:
-    test = F.col(columns[0]) > 0
-    for c in columns[1:]:
-        test = test | (F.col(c) > 0)
-    return test
+def _any_positive(*columns: str) -> str:
+    return " OR ".join(f"{c} > 0" for c in columns)
 
 
 _BILLING_360 = [
@@ -26,28 +23,30 @@ _BILLING_360 = [
 
 def student_customer_360(layers) -> DataFrame:
     """Students with the customer that names them in external_ref and that customer's invoice counts."""
-    students = layers.gold("student_academic_summary").select(
-        "student_id", "student_name", F.col("email").alias("student_email"), F.col("country").alias("student_country"),
-        F.col("enrolled_at").alias("university_enrolled_at"), "total_enrollments", "completed_enrollments",
+    students = layers.gold("student_academic_summary").selectExpr(
+        "student_id", "student_name", "email AS student_email", "country AS student_country",
+        "enrolled_at AS university_enrolled_at", "total_enrollments", "completed_enrollments",
         "active_enrollments", "failed_enrollments", "dropped_enrollments", "enrollments_with_grades",
         "average_weighted_observed_score",
     )
-    customers = layers.gold("customer_subscription_summary").select(
-        "external_ref", "customer_id", "customer_name", F.col("email").alias("customer_email"),
-        F.col("country").alias("customer_country"), "segment", "is_student_linked", "total_subscriptions",
+    customers = layers.gold("customer_subscription_summary").selectExpr(
+        "external_ref", "customer_id", "customer_name", "email AS customer_email",
+        "country AS customer_country", "segment", "is_student_linked", "total_subscriptions",
         "active_subscriptions", "paused_subscriptions", "cancelled_subscriptions",
         "temporally_invalid_subscriptions", "active_subscriptions_to_inactive_products",
     )
-    billing = layers.gold("customer_billing_summary").groupBy(F.col("customer_id").alias("_payer")).agg(
-        F.count("currency").alias("billing_currency_count"),
-        *sums({k: ROLLUP[k] for k in _BILLING_360[1:]}),
+    billing = aggregate(
+        layers.gold("customer_billing_summary"),
+        {"_payer": "customer_id"},
+        {"billing_currency_count": "count(currency)", **sums({k: ROLLUP[k] for k in _BILLING_360[1:]})},
     )
-    joined = students.join(customers, F.col("student_id") == F.col("external_ref"), "left")
-    joined = joined.join(billing, F.col("customer_id") == F.col("_payer"), "left")
-    filled = joined.select(
-        *students.columns, *[c for c in customers.columns if c != "external_ref"], *zero_filled(_BILLING_360)
+    joined = students.join(customers, F.expr("student_id = external_ref"), "left")
+    joined = joined.join(billing, F.expr("customer_id = _payer"), "left")
+    filled = joined.selectExpr(
+        *students.columns, *[c for c in customers.columns if c != "external_ref"], *zero(_BILLING_360)
     )
-    return filled.withColumns(
+    return add(
+        filled,
         {
             "has_failed_enrollment": _any_positive("failed_enrollments"),
             "has_dropped_enrollment": _any_positive("dropped_enrollments"),
@@ -56,29 +55,31 @@ def student_customer_360(layers) -> DataFrame:
             "has_billing_reconciliation_issue": _any_positive(
                 "overpaid_invoices", "underpaid_invoices", "paid_status_but_underpaid"
             ),
-        }
+        },
     )
 
 
 def course_performance_dashboard(layers) -> DataFrame:
-    return layers.gold("course_performance_summary").withColumns(
+    return add(
+        layers.gold("course_performance_summary"),
         {
             "has_failed_enrollments": _any_positive("failed_enrollments"),
             "has_dropped_enrollments": _any_positive("dropped_enrollments"),
             "has_temporal_issue": _any_positive("temporally_invalid_semester_enrollments"),
-        }
+        },
     )
 
 
 def billing_customer_dashboard(layers) -> DataFrame:
-    return layers.gold("customer_billing_summary").withColumns(
+    return add(
+        layers.gold("customer_billing_summary"),
         {
-            "payment_coverage_pct": percent(F.col("total_paid"), F.col("total_invoiced"), digits=2),
+            "payment_coverage_pct": percent("total_paid", "total_invoiced", digits=2),
             "has_payment_reconciliation_issue": _any_positive(
                 "overpaid_invoice_count", "underpaid_invoice_count", "paid_status_but_underpaid_count"
             ),
             "has_invoice_item_issue": _any_positive("invoices_without_items", "invoices_not_matching_item_total"),
-        }
+        },
     )
 
 
@@ -92,16 +93,15 @@ _NOT_ON_CRM_DASHBOARD = [
 
 
 def crm_account_dashboard(layers) -> DataFrame:
-    return layers.gold("account_crm_summary").drop(*_NOT_ON_CRM_DASHBOARD).withColumns(
+    return add(
+        layers.gold("account_crm_summary").drop(*_NOT_ON_CRM_DASHBOARD),
         {
             "has_open_pipeline": _any_positive("open_opportunities"),
             "has_temporally_invalid_opportunity": _any_positive("temporally_invalid_opportunities"),
             "has_cross_account_contact_relationship": _any_positive("different_account_relationships"),
-        }
+        },
     )
 
 
 def lead_source_dashboard(layers) -> DataFrame:
-    return layers.gold("lead_funnel_summary").withColumn(
-        "has_quality_issue", _any_positive("leads_with_quality_issue")
-    )
+    return add(layers.gold("lead_funnel_summary"), {"has_quality_issue": _any_positive("leads_with_quality_issue")})

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tierline.catalogue import LINEAGE, TABLES
-from tierline.operators.measures import n, rows
+from tierline.operators.measures import aggregate, n, same, union
 from tierline.plans import insights, profiling, rules
 from tierline.plans.gold import GOLD
 from tierline.plans.layers import Layers
@@ -20,12 +20,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def invoice_reconciliation_by_status(layers: Layers) -> DataFrame:
     """Invoices per (status, payment balance), with those marked paid although underpaid."""
-    return layers.gold("invoice_detail").groupBy("status", "payment_balance_status").agg(
-        rows().alias("invoices"),
-        n("is_without_items").alias("without_items"),
-        n("does_invoice_match_items").alias("matching_items"),
-        n("is_paid_status_underpaid").alias("paid_but_underpaid"),
-        n("is_open_status_fully_paid").alias("open_but_fully_paid"),
+    return aggregate(
+        layers.gold("invoice_detail"),
+        same("status", "payment_balance_status"),
+        {
+            "invoices": "count(*)",
+            "without_items": n("is_without_items"),
+            "matching_items": n("does_invoice_match_items"),
+            "paid_but_underpaid": n("is_paid_status_underpaid"),
+            "open_but_fully_paid": n("is_open_status_fully_paid"),
+        },
     )
 
 
@@ -33,13 +37,24 @@ def bronze_volumes(layers: Layers) -> DataFrame:
     """(tabla, archivo, filas): rows per source file, as a load would report them."""
     parts = []
     for table in TABLES:
-        counted = layers.bronze(table).groupBy(F.col(LINEAGE[0]).alias("archivo")).agg(rows().alias("filas"))
-        parts.append(counted.select(F.lit(table).alias("tabla"), "archivo", "filas"))
-    return rules.union(parts)
+        counted = aggregate(layers.bronze(table), {"archivo": LINEAGE[0]}, {"filas": "count(*)"})
+        parts.append(counted.selectExpr(f"'{table}' AS tabla", "archivo", "filas"))
+    return union(parts)
+
+
+_LAYERS: WeakKeyDictionary[SparkSession, dict[str, Layers]] = WeakKeyDictionary()
+
+
+def _layers(spark: SparkSession, folder: str) -> Layers:
+    """The plans over one folder, built once per session; no data is kept, only unevaluated frames."""
+    known = _LAYERS.setdefault(spark, {})
+    if folder not in known:
+        known[folder] = Layers(StarSource(spark, folder).bronze)
+    return known[folder]
 
 
 def _over(plan: Callable[[Layers], DataFrame]) -> Query:
-    return lambda spark, folder: plan(Layers(StarSource(spark, folder).bronze))
+    return lambda spark, folder: plan(_layers(spark, folder))
 
 
 def _silver(table: str) -> Callable[[Layers], DataFrame]:

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Plans are built from many expressions; recording a Python call site for each one is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -33,8 +33,9 @@ def scan_text(spark: SparkSession, path: str, columns: list[str], multi_line: bo
 
 
 def with_lineage(df: DataFrame, file_name: str, ingested_at: datetime, batch_id: str) -> DataFrame:
-    return df.withColumns(
-        dict(zip(LINEAGE, (F.lit(file_name), F.lit(ingested_at).cast("timestamp"), F.lit(batch_id)), strict=True))
+    moment = ingested_at.strftime("%Y-%m-%d %H:%M:%S.%f%z")
+    return df.selectExpr(
+        "*", f"'{file_name}' AS {LINEAGE[0]}", f"timestamp'{moment}' AS {LINEAGE[1]}", f"'{batch_id}' AS {LINEAGE[2]}"
     )
 
 

@@ -13,7 +13,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.catalogue import TABLES, source_file
+from tierline.catalogue import source_file
+from tierline.operators.measures import aggregate, named
 from tierline.sources.csv import with_lineage
 
 BATCH = "star"
@@ -237,7 +238,7 @@ _LINE_INVOICES = {
 
 
 def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
+    return df.selectExpr(*named(columns))
 
 
 class StarSource:
@@ -246,18 +247,24 @@ class StarSource:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def scan(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        if table not in self._scans:
+            self._scans[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._scans[table]
 
     def _invoices(self) -> DataFrame:
         plain = self.scan("orders").filter("o_orderkey % 10 <> 1 AND o_custkey % 10 <> 0")
-        lines = self.scan("lineitem").filter("l_orderkey % 10 = 1").groupBy("l_orderkey")
-        summed = lines.agg(
-            F.expr(f"sum({_EXT}) AS total"),
-            F.min("l_shipdate").alias("first_day"),
-            F.max("l_shipdate").alias("last_day"),
-            F.min("l_returnflag").alias("flag"),
+        summed = aggregate(
+            self.scan("lineitem").filter("l_orderkey % 10 = 1"),
+            {"l_orderkey": "l_orderkey"},
+            {
+                "total": f"sum({_EXT})",
+                "first_day": "min(l_shipdate)",
+                "last_day": "max(l_shipdate)",
+                "flag": "min(l_returnflag)",
+            },
         )
         return _project(plain, _ORDER_INVOICES).unionByName(_project(summed, _LINE_INVOICES))
 
@@ -273,7 +280,7 @@ class StarSource:
         )
 
     def _accounts(self) -> DataFrame:
-        suppliers = self.scan("supplier").join(self.scan("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        suppliers = self.scan("supplier").join(self.scan("nation"), F.expr("s_nationkey = n_nationkey"))
         return suppliers.selectExpr(
             "cast(s_suppkey AS string) AS account_id",
             "if(s_suppkey % 41 = 7, ' ', s_name) AS name",
@@ -290,4 +297,4 @@ class StarSource:
             df = _project(self.scan(table).filter(condition), columns)
         else:
             df = {"invoices": self._invoices, "semesters": self._semesters, "accounts": self._accounts}[name]()
-        return with_lineage(df.select(*TABLES[name].columns), source_file(name), STAMP, BATCH)
+        return with_lineage(df, source_file(name), STAMP, BATCH)
