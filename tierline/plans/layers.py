@@ -20,11 +20,9 @@ class Layers:
         self,
         bronze: Callable[[str], DataFrame],
         silver: Callable[[str], DataFrame] | None = None,
-        gold: Callable[[str], DataFrame] | None = None,
     ) -> None:
         self._load_bronze = bronze
         self._load_silver = silver
-        self._load_gold = gold
         self._frames: dict[tuple[str, str], DataFrame] = {}
 
     def _once(self, layer: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -32,6 +30,10 @@ class Layers:
             self._frames[layer, name] = build()
         return self._frames[layer, name]
 
+    def use(self, layer: str, name: str, df: DataFrame) -> None:
+        """Read this frame from now on, for instance the scan of a table just written."""
+        self._frames[layer, name] = df
+
     def bronze(self, name: str) -> DataFrame:
         return self._once("bronze", name, lambda: self._load_bronze(name))
 
@@ -49,6 +51,4 @@ class Layers:
     def gold(self, name: str) -> DataFrame:
         from tierline.plans.gold import GOLD
 
-        if self._load_gold:
-            return self._once("gold", name, lambda: self._load_gold(name))
         return self._once("gold", name, lambda: GOLD[name](self))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from tierline.catalogue import ENROLLMENT_STATUS, INVOICE_STATUS, RELATIONS, SUBSCRIPTION_STATUS, TABLES
 from tierline.functions.cleanse import blank
 from tierline.operators.links import duplicate_groups, orphan_keys
-from tierline.operators.measures import add, aggregate, n, union
+from tierline.operators.measures import add, aggregate, count_of, n, union
 
 
 def _outside(column: str, accepted: tuple[str, ...]) -> str:
@@ -322,16 +322,17 @@ class InvalidTable(ValueError):
     """A silver table breaks a rule that must hold before anything is built on it."""
 
 
-def assert_valid(bronze: DataFrame, silver: DataFrame, table: str) -> int:
-    """Row count of `silver`; raises on missing keys, duplicate keys or a row count unlike bronze."""
+def assert_keys(keys: DataFrame, table: str) -> int:
+    """Row count of a table's silver key columns; raises on missing or repeated keys.
+
+    Needs the key columns only, so it runs before the table itself is built.
+    """
     key = list(TABLES[table].key)
-    counts = aggregate(silver, {}, {"rows": "count(*)", "missing": n(null_key(table))}).first()
-    repeated = duplicate_groups(silver, key).first()["duplicate_groups"]
-    before = bronze.count()
-    if before != counts["rows"]:
-        raise InvalidTable(f"{table}: {before} bronze rows, {counts['rows']} silver rows")
-    if counts["missing"]:
-        raise InvalidTable(f"{table}: {counts['missing']} rows without a key")
-    if repeated:
-        raise InvalidTable(f"{table}: {repeated} duplicated keys")
-    return counts["rows"]
+    groups = aggregate(keys, {k: k for k in key}, {"_n": "count(*)"})
+    measures = {"rows": "coalesce(sum(_n), 0)", "missing": count_of("_n", null_key(table)), "repeated": n("_n > 1")}
+    found = aggregate(groups, {}, measures).first()
+    if found["missing"]:
+        raise InvalidTable(f"{table}: {found['missing']} rows without a key")
+    if found["repeated"]:
+        raise InvalidTable(f"{table}: {found['repeated']} duplicated keys")
+    return found["rows"]
