@@ -59,7 +59,7 @@ def describe(df: DataFrame, column: str, digits: int) -> DataFrame:
         {
             "rows": "coalesce(sum(n), 0)",
             "mean": half_up("sum(v * n)", "sum(n)", 4, digits),
-            "spread": "(sum(v * v * n) - sum(v * n) * sum(v * n) / sum(n)) / (sum(n) - 1)",
+            "spread": "(sum(v * v * n) - sum(v * n) * sum(v * n) / nullif(sum(n), 0)) / nullif(sum(n) - 1, 0)",
             "low": "min(v)",
             **{f"p{p}": f"percentile(cast(v AS double), {p / 100}, n)" for p in (25, 50, 75)},
             "high": "max(v)",
