@@ -36,11 +36,13 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row (duplicados): rows beyond the first of each set of equal rows.
 
     Only 8-byte row hashes are shuffled for the whole table; full rows are compared just for the
-    hashes that repeat, so hash collisions cannot change the count.
+    hashes that repeat, so hash collisions cannot change the count. The second join column lets
+    adaptive execution split the rows of one very frequent hash (see `operators.links`).
     """
     hashed = add(df, {"_hash": f"xxhash64({', '.join(f'`{c}`' for c in df.columns)})"})
     repeated = aggregate(hashed, same("_hash"), {"_n": "count(*)"}).filter("_n > 1").select("_hash")
-    suspects = hashed.join(repeated, "_hash", "left_semi")
+    again = {"_again": "xxhash64(_hash)"}
+    suspects = add(hashed, again).join(add(repeated, again), ["_hash", "_again"], "left_semi")
     groups = suspects.groupBy(*df.columns).agg(F.expr("count(*) AS _n"))
     return groups.selectExpr("coalesce(sum(_n - 1), 0) AS duplicados")
 

@@ -274,6 +274,7 @@ class Rule:
     invalid: str
     columns: tuple[str, ...] = ()
     severity: str = "ERROR"
+    counted: str = ""  # source of already counted rows, column _n, to evaluate the rule on
 
 
 def _rule(code: str, table: str, text: str, invalid: str, *columns: str) -> Rule:
@@ -281,8 +282,8 @@ def _rule(code: str, table: str, text: str, invalid: str, *columns: str) -> Rule
     return Rule(code, table, text, table, key, invalid, (key, *columns))
 
 
-def _warning(code: str, table: str, text: str, source: str, key: str, invalid: str) -> Rule:
-    return Rule(code, table, text, source, key, invalid, severity="WARNING")
+def _warning(code: str, table: str, text: str, source: str, key: str, invalid: str, counted: str = "") -> Rule:
+    return Rule(code, table, text, source, key, invalid, severity="WARNING", counted=counted)
 
 
 _TEMPORAL = (
@@ -298,8 +299,8 @@ _NO_SCORE = "score IS NULL OR score NOT BETWEEN 0 AND 100"
 _BUSINESS = (
     _rule("UNI-01", "grades", "score between 0 and 100", _NO_SCORE, "score"),
     _rule("UNI-02", "grades", "0 < weight <= 1", "weight <= 0 OR weight > 1", "weight"),
-    _warning("UNI-03", "enrollments", "student, course and semester occur together once", "_enrollment_groups",
-             "enrollment_id", "_n > 1"),
+    _warning("UNI-03", "enrollments", "student, course and semester occur together once", "_grouped_enrollments",
+             "enrollment_id", "_n > 1", "_enrollment_groups"),
     _warning("UNI-04", "grades agrupado por enrollment_id", "weights of an enrollment add up to 1", "_weight_sums",
              "enrollment_id", "abs(suma_pesos - 1) > 0.01"),
     _rule("BIL-01", "invoice_items", "quantity > 0", "quantity <= 0", "quantity"),
@@ -344,21 +345,28 @@ def _weight_sums(layers) -> DataFrame:
     return aggregate(weights, same("enrollment_id"), {"suma_pesos": "coalesce(sum(weight), 0)"})
 
 
+_COMBINATION = ["student_id", "course_id", "semester_id"]
+
+
+def _grouped_enrollments(layers) -> DataFrame:
+    """Enrollments with the size of their (student, course, semester) group."""
+    enrollments = layers.reference("enrollments", "enrollment_id", *_COMBINATION)
+    return attach_group(enrollments, _COMBINATION, "enrollment_id", {"_n": "count(*)"})
+
+
 def _enrollment_groups(layers) -> DataFrame:
-    keys = ["student_id", "course_id", "semester_id"]
-    enrollments = layers.reference("enrollments", "enrollment_id", *keys)
-    return attach_group(enrollments, keys, "enrollment_id", {"_n": "count(*)"})
+    return aggregate(layers.reference("enrollments", *_COMBINATION), same(*_COMBINATION), {"_n": "count(*)"})
 
 
 _DERIVED = {
     "_reconciliation": invoice_line_reconciliation,
     "_weight_sums": _weight_sums,
+    "_grouped_enrollments": _grouped_enrollments,
     "_enrollment_groups": _enrollment_groups,
 }
 
 
-def _source(layers, rules: list[Rule]) -> DataFrame:
-    name = rules[0].source
+def _source(layers, name: str, rules: list[Rule]) -> DataFrame:
     if name in _DERIVED:
         return _DERIVED[name](layers)
     return layers.reference(name, *dict.fromkeys(c for r in rules for c in r.columns))
@@ -368,15 +376,18 @@ def _registry(layers, rules: tuple[Rule, ...]) -> DataFrame:
     """Rules on the same source are counted in one pass over it."""
     by_source: dict[str, list[Rule]] = {}
     for rule in rules:
-        by_source.setdefault(rule.source, []).append(rule)
+        by_source.setdefault(rule.counted or rule.source, []).append(rule)
     parts = []
-    for members in by_source.values():
-        measures = {"_rows": "count(*)", **{r.code: n(r.invalid) for r in members}}
+    for source, members in by_source.items():
+        if members[0].counted:
+            measures = {"_rows": "coalesce(sum(_n), 0)", **{r.code: count_of("_n", r.invalid) for r in members}}
+        else:
+            measures = {"_rows": "count(*)", **{r.code: n(r.invalid) for r in members}}
         entries = ", ".join(
             f"'{r.code}', '{r.table}', '{r.text}', '{r.severity}', _rows, `{r.code}`" for r in members
         )
         parts.append(
-            aggregate(_source(layers, members), {}, measures).selectExpr(
+            aggregate(_source(layers, source, members), {}, measures).selectExpr(
                 f"stack({len(members)}, {entries}) AS "
                 "(codigo, tabla, descripcion, severidad, registros_evaluados, registros_invalidos)"
             )
@@ -405,7 +416,7 @@ def rules_to_review(layers) -> DataFrame:
 def rule_examples(layers, code: str, k: int = 20) -> DataFrame:
     """The first k violating rows of one rule, in key order."""
     rule = next(r for r in (*_TEMPORAL, *_BUSINESS) if r.code == code)
-    return _source(layers, [rule]).filter(rule.invalid).orderBy(rule.key).limit(k)
+    return _source(layers, rule.source, [rule]).filter(rule.invalid).orderBy(rule.key).limit(k)
 
 
 def rule_samples(layers, k: int = 20) -> DataFrame:

@@ -22,14 +22,18 @@ _BILLING_360 = [
 
 
 def student_customer_360(layers) -> DataFrame:
-    """Students with the customer that names them in external_ref and that customer's invoice counts."""
+    """Students with the customer that names them in external_ref and that customer's invoice counts.
+
+    Customers without a reference, possibly most of them, leave before the join: a student id is
+    never blank, the key checks see to that.
+    """
     students = layers.gold("student_academic_summary").selectExpr(
         "student_id", "student_name", "email AS student_email", "country AS student_country",
         "enrolled_at AS university_enrolled_at", "total_enrollments", "completed_enrollments",
         "active_enrollments", "failed_enrollments", "dropped_enrollments", "enrollments_with_grades",
         "average_weighted_observed_score",
     )
-    customers = layers.gold("customer_subscription_summary").selectExpr(
+    customers = layers.gold("customer_subscription_summary").filter("external_ref <> ''").selectExpr(
         "external_ref", "customer_id", "customer_name", "email AS customer_email",
         "country AS customer_country", "segment", "is_student_linked", "total_subscriptions",
         "active_subscriptions", "paused_subscriptions", "cancelled_subscriptions",
