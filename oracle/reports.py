@@ -398,11 +398,12 @@ _RULES = [
 ]
 
 
-def _business(review_only: bool = False) -> str:
+def _business(review_only: bool = False, temporal: bool = False) -> str:
+    rules = [(code, t, text, "ERROR", f"s_{t}", "", bad) for code, t, text, bad in _TEMPORAL] if temporal else []
     parts = [
         f"SELECT '{code}' AS codigo, '{t}' AS tabla, '{text}' AS descripcion, '{severity}' AS severidad,"
         f" count(*) AS registros_evaluados, count(*) FILTER (WHERE {bad}) AS registros_invalidos FROM {source}"
-        for code, t, text, severity, source, _, bad in _RULES
+        for code, t, text, severity, source, _, bad in [*rules, *_RULES]
     ]
     share = pct("registros_invalidos", "registros_evaluados")
     return (
@@ -498,6 +499,7 @@ FROM (SELECT external_ref, external_ref IN (SELECT student_id FROM b_students) A
     "age_at_enrollment": _describe(_AGES, "edad"),
     "type_report": _types(),
     "columns_to_convert": f"SELECT * FROM ({_types()}) WHERE requiere_conversion = 'SÍ'",
+    "rule_registry": _business(temporal=True),
     "business_rules": _business(),
     "rules_to_review": _business(review_only=True),
     "rule_samples": _union(
@@ -611,7 +613,7 @@ REPORTS |= {
 SELECT situacion_academica, count(*) AS estudiantes,
        {pct('count(*)', '(SELECT count(*) FROM g_student_academic_summary)')} AS porcentaje
 FROM (SELECT {_SITUATION} AS situacion_academica FROM g_student_academic_summary) GROUP BY situacion_academica""",
-    "observed_score_summary": _describe("g_student_academic_summary", "average_weighted_observed_score"),
+    "observed_score_distribution": _describe("g_student_academic_summary", "average_weighted_observed_score"),
     "observed_score_histogram": """
 SELECT b.bin, CAST(CAST(low * 20 + (high - low) * b.bin AS DECIMAL(18,4)) / 2000 AS DECIMAL(18,4)) AS desde,
        CAST(CAST(low * 20 + (high - low) * (b.bin + 1) AS DECIMAL(18,4)) / 2000 AS DECIMAL(18,4)) AS hasta,

@@ -31,6 +31,29 @@ def test_query_equals_sql(spark, duck, name):
     assert verdict == "ok"
 
 
+@pytest.mark.parametrize(
+    "name", ["customer_billing_summary", "account_crm_summary", "silver_grades", "profile_tables", "dq_orphans"]
+)
+def test_same_result_with_shuffle_joins_and_split_partitions(spark, duck, name):
+    """The plans a large cluster would run: no broadcast, every partition counted as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        verdict, _, _ = compare(spark, duck, SMALL, name, contract.queries()[name], contract.oracle_sql()[name])
+        assert verdict == "ok"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert sum(r["invoices"] for r in rows) > 0

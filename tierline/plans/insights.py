@@ -100,7 +100,7 @@ def student_situation(layers) -> DataFrame:
     return with_share(counted, "estudiantes", "porcentaje")
 
 
-def observed_score_summary(layers) -> DataFrame:
+def observed_score_distribution(layers) -> DataFrame:
     return describe(layers.gold("student_academic_summary"), "average_weighted_observed_score", 2)
 
 

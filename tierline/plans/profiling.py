@@ -405,6 +405,11 @@ def temporal_rules(layers) -> DataFrame:
     )
 
 
+def rule_registry(layers) -> DataFrame:
+    """Every rule with rows evaluated, rows violating it, their share, severity and state."""
+    return _registry(layers, (*_TEMPORAL, *_BUSINESS))
+
+
 def business_rules(layers) -> DataFrame:
     return _registry(layers, _BUSINESS)
 

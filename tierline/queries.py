@@ -101,6 +101,7 @@ _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
             profiling.age_at_enrollment,
             profiling.type_report,
             profiling.columns_to_convert,
+            profiling.rule_registry,
             profiling.business_rules,
             profiling.rules_to_review,
             profiling.rule_samples,
@@ -115,7 +116,7 @@ _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
             insights.top_courses_failure,
             insights.top_courses_dropout,
             insights.student_situation,
-            insights.observed_score_summary,
+            insights.observed_score_distribution,
             insights.observed_score_histogram,
             insights.invoice_status_share,
             insights.payment_reconciliation_share,
