@@ -77,3 +77,9 @@ def top(df: DataFrame, by: str, tie_break: str, k: int = 10) -> DataFrame:
 
 def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def side_by_side(frames: list[DataFrame]) -> DataFrame:
+    """One row with the columns of several one-row frames, which share no column name."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.selectExpr(*[f"max({c}) AS {c}" for c in stacked.columns])

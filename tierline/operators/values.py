@@ -86,7 +86,8 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     counted = aggregate(known, {"v": f"cast({column} * 100 AS bigint)"}, {"n": "count(*)"})
     edges = aggregate(counted, {}, {"low": "min(v)", "high": "max(v)"}).filter("low IS NOT NULL")
     spot = f"if(high = low, 0, least({bins - 1}, (v - low) * {bins} div (high - low)))"
-    filled = aggregate(counted.crossJoin(edges), {"b": spot}, {"n": "sum(n)"})
+    bounded = counted.withColumns({c: edges.select(c).scalar() for c in ("low", "high")})
+    filled = aggregate(bounded, {"b": spot}, {"n": "sum(n)"})
     all_bins = edges.selectExpr("low", "high", f"explode(sequence(0L, {bins - 1}L)) AS bin")
     edge = lambda i: f"cast((low * {bins} + (high - low) * ({i})) / {100 * bins}BD AS decimal(18,4))"
     return all_bins.join(filled, F.expr("bin = b"), "left").selectExpr(

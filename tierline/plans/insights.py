@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.exact import mean, percent
-from tierline.operators.measures import add, aggregate, labelled, n, same, sums, top, with_share
+from tierline.operators.measures import add, aggregate, labelled, n, same, side_by_side, sums, top, with_share
 from tierline.operators.values import describe, histogram
 from tierline.plans import kpis
 
@@ -231,7 +231,7 @@ def activity_type_counts(layers) -> DataFrame:
 
 
 def activity_assignment_share(layers) -> DataFrame:
-    wide = kpis.crm_totals(layers).select("assigned_activities").crossJoin(kpis.activity_totals(layers))
+    wide = side_by_side([kpis.crm_totals(layers).select("assigned_activities"), kpis.activity_totals(layers)])
     classes = {"Asignadas a una cuenta": "assigned_activities", "Sin referencia": "unassigned_activities"}
     return _share(wide, "clasificacion", "actividades", classes)
 

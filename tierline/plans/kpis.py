@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tierline.functions.exact import mean, money, percent
-from tierline.operators.measures import add, aggregate, n, same, sums
+from tierline.operators.measures import add, aggregate, n, same, side_by_side, sums
 from tierline.plans.billing import ROLLUP
 
 
@@ -122,9 +122,10 @@ EXECUTIVE_COLUMNS = [
 
 
 def executive_kpis(layers) -> DataFrame:
-    """One row. Each side of the cross joins is a global aggregate, hence exactly one row."""
-    wide = academic_totals(layers)
-    for part in (course_totals, invoice_totals, subscription_totals, crm_totals, lead_totals, activity_totals):
-        wide = wide.crossJoin(part(layers))
+    """One row: seven global aggregates, each of exactly one row, put together."""
+    parts = (
+        academic_totals, course_totals, invoice_totals, subscription_totals, crm_totals, lead_totals, activity_totals,
+    )
+    wide = side_by_side([part(layers) for part in parts])
     wide = add(wide, {"customers_without_invoices": "total_customers - customers_with_invoices"})
     return wide.selectExpr("'current' AS snapshot_id", *EXECUTIVE_COLUMNS)

@@ -16,7 +16,7 @@ from tierline.catalogue import CATEGORICAL, RELATIONS, TABLES, columns_of_kind
 from tierline.functions.cleanse import converted, sql_type
 from tierline.functions.exact import MONEY, half_up, percent
 from tierline.operators.links import attach_group, duplicate_groups, orphan_rows
-from tierline.operators.measures import add, aggregate, count_of, n, named, same, union
+from tierline.operators.measures import add, aggregate, count_of, n, named, same, side_by_side, union
 from tierline.operators.values import describe, duplicate_rows, first_values, value_counts
 from tierline.plans.rules import null_key
 
@@ -48,7 +48,7 @@ def profile_tables(layers) -> DataFrame:
         size = aggregate(
             df, {}, {"filas": "count(*)", "columnas": f"{len(spec.columns)}L", "nulos_totales": nulls}
         )
-        parts.append(_tagged(table, size.crossJoin(duplicate_rows(df))))
+        parts.append(_tagged(table, side_by_side([size, duplicate_rows(df)])))
     return union(parts)
 
 
@@ -160,9 +160,9 @@ def _distribution(layers, table: str, columns: list[str]) -> DataFrame:
     df = _raw(layers, table)
     labelled = {"columna": "columna", "valor": f"coalesce(valor, '{NULL_LABEL}')"}
     merged = aggregate(value_counts(df, columns), labelled, {"cantidad": "sum(n)"})
-    size = aggregate(df, {}, {"_filas": "count(*)"})
-    shares = add(merged.crossJoin(size), {"porcentaje": percent("cantidad", "_filas")})
-    return _tagged(table, shares.drop("_filas"))
+    size = aggregate(df, {}, {"rows": "count(*)"})
+    sized = merged.withColumn("_filas", size.scalar())
+    return _tagged(table, add(sized, {"porcentaje": percent("cantidad", "_filas")}).drop("_filas"))
 
 
 def category_distribution(layers) -> DataFrame:
@@ -449,8 +449,8 @@ def validation_summary(layers) -> DataFrame:
     """Row conservation, repeated ids and missing ids of the students table as three rows."""
     silver = layers.silver("students")
     counts = aggregate(silver, {}, {"silver": "count(*)", "missing": n(null_key("students"))})
-    counts = counts.crossJoin(aggregate(_raw(layers, "students"), {}, {"bronze": "count(*)"}))
-    rows = counts.crossJoin(duplicate_groups(silver, ["student_id"])).selectExpr(
+    before = aggregate(_raw(layers, "students"), {}, {"bronze": "count(*)"})
+    rows = side_by_side([counts, before, duplicate_groups(silver, ["student_id"])]).selectExpr(
         "stack(3, 'Conteo Bronze vs Silver', bronze = silver, silver,"
         " 'Student ID duplicados', duplicate_groups = 0, duplicate_groups,"
         " 'Student ID nulos', missing = 0, missing) AS (validacion, fine, cantidad)"

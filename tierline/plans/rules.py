@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from tierline.catalogue import ENROLLMENT_STATUS, INVOICE_STATUS, RELATIONS, SUBSCRIPTION_STATUS, TABLES
 from tierline.functions.cleanse import blank
 from tierline.operators.links import duplicate_groups, orphan_keys
-from tierline.operators.measures import add, aggregate, count_of, n, union
+from tierline.operators.measures import add, aggregate, count_of, n, side_by_side, union
 
 
 def _outside(column: str, accepted: tuple[str, ...]) -> str:
@@ -246,7 +246,7 @@ def row_conservation(layers) -> DataFrame:
     for t in TABLES:
         before = aggregate(layers.bronze(t), {}, {"bronze_rows": "count(*)"})
         after = aggregate(layers.silver(t), {}, {"silver_rows": "count(*)"})
-        parts.append(_named(t, before.crossJoin(after)))
+        parts.append(_named(t, side_by_side([before, after])))
     return add(union(parts), {"state": "if(bronze_rows = silver_rows, 'OK', 'REVISAR')"})
 
 
@@ -306,9 +306,8 @@ def gold_conservation(layers) -> DataFrame:
     """(object, expected_rows, actual_rows, state): gold row counts follow from their inputs."""
 
     def compare(name: str, expected: DataFrame, actual: DataFrame) -> DataFrame:
-        left = aggregate(expected, {}, {"expected_rows": "count(*)"})
-        both = left.crossJoin(aggregate(actual, {}, {"actual_rows": "count(*)"}))
-        return both.selectExpr(f"'{name}' AS object", "*")
+        counts = [aggregate(expected, {}, {"expected_rows": "count(*)"}), aggregate(actual, {}, {"actual_rows": "count(*)"})]
+        return side_by_side(counts).selectExpr(f"'{name}' AS object", "*")
 
     parts = []
     for name, layer, source, distinct in _CONSERVED:
