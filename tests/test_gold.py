@@ -4,8 +4,9 @@ from decimal import Decimal as D
 
 import pytest
 
-from fixture_rows import fixture_layers
+from fixture_rows import ROWS, bronze_loader, fixture_layers
 from tierline.plans import kpis, profiling, rules
+from tierline.plans.layers import Layers
 
 
 @pytest.fixture(scope="module")
@@ -126,6 +127,13 @@ def test_student_360(layers):
     assert found["S2"]["has_invoices"] is False
 
 
+def test_a_student_named_by_two_customers_has_two_rows(spark):
+    more = {**ROWS, "customers": [*ROWS["customers"], {"customer_id": "K5", "external_ref": "S1 "}]}
+    found = Layers(bronze_loader(spark, more)).gold("student_customer_360").collect()
+    pairs = sorted((r["student_id"], r["customer_id"] or "", r["total_invoices"]) for r in found)
+    assert pairs == [("S1", "K1", 3), ("S1", "K5", 0), ("S2", "", 0), ("S3", "", 0)]
+
+
 def test_gold_row_counts_follow_from_inputs(layers):
     assert {r["state"] for r in rules.gold_conservation(layers).collect()} == {"OK"}
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.exact import half_up, percent
+from tierline.operators.links import hot_key_join
 from tierline.operators.measures import FULL_NAME, aggregate, count_of, n, per_code, same, sum_if, zero
 
 _STATUS = {f"{s}_enrollments": s for s in ("completed", "active", "failed", "dropped")}
@@ -105,8 +106,7 @@ def course_performance_summary(layers) -> DataFrame:
         "professor_id AS _professor", f"{FULL_NAME} AS professor_name", "department AS professor_department"
     )
     joined = (
-        layers.silver("courses")
-        .join(professors, F.expr("professor_id = _professor"), "left")
+        hot_key_join(layers.silver("courses"), professors, "professor_id", "_professor", "course_id")
         .join(_course_metrics(layers), F.expr("course_id = _course"), "left")
         .join(attendance, F.expr("course_id = _attended"), "left")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.exact import percent
+from tierline.operators.links import hot_key_join
 from tierline.operators.measures import add, aggregate, sums, zero
 from tierline.plans.billing import ROLLUP
 
@@ -22,10 +23,11 @@ _BILLING_360 = [
 
 
 def student_customer_360(layers) -> DataFrame:
-    """Students with the customer that names them in external_ref and that customer's invoice counts.
+    """Students with the customers that name them in external_ref and those customers' invoice counts.
 
-    Customers without a reference, possibly most of them, leave before the join: a student id is
-    never blank, the key checks see to that.
+    Built from the customer side, so that a student named by very many customers does not end up in
+    one task; students nobody names are added with empty customer columns. Customers with a blank
+    reference leave first: a student id is never blank, the key checks see to that.
     """
     students = layers.gold("student_academic_summary").selectExpr(
         "student_id", "student_name", "email AS student_email", "country AS student_country",
@@ -44,9 +46,13 @@ def student_customer_360(layers) -> DataFrame:
         {"_payer": "customer_id"},
         {"billing_currency_count": "count(currency)", **sums({k: ROLLUP[k] for k in _BILLING_360[1:]})},
     )
-    joined = students.join(customers, F.expr("student_id = external_ref"), "left")
-    joined = joined.join(billing, F.expr("customer_id = _payer"), "left")
-    filled = joined.selectExpr(
+    paying = customers.join(billing, F.expr("customer_id = _payer"), "left")
+    known = students.withColumnRenamed("student_id", "_student")
+    named = hot_key_join(paying, known, "external_ref", "_student", "customer_id", how="inner")
+    named = named.withColumnRenamed("external_ref", "student_id")
+    references = customers.selectExpr("external_ref AS student_id").distinct()
+    alone = students.join(references, "student_id", "left_anti")
+    filled = named.unionByName(alone, allowMissingColumns=True).selectExpr(
         *students.columns, *[c for c in customers.columns if c != "external_ref"], *zero(_BILLING_360)
     )
     return add(
