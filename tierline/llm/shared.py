@@ -75,8 +75,14 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_KEPT: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64, by doubling."""
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64, by doubling; kept up to two million entries a base."""
+    if base in _KEPT and len(_KEPT[base]) >= n:
+        return _KEPT[base][:n]
+    wanted, n = n, n if n > 2_000_000 else max(n, 1_100_000)
     out = np.ones(max(n, 1), np.uint64)
     done = 1
     with np.errstate(over="ignore"):
@@ -84,7 +90,9 @@ def _powers(base: int, n: int) -> np.ndarray:
             step = min(done, n - done)
             out[done : done + step] = out[:step] * np.uint64(pow(base, done, 1 << 64))
             done += step
-    return out[:n]
+    if n <= 2_000_000:
+        _KEPT[base] = out
+    return out[:wanted]
 
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -100,18 +108,23 @@ def word_bounds(data: np.ndarray, is_space: np.ndarray) -> tuple[np.ndarray, np.
     return edge[0::2], edge[1::2]
 
 
-def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of the bytes of each word, from one running sum over all bytes."""
-    if not len(begin):
-        return np.empty(0, np.uint64)
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0, block: int = 1 << 20) -> np.ndarray:
+    """A 64-bit hash of the bytes of each word, from running sums over blocks of about `block` bytes."""
+    out = np.empty(len(begin), np.uint64)
     base = pow(_BASE, 2 * seed + 1, 1 << 64)
+    first = 0
     with np.errstate(over="ignore"):
-        power = _powers(base, len(data) + 1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * power[:-1], out=total[1:])
-        back = _powers(pow(base, -1, 1 << 64), len(data) + 1)
-        raw = (total[end] - total[begin]) * back[begin]
-        return splitmix(raw ^ splitmix((end - begin).astype(np.uint64) + np.uint64(seed)))
+        while first < len(begin):
+            last = max(first + 1, int(np.searchsorted(end, begin[first] + block, "right")))
+            at, to = begin[first], end[last - 1]
+            power, back = _powers(base, to - at + 1), _powers(pow(base, -1, 1 << 64), to - at + 1)
+            total = np.zeros(to - at + 1, np.uint64)
+            np.cumsum(_BYTES[data[at:to]] * power[:-1], out=total[1:])
+            b, e = begin[first:last] - at, end[first:last] - at
+            raw = (total[e] - total[b]) * back[b]
+            out[first:last] = splitmix(raw ^ splitmix((e - b).astype(np.uint64) + np.uint64(seed)))
+            first = last
+    return out
 
 
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
