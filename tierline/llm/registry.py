@@ -6,14 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierline.llm.fixity import OP10_SQL, op10_warc_fixity
+from tierline.llm.mixing import OP2_SQL, op2_source_mixing
 from tierline.llm.ngram_join import op7_ngram_jaccard_join
 from tierline.llm.quality import op1_quality_rules
 from tierline.llm.substring import op8_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_source_mixing": op2_source_mixing,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_warc_fixity": op10_warc_fixity,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_source_mixing": OP2_SQL,
+    "op10_warc_fixity": OP10_SQL,
+}
