@@ -11,10 +11,12 @@ from tierline.llm.mixing import OP2_SQL, op2_source_mixing
 from tierline.llm.ngram_join import op7_ngram_jaccard_join
 from tierline.llm.quality import op1_quality_rules
 from tierline.llm.substring import op8_substring_dedup
+from tierline.llm.tokens import op3_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
+    "op3_token_counts": op3_token_counts,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_warc_fixity": op10_warc_fixity,
