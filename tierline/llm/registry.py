@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.llm.fixity import OP10_SQL, op10_warc_fixity
+from tierline.llm.licenses import op5_license_scan
 from tierline.llm.mixing import OP2_SQL, op2_source_mixing
 from tierline.llm.ngram_join import op7_ngram_jaccard_join
 from tierline.llm.quality import op1_quality_rules
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
     "op3_token_counts": op3_token_counts,
+    "op5_license_scan": op5_license_scan,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_warc_fixity": op10_warc_fixity,
