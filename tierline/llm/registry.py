@@ -13,11 +13,13 @@ from tierline.llm.ngram_join import op7_ngram_jaccard_join
 from tierline.llm.quality import op1_quality_rules
 from tierline.llm.substring import op8_substring_dedup
 from tierline.llm.tokens import op3_token_counts
+from tierline.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
     "op5_license_scan": op5_license_scan,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
