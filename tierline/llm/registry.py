@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierline.llm.decontamination import op6_benchmark_decontamination
 from tierline.llm.fixity import OP10_SQL, op10_warc_fixity
 from tierline.llm.licenses import op5_license_scan
 from tierline.llm.mixing import OP2_SQL, op2_source_mixing
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_license_scan": op5_license_scan,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_warc_fixity": op10_warc_fixity,
