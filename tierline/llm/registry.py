@@ -11,6 +11,7 @@ from tierline.llm.fixity import OP10_SQL, op10_warc_fixity
 from tierline.llm.licenses import op5_license_scan
 from tierline.llm.mixing import OP2_SQL, op2_source_mixing
 from tierline.llm.ngram_join import op7_ngram_jaccard_join
+from tierline.llm.pii import op9_pii
 from tierline.llm.quality import op1_quality_rules
 from tierline.llm.substring import op8_substring_dedup
 from tierline.llm.tokens import op3_token_counts
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_pii": op9_pii,
     "op10_warc_fixity": op10_warc_fixity,
 }
 
