@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from tierline.llm.shared import column_bytes, settled, slices, space_flags, window_hashes, word_bounds, word_hashes
 
 _SPACE = space_flags()
-_SENT = pa.schema([("bucket", pa.int64()), ("doc", pa.int64()), ("blob", pa.binary())])
+_SENT = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
+_LANE = pa.schema([("lane", pa.int64()), ("blob", pa.binary())])
 _FOUND = pa.schema([("doc", pa.int64()), ("blob", pa.binary())])
 #: Entries of a bucket: what one task holds at a time.
 _BUCKET_ENTRIES = 6_000_000
@@ -99,6 +100,24 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _by_lane(ids: np.ndarray, keys: np.ndarray, lanes: int) -> Iterator[tuple[int, bytes]]:
+    """Hits packed by the lane of their documents."""
+    lane = ids % lanes
+    order = np.lexsort((ids, lane))
+    lane, ids, keys = lane[order], ids[order], keys[order]
+    at = [*_runs(lane), len(lane)] if len(lane) else []
+    for a, b in zip(at, at[1:]):
+        yield int(lane[a]), _packed(ids[a:b], keys[a:b])
+
+
+def _gathered(key: tuple, table: pa.Table) -> pa.Table:
+    """The hits of a lane, one row a document."""
+    parts = [_unpacked(x, np.uint64) for x in table["blob"].to_pylist()]
+    ids, keys = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(ids, kind="stable")
+    return pa.Table.from_batches([_table(list(_by_doc(ids[order], keys[order])), _FOUND)])
+
+
 def _anchors(block: int, bits: int, lanes: int) -> Callable:
     """Sends each rolling block of a slice once; documents that share a block inside the slice are hits at once."""
 
@@ -118,29 +137,27 @@ def _anchors(block: int, bits: int, lanes: int) -> Callable:
             anchored = np.logical_or.reduceat(anchor, run)
             shared = np.repeat(doc[run] != doc[last], last - run + 1)
             rows = []
-            again = np.flatnonzero(shared)
-            again = again[np.argsort(doc[again], kind="stable")]
-            for d, blob in _by_doc(part.ids[doc[again]], key[again]):
-                rows.append(((1 << bits) + d % lanes, d, blob))
+            for lane, blob in _by_lane(part.ids[doc[shared]], key[shared], lanes):
+                rows.append(((1 << bits) + lane, blob))
             key, sender = key[run], doc[run]
             bucket = (key >> np.uint64(32)).astype(np.int64)
             order = np.lexsort((sender, bucket))
             bucket, key, sender, anchored = bucket[order], key[order].astype(np.uint32), part.ids[sender[order]], anchored[order]
             at = [*_runs(bucket), len(bucket)]
             for a, b in zip(at, at[1:]):
-                rows.append((int(bucket[a]), None, _packed(sender[a:b], key[a:b], np.packbits(anchored[a:b]))))
+                rows.append((int(bucket[a]), _packed(sender[a:b], key[a:b], np.packbits(anchored[a:b]))))
             yield _table(rows, _SENT)
 
     return send
 
 
-def _probe(bits: int) -> Callable:
+def _probe(bits: int, lanes: int) -> Callable:
     """In a bucket: hashes that several slices sent, one of them with an anchor, are hits of all their senders."""
 
     def find(key: tuple, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
         if bucket >= 1 << bits:
-            return pa.table([table["doc"], table["blob"]], schema=_FOUND)
+            return pa.table([pa.array(np.full(len(table), bucket - (1 << bits))), table["blob"]], schema=_LANE)
         parts = [_unpacked(x, np.uint32, bool) for x in table["blob"].to_pylist()]
         ids, short, anchor = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(short, kind="stable")
@@ -149,8 +166,7 @@ def _probe(bits: int) -> Callable:
         size = np.diff(np.append(run, len(short)))
         hit = np.repeat((size > 1) & np.logical_or.reduceat(anchor, run), size)
         ids, short = ids[hit], short[hit].astype(np.uint64) | np.uint64(bucket << 32)
-        order = np.argsort(ids, kind="stable")
-        return pa.Table.from_batches([_table(list(_by_doc(ids[order], short[order])), _FOUND)])
+        return pa.Table.from_batches([_table(list(_by_lane(ids, short, lanes)), _LANE)])
 
     return find
 
@@ -168,7 +184,7 @@ def _extended(block: int, window: int, bits: int, bits2: int, lanes: int) -> Cal
             hits = batch.column("hits")
             for d, row in enumerate(part.order):
                 a, b = bounds[d], bounds[d + 1]
-                known = np.frombuffer(b"".join(hits[int(row)].as_py()), np.uint64)
+                known = np.frombuffer(hits[int(row)].as_py(), np.uint64)
                 hit[at[a:b][np.isin(key[a:b], known)] + 1] = 1
             np.cumsum(hit, out=hit)
             start, k1 = part.windows(window)
@@ -183,37 +199,35 @@ def _extended(block: int, window: int, bits: int, bits2: int, lanes: int) -> Cal
             run = _runs(k1, k2)
             least = np.repeat(ids[run], np.diff(np.append(run, len(k1))))
             rows = []
-            later = np.flatnonzero(ids > least)
-            later = later[np.argsort(ids[later], kind="stable")]
-            for d, blob in _by_doc(ids[later], k1[later]):
-                rows.append(((1 << bits2) + d % lanes, d, blob))
+            later = ids > least
+            for lane, blob in _by_lane(ids[later], k1[later], lanes):
+                rows.append(((1 << bits2) + lane, blob))
             ids, k1, k2 = ids[run], k1[run], k2[run]
             bucket = (k1 >> np.uint64(64 - bits2)).astype(np.int64) if bits2 else np.zeros(len(k1), np.int64)
             order = np.lexsort((ids, bucket))
             ids, k1, k2, bucket = ids[order], k1[order], k2[order], bucket[order]
             at = [*_runs(bucket), len(bucket)]
             for a, b in zip(at, at[1:]):
-                rows.append((int(bucket[a]), None, _packed(ids[a:b], k1[a:b], k2[a:b])))
+                rows.append((int(bucket[a]), _packed(ids[a:b], k1[a:b], k2[a:b])))
             yield _table(rows, _SENT)
 
     return send
 
 
-def _smallest(bits2: int) -> Callable:
+def _smallest(bits2: int, lanes: int) -> Callable:
     """In a bucket: every sender of a window that a smaller document sent too has a repeat."""
 
     def find(key: tuple, table: pa.Table) -> pa.Table:
-        if key[0].as_py() >= 1 << bits2:
-            return pa.table([table["doc"], table["blob"]], schema=_FOUND)
+        bucket = key[0].as_py()
+        if bucket >= 1 << bits2:
+            return pa.table([pa.array(np.full(len(table), bucket - (1 << bits2))), table["blob"]], schema=_LANE)
         parts = [_unpacked(x, np.uint64, np.uint32) for x in table["blob"].to_pylist()]
         ids, k1, k2 = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((ids, k2, k1))
         ids, k1, k2 = ids[order], k1[order], k2[order]
         run = _runs(k1, k2)
         later = ids > np.repeat(ids[run], np.diff(np.append(run, len(k1))))
-        ids, k1 = ids[later], k1[later]
-        order = np.argsort(ids, kind="stable")
-        return pa.Table.from_batches([_table(list(_by_doc(ids[order], k1[order])), _FOUND)])
+        return pa.Table.from_batches([_table(list(_by_lane(ids[later], k1[later], lanes)), _LANE)])
 
     return find
 
@@ -237,7 +251,7 @@ def _cut(window: int, with_text: bool) -> Callable:
                 gone = np.zeros(n + 1, np.int32)
                 if blobs and not empty[row]:
                     a, b = bounds[d], bounds[d + 1]
-                    hits = start[a:b][np.isin(k1[a:b], np.frombuffer(b"".join(blobs), np.uint64))] - first
+                    hits = start[a:b][np.isin(k1[a:b], np.frombuffer(blobs, np.uint64))] - first
                     np.add.at(gone, hits, 1)
                     np.add.at(gone, hits + window, -1)
                 lost = np.cumsum(gone)[:n] > 0
@@ -291,14 +305,16 @@ def repeats(docs: DataFrame, window: int = 13, with_text: bool = True) -> DataFr
     chars = named.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = _bits(chars // 6)
     lanes = 1 << bits
-    sent = named.mapInArrow(_anchors(block, bits, lanes), "bucket long, doc long, blob binary")
-    hits = settled(sent.groupBy("bucket").applyInArrow(_probe(bits), "doc long, blob binary"))
-    joined = named.join(
-        hits.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list("blob").alias("hits")), "doc_id"
-    )
-    sent = joined.mapInArrow(_extended(block, window, bits, bits, lanes), "bucket long, doc long, blob binary")
-    found = settled(sent.groupBy("bucket").applyInArrow(_smallest(bits), "doc long, blob binary"))
-    found = found.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list("blob").alias("found"))
+
+    def exchanged(sent: DataFrame, find: Callable, name: str) -> DataFrame:
+        lane = sent.groupBy("bucket").applyInArrow(find, "lane long, blob binary")
+        found = settled(lane.groupBy("lane").applyInArrow(_gathered, "doc long, blob binary"))
+        return found.select(F.col("doc").alias("doc_id"), F.col("blob").alias(name))
+
+    sent = named.mapInArrow(_anchors(block, bits, lanes), "bucket long, blob binary")
+    joined = named.join(exchanged(sent, _probe(bits, lanes), "hits"), "doc_id")
+    sent = joined.mapInArrow(_extended(block, window, bits, bits, lanes), "bucket long, blob binary")
+    found = exchanged(sent, _smallest(bits, lanes), "found")
     return base.join(found, "doc_id", "left").mapInArrow(_cut(window, with_text), _RESULT)
 
 
