@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tierline.llm.shared import WORD, text_of, words_of
 
@@ -130,11 +131,12 @@ def measured(docs: DataFrame, max_lost: float = 0.3, min_words: int = 50, max_re
 def clean(docs: DataFrame, **limits: float) -> DataFrame:
     """The documents that pass, with failing lines removed from their text and n_chars set anew; columns as in `docs`."""
     names = docs.columns
-    rows = measured(docs, **limits).where("q_kept")
-    rows = rows.withColumn("text", F.col("q_clean"))
+    rows = measured(docs, **limits).withColumn("text", F.col("q_clean"))
     if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
-    return rows.select(*names)
+        rows = rows.withColumn("n_chars", F.char_length("q_clean").cast("long"))
+    # As an array of one row or none: a filter would be moved below the projections and repeat all of their work.
+    kept = F.when(F.col("q_kept"), F.array(F.struct(*names))).otherwise(F.array().cast(ArrayType(docs.schema)))
+    return rows.select(F.inline(kept))
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tierline.llm.decontamination import op6_benchmark_decontamination
 from tierline.llm.fixity import OP10_SQL, op10_warc_fixity
 from tierline.llm.licenses import op5_license_scan
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_warc_fixity": op10_warc_fixity,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
