@@ -38,7 +38,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, a row each with `repeats`, the number of times."""
-    return mixed(docs).where("m_repeats > 0").select(*docs.columns, F.col("m_repeats").alias("repeats"))
+    packed = docs.select("doc_id", "source", "text", F.struct("*").alias("row"))
+    taken = mixed(packed).where("m_repeats > 0")
+    return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "repeats"], F.col("m_repeats").alias("repeats"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -295,9 +295,8 @@ def detected(docs: DataFrame, precision: float = 0.9) -> DataFrame:
 
 def redacted(docs: DataFrame, precision: float = 0.9) -> DataFrame:
     """`docs` with each span of the text replaced by its kind, as in [EMAIL], and n_chars set anew."""
-    names = docs.columns
     candidates = settled(proposed(docs.select("doc_id", "text")).select("doc_id", "p_more"))
-    rows = found(proposed(docs), learned(candidates, precision))
+    rows = found(proposed(docs.select("text", F.struct("*").alias("p_row"))), learned(candidates, precision))
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     text = F.aggregate(
@@ -316,9 +315,9 @@ def redacted(docs: DataFrame, precision: float = 0.9) -> DataFrame:
         lambda a: F.concat(a["out"], F.substring("text", (a["at"] + 1).cast("int"), F.length("text"))),
     )
     rows = rows.withColumn("text", F.when(F.size("p_spans") > 0, text).otherwise(F.col("text")))
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).cast("long"))
-    return rows.select(*names)
+    kind = dict(docs.dtypes).get("n_chars", "long")
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("text").isNotNull(), F.char_length("text")).cast(kind)}
+    return rows.select(*[new.get(c, F.col("p_row")[c]).alias(c) for c in docs.columns])
 
 
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:

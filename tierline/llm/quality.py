@@ -129,14 +129,16 @@ def measured(docs: DataFrame, max_lost: float = 0.3, min_words: int = 50, max_re
 
 
 def clean(docs: DataFrame, **limits: float) -> DataFrame:
-    """The documents that pass, with failing lines removed from their text and n_chars set anew; columns as in `docs`."""
-    names = docs.columns
-    rows = measured(docs, **limits).withColumn("text", F.col("q_clean"))
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.char_length("q_clean").cast("long"))
+    """The documents that pass, with failing lines removed from their text and n_chars set anew; columns as in `docs`.
+
+    Columns of other names come through as they are. A line is removed with its line end; texts without a failing line
+    stay as they are.
+    """
+    rows = measured(docs.select("text", F.struct("*").alias("q_row")), **limits)
+    new = {"text": F.col("q_clean"), "n_chars": F.char_length("q_clean").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    row = F.struct(*[new.get(c, F.col("q_row")[c]).alias(c) for c in docs.columns])
     # As an array of one row or none: a filter would be moved below the projections and repeat all of their work.
-    kept = F.when(F.col("q_kept"), F.array(F.struct(*names))).otherwise(F.array().cast(ArrayType(docs.schema)))
-    return rows.select(F.inline(kept))
+    return rows.select(F.inline(F.when(F.col("q_kept"), F.array(row)).otherwise(F.array().cast(ArrayType(docs.schema)))))
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
