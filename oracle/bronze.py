@@ -30,7 +30,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS student_id,
        CASE WHEN c_custkey % 97 = 5 THEN 'soon'
             ELSE {_day('2000-01-01', 'c_custkey % 3000')} || ' 09:30:00' END AS enrolled_at,
        ' nation_' || c_nationkey AS country
-FROM customer WHERE c_custkey % 3 <> 0""",
+FROM customer""",
     "b_professors": f"""
 SELECT CAST(s_suppkey AS VARCHAR) AS professor_id, ' prof' AS first_name, upper(s_name) AS last_name,
        s_name || '@Campus.EDU ' AS email,
@@ -44,8 +44,8 @@ SELECT CAST(p_partkey AS VARCHAR) AS course_id, 'c-' || lpad(CAST(p_partkey AS V
        CASE WHEN p_partkey % 19 = 4 THEN 'three' ELSE CAST(p_size % 6 AS VARCHAR) END AS credits,
        p_type AS department,
        CASE WHEN p_partkey % 23 = 5 THEN ' ' WHEN p_partkey % 17 = 0 THEN 'X' || p_partkey
-            ELSE CAST(p_partkey % 12 AS VARCHAR) END AS professor_id
-FROM part WHERE p_partkey < 50""",
+            ELSE CAST(p_partkey // 20 AS VARCHAR) END AS professor_id
+FROM part""",
     "b_semesters": f"""
 SELECT 'S' || y || '-' || h AS semester_id, ' s' || y || '-' || h AS code, CAST(y AS VARCHAR) AS year,
        CASE WHEN y % 5 = 0 THEN '3' ELSE CAST(h AS VARCHAR) END AS half,
@@ -59,7 +59,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS enrollment_id,
        CASE WHEN o_orderkey % 31 = 0 THEN 'unknown'
             ELSE {_pick('CAST(left(o_orderpriority, 1) AS INTEGER) - 1', 'Completed', ' completed', 'FAILED', 'dropped ', 'active')} END AS status,
        o_custkey || ' ' AS student_id,
-       CASE WHEN o_orderkey % 37 = 0 THEN 'X' || o_orderkey ELSE CAST(o_orderkey % 50 AS VARCHAR) END AS course_id,
+       CASE WHEN o_orderkey % 37 = 0 THEN 'X' || o_orderkey WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey // 512 * 64 AS VARCHAR)
+            ELSE CAST(o_orderkey // 8 AS VARCHAR) END AS course_id,
        {_SEM} AS semester_id
 FROM orders""",
     "b_grades": f"""
@@ -74,7 +75,8 @@ SELECT {_LINE} AS grade_id,
 FROM lineitem""",
     "b_customers": f"""
 SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
-       CASE WHEN c_custkey % 20 = 1 THEN '  ' WHEN c_custkey % 2 = 0 THEN CAST(c_custkey // 2 AS VARCHAR) END AS external_ref,
+       CASE WHEN c_custkey % 20 = 1 THEN '  ' WHEN c_custkey % 6 = 0 THEN 'X' || c_custkey
+            WHEN c_custkey % 2 = 0 THEN CAST(c_custkey // 2 AS VARCHAR) END AS external_ref,
        ' ' || lower(c_mktsegment) AS first_name, 'NATION ' || c_nationkey AS last_name,
        CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN ''
             ELSE upper(c_name) || '@Example.COM ' END AS email,
@@ -98,25 +100,25 @@ SELECT 'SUB-' || o_orderkey AS subscription_id,
        CASE WHEN o_orderkey % 10 = 7 THEN NULL
             ELSE CAST(CAST({_DAY} + CAST((o_orderkey % 9 - 2) * 30 AS INTEGER) AS DATE) AS VARCHAR) END AS end_date,
        CASE WHEN o_orderkey % 41 = 0 THEN 'X' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
-       CASE WHEN o_orderkey % 47 = 0 THEN ' ' ELSE CAST(o_orderkey * 7 % 200 AS VARCHAR) END AS product_id
+       CASE WHEN o_orderkey % 47 = 0 THEN ' ' ELSE CAST(o_orderkey // 8 AS VARCHAR) END AS product_id
 FROM orders""",
     "b_invoices": f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS invoice_id, CAST({_DAY} AS VARCHAR) AS issued_at,
-       CASE WHEN o_orderkey % 39 = 0 THEN NULL
+SELECT CAST(o_orderkey AS VARCHAR) AS invoice_id,
+       CAST(CAST(CASE WHEN summed THEN first_day ELSE o_orderdate END AS DATE) AS VARCHAR) AS issued_at,
+       CASE WHEN summed THEN CAST(CAST(last_day AS DATE) AS VARCHAR) WHEN o_orderkey % 39 = 0 THEN NULL
             ELSE CAST(CAST({_DAY} + CAST((o_orderkey % 12 - 1) * 10 AS INTEGER) AS DATE) AS VARCHAR) END AS due_at,
-       CASE WHEN o_orderkey % 111 = 0 THEN 'tbd' WHEN o_orderkey % 113 = 0 THEN '-10.00'
+       CASE WHEN summed THEN CAST(CAST(line_sum AS DECIMAL(12,2)) AS VARCHAR)
+            WHEN o_orderkey % 111 = 0 THEN 'tbd' WHEN o_orderkey % 113 = 0 THEN '-10.00'
             ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS total,
-       CASE WHEN o_orderkey % 59 = 0 THEN 'void' WHEN o_orderstatus = 'F' THEN 'Paid'
+       CASE WHEN summed AND flag = 'A' THEN 'pending' WHEN summed AND flag = 'N' THEN ' PAID' WHEN summed THEN 'overdue'
+            WHEN o_orderkey % 59 = 0 THEN 'void' WHEN o_orderstatus = 'F' THEN 'Paid'
             WHEN o_orderstatus = 'O' THEN 'pending ' ELSE 'OVERDUE' END AS status,
-       {_pick('CAST(left(o_orderpriority, 1) AS INTEGER) - 1', 'usd', 'EUR ', 'gbp', 'mxn', 'Brl')} AS currency,
-       CASE WHEN o_orderkey % 79 = 0 THEN 'X' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS customer_id
-FROM orders WHERE o_orderkey % 10 <> 1 AND o_custkey % 10 <> 0
-UNION ALL
-SELECT CAST(l_orderkey AS VARCHAR), CAST(CAST(min(l_shipdate) AS DATE) AS VARCHAR),
-       CAST(CAST(max(l_shipdate) AS DATE) AS VARCHAR), CAST(CAST(sum({_EXT}) AS DECIMAL(12,2)) AS VARCHAR),
-       CASE min(l_returnflag) WHEN 'A' THEN 'pending' WHEN 'N' THEN ' PAID' ELSE 'overdue' END,
-       CASE WHEN l_orderkey % 3 = 0 THEN 'usd' ELSE 'eur' END, CAST(l_orderkey % 140 AS VARCHAR)
-FROM lineitem WHERE l_orderkey % 10 = 1 GROUP BY l_orderkey""",
+       CASE WHEN summed AND o_orderkey % 3 = 0 THEN 'usd' WHEN summed THEN 'eur'
+            ELSE {_pick('CAST(left(o_orderpriority, 1) AS INTEGER) - 1', 'usd', 'EUR ', 'gbp', 'mxn', 'Brl')} END AS currency,
+       CASE WHEN o_orderkey % 79 = 0 OR o_custkey % 10 = 0 THEN 'X' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS customer_id
+FROM (SELECT *, o_orderkey % 10 = 1 AND line_sum IS NOT NULL AS summed
+      FROM orders LEFT JOIN (SELECT l_orderkey, sum({_EXT}) AS line_sum, min(l_shipdate) AS first_day, max(l_shipdate) AS last_day,
+                                    min(l_returnflag) AS flag FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey)""",
     "b_invoice_items": f"""
 SELECT {_LINE} AS invoice_item_id,
        CASE WHEN l_partkey % 61 = 0 THEN '0' WHEN l_partkey % 67 = 0 THEN 'two' ELSE CAST({_QTY} AS VARCHAR) END AS quantity,
@@ -132,8 +134,8 @@ SELECT {_LINE} AS payment_id,
             ELSE CAST(CAST({_EXT} * (1 - CAST(l_discount AS DECIMAL(4,2))) * (1 + CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(12,2)) AS VARCHAR) END AS amount,
        CASE WHEN l_partkey % 83 = 0 THEN NULL ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS paid_at,
        {_pick('l_linenumber - 1', 'Card', 'PAYPAL ', 'bank_transfer', 'cash', 'crypto', 'card', 'cash')} AS method,
-       CAST(l_orderkey AS VARCHAR) AS invoice_id
-FROM lineitem WHERE l_returnflag = 'R' OR l_orderkey % 20 = 1""",
+       CAST(CASE WHEN l_orderkey % 4 = 3 THEN l_orderkey - 1 ELSE l_orderkey END AS VARCHAR) AS invoice_id
+FROM lineitem""",
     "b_accounts": f"""
 SELECT CAST(s_suppkey AS VARCHAR) AS account_id, CASE WHEN s_suppkey % 41 = 7 THEN ' ' ELSE s_name END AS name,
        CASE WHEN s_suppkey % 11 = 0 THEN '' ELSE {_pick('s_suppkey % 5', 'RETAIL', 'tech ', 'Health', 'energy', 'media')} END AS industry,
@@ -152,7 +154,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS contact_id, lower(c_mktsegment) || ' ' AS f
        CASE WHEN c_custkey % 23 = 0 THEN 'n.d.'
             ELSE {_day('2021-01-01', 'c_custkey % 700')} || ' 10:00:00' END AS created_at,
        CASE WHEN c_custkey % 31 = 0 THEN NULL WHEN c_custkey % 29 = 0 THEN 'X' || c_custkey
-            ELSE CAST(c_custkey % 120 AS VARCHAR) END AS account_id
+            ELSE CAST(c_custkey // 15 AS VARCHAR) END AS account_id
 FROM customer""",
     "b_leads": f"""
 SELECT 'L' || c_custkey AS lead_id, CASE WHEN c_custkey % 61 = 0 THEN NULL ELSE c_mktsegment END AS first_name,
@@ -176,14 +178,15 @@ SELECT CAST(o_orderkey AS VARCHAR) AS opportunity_id,
        CASE WHEN o_orderkey % 55 = 0 THEN NULL
             ELSE CAST(CAST({_DAY} + CAST((o_orderkey % 7 - 2) * 15 AS INTEGER) AS DATE) AS VARCHAR) END AS close_date,
        CAST({_DAY} AS VARCHAR) || ' 15:45:00' AS created_at,
-       CASE WHEN o_orderkey % 95 = 0 THEN NULL ELSE CAST(o_custkey % 130 AS VARCHAR) END AS account_id
-FROM orders WHERE o_orderkey % 5 = 0""",
+       CASE WHEN o_orderkey % 95 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'X' || o_custkey
+            ELSE CAST(o_custkey // 15 AS VARCHAR) END AS account_id
+FROM orders""",
     "b_opportunity_contacts": f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS opportunity_id,
        CASE WHEN l_suppkey % 33 = 0 THEN 'X' || l_suppkey ELSE CAST(l_suppkey AS VARCHAR) END AS contact_id,
        CASE WHEN l_partkey % 83 = 0 THEN 'observer'
             ELSE {_pick('l_linenumber - 1', 'Influencer', 'end_user', ' financial', 'TECHNICAL', 'decision_maker', 'end_user ', 'technical')} END AS role
-FROM lineitem WHERE l_orderkey % 5 = 0""",
+FROM lineitem""",
     "b_activities": """
 SELECT CAST(event_id AS VARCHAR) AS activity_id,
        CASE WHEN event_id % 89 = 0 THEN 'fax' ELSE CASE event_type WHEN 'click' THEN 'Email' WHEN 'view' THEN ' call'
@@ -193,6 +196,6 @@ SELECT CAST(event_id AS VARCHAR) AS activity_id,
        CASE WHEN event_id % 4 IN (0, 1) THEN CASE WHEN event_id % 47 = 0 THEN 'X' || user_id ELSE user_id || ' ' END
             WHEN event_id % 4 = 2 THEN '  ' END AS contact_id,
        CASE WHEN event_id % 4 IN (0, 2) THEN CASE WHEN event_id % 53 = 0 THEN 'X' || event_id
-            ELSE CAST(event_id % 300 * 5 AS VARCHAR) END END AS opportunity_id
+            ELSE CAST(event_id // 2 AS VARCHAR) END END AS opportunity_id
 FROM events""",
 }

@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 from tierline.functions.cleanse import blank
 from tierline.operators.measures import add, aggregate, same
 
-NULL_LANES = 1024
-
-
 def hot_key_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, row_id: str, how: str = "left"
 ) -> DataFrame:
@@ -28,7 +25,7 @@ def hot_key_join(
     key = left_key
     if how == "left":
         # No trimmed key starts with a control character, so these texts match nothing.
-        key = f"coalesce({left_key}, concat(char(31), pmod(xxhash64({row_id}), {NULL_LANES})))"
+        key = f"coalesce({left_key}, concat(char(31), xxhash64({row_id})))"
     keyed = add(left, {"_key": key, "_key_hash": f"xxhash64({key})"})
     keyed_right = add(right, {"_ref_hash": f"xxhash64({right_key})"})
     on = F.expr(f"_key = {right_key} AND _key_hash = _ref_hash")

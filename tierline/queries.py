@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,19 +41,9 @@ def bronze_volumes(layers: Layers) -> DataFrame:
     return union(parts)
 
 
-_LAYERS: WeakKeyDictionary[SparkSession, dict[str, Layers]] = WeakKeyDictionary()
-
-
-def _layers(spark: SparkSession, folder: str) -> Layers:
-    """The plans over one folder, built once per session; no data is kept, only unevaluated frames."""
-    known = _LAYERS.setdefault(spark, {})
-    if folder not in known:
-        known[folder] = Layers(StarSource(spark, folder).bronze)
-    return known[folder]
-
-
 def _over(plan: Callable[[Layers], DataFrame]) -> Query:
-    return lambda spark, folder: plan(_layers(spark, folder))
+    """Each call lists the files anew; plans are shared inside a call only."""
+    return lambda spark, folder: plan(Layers(StarSource(spark, folder).bronze))
 
 
 def _silver(table: str) -> Callable[[Layers], DataFrame]:
