@@ -13,28 +13,160 @@ KEYS = {
     "opportunities": ("opportunity_id",), "opportunity_contacts": ("opportunity_id", "contact_id"),
     "activities": ("activity_id",),
 }
-# Bronze columns with the type expected of them; d(p,s) stands for a decimal.
+# Bronze columns with the type expected of them; d(p,s) stands for a decimal.
 COLUMNS = {
-    "students": "student_id first_name last_name email birth_date:date enrolled_at:timestamp country",
-    "professors": "professor_id first_name last_name email department hired_at:timestamp",
-    "courses": "course_id code name credits:integer department professor_id",
-    "semesters": "semester_id code year:integer half:integer start_date:date end_date:date",
-    "enrollments": "enrollment_id enrolled_at:timestamp status student_id course_id semester_id",
-    "grades": "grade_id assessment score:d(6,2) weight:d(5,4) graded_at:timestamp enrollment_id",
-    "customers": "customer_id external_ref first_name last_name email country created_at:timestamp segment",
-    "products": "product_id sku name category monthly_price:d(10,2) active:boolean",
-    "subscriptions": "subscription_id status start_date:date end_date:date customer_id product_id",
-    "invoices": "invoice_id issued_at:timestamp due_at:timestamp total:d(12,2) status currency customer_id",
-    "invoice_items": "invoice_item_id quantity:integer unit_price:d(12,2) line_total:d(14,2) invoice_id product_id",
-    "payments": "payment_id amount:d(12,2) paid_at:timestamp method invoice_id",
-    "accounts": "account_id name industry country annual_revenue:d(16,2) employees:integer created_at:timestamp",
-    "contacts": "contact_id first_name last_name email phone title created_at:timestamp account_id",
-    "leads": "lead_id first_name last_name email source status score:integer created_at:timestamp",
-    "opportunities": "opportunity_id name stage amount:d(16,2) close_date:date created_at:timestamp account_id",
-    "opportunity_contacts": "opportunity_id contact_id role",
-    "activities": "activity_id type subject occurred_at:timestamp contact_id opportunity_id",
+    "students": [
+        ("student_id", "string"),
+        ("first_name", "string"),
+        ("last_name", "string"),
+        ("email", "string"),
+        ("birth_date", "date"),
+        ("enrolled_at", "timestamp"),
+        ("country", "string"),
+    ],
+    "professors": [
+        ("professor_id", "string"),
+        ("first_name", "string"),
+        ("last_name", "string"),
+        ("email", "string"),
+        ("department", "string"),
+        ("hired_at", "timestamp"),
+    ],
+    "courses": [
+        ("course_id", "string"),
+        ("code", "string"),
+        ("name", "string"),
+        ("credits", "integer"),
+        ("department", "string"),
+        ("professor_id", "string"),
+    ],
+    "semesters": [
+        ("semester_id", "string"),
+        ("code", "string"),
+        ("year", "integer"),
+        ("half", "integer"),
+        ("start_date", "date"),
+        ("end_date", "date"),
+    ],
+    "enrollments": [
+        ("enrollment_id", "string"),
+        ("enrolled_at", "timestamp"),
+        ("status", "string"),
+        ("student_id", "string"),
+        ("course_id", "string"),
+        ("semester_id", "string"),
+    ],
+    "grades": [
+        ("grade_id", "string"),
+        ("assessment", "string"),
+        ("score", "d(6,2)"),
+        ("weight", "d(5,4)"),
+        ("graded_at", "timestamp"),
+        ("enrollment_id", "string"),
+    ],
+    "customers": [
+        ("customer_id", "string"),
+        ("external_ref", "string"),
+        ("first_name", "string"),
+        ("last_name", "string"),
+        ("email", "string"),
+        ("country", "string"),
+        ("created_at", "timestamp"),
+        ("segment", "string"),
+    ],
+    "products": [
+        ("product_id", "string"),
+        ("sku", "string"),
+        ("name", "string"),
+        ("category", "string"),
+        ("monthly_price", "d(10,2)"),
+        ("active", "boolean"),
+    ],
+    "subscriptions": [
+        ("subscription_id", "string"),
+        ("status", "string"),
+        ("start_date", "date"),
+        ("end_date", "date"),
+        ("customer_id", "string"),
+        ("product_id", "string"),
+    ],
+    "invoices": [
+        ("invoice_id", "string"),
+        ("issued_at", "timestamp"),
+        ("due_at", "timestamp"),
+        ("total", "d(12,2)"),
+        ("status", "string"),
+        ("currency", "string"),
+        ("customer_id", "string"),
+    ],
+    "invoice_items": [
+        ("invoice_item_id", "string"),
+        ("quantity", "integer"),
+        ("unit_price", "d(12,2)"),
+        ("line_total", "d(14,2)"),
+        ("invoice_id", "string"),
+        ("product_id", "string"),
+    ],
+    "payments": [
+        ("payment_id", "string"),
+        ("amount", "d(12,2)"),
+        ("paid_at", "timestamp"),
+        ("method", "string"),
+        ("invoice_id", "string"),
+    ],
+    "accounts": [
+        ("account_id", "string"),
+        ("name", "string"),
+        ("industry", "string"),
+        ("country", "string"),
+        ("annual_revenue", "d(16,2)"),
+        ("employees", "integer"),
+        ("created_at", "timestamp"),
+    ],
+    "contacts": [
+        ("contact_id", "string"),
+        ("first_name", "string"),
+        ("last_name", "string"),
+        ("email", "string"),
+        ("phone", "string"),
+        ("title", "string"),
+        ("created_at", "timestamp"),
+        ("account_id", "string"),
+    ],
+    "leads": [
+        ("lead_id", "string"),
+        ("first_name", "string"),
+        ("last_name", "string"),
+        ("email", "string"),
+        ("source", "string"),
+        ("status", "string"),
+        ("score", "integer"),
+        ("created_at", "timestamp"),
+    ],
+    "opportunities": [
+        ("opportunity_id", "string"),
+        ("name", "string"),
+        ("stage", "string"),
+        ("amount", "d(16,2)"),
+        ("close_date", "date"),
+        ("created_at", "timestamp"),
+        ("account_id", "string"),
+    ],
+    "opportunity_contacts": [
+        ("opportunity_id", "string"),
+        ("contact_id", "string"),
+        ("role", "string"),
+    ],
+    "activities": [
+        ("activity_id", "string"),
+        ("type", "string"),
+        ("subject", "string"),
+        ("occurred_at", "timestamp"),
+        ("contact_id", "string"),
+        ("opportunity_id", "string"),
+    ],
 }
-COLUMNS = {t: [tuple((c + ":string").split(":")[:2]) for c in text.split()] for t, text in COLUMNS.items()}
+# Columns of codes.
 CATEGORIES = {
     "students": ["country"], "professors": ["department"], "courses": ["department"], "semesters": ["half"],
     "enrollments": ["status"], "grades": ["assessment"], "customers": ["country", "segment"],
@@ -233,12 +365,13 @@ FROM g_invoice_detail GROUP BY status, payment_balance_status""",
     "dq_duplicate_keys": _union(
         [f"SELECT '{t}' AS table_name, {_groups(f's_{t}', KEYS[t])} AS duplicate_groups" for t in KEYS]
     ),
-    "dq_row_conservation": "SELECT *, CASE WHEN bronze_rows = silver_rows THEN 'OK' ELSE 'REVISAR' END AS state FROM ("
+    "dq_row_conservation": "SELECT *, CASE WHEN bronze_rows = silver_rows AND silver_rows = silver_keys THEN 'OK' ELSE 'REVISAR' END AS state FROM ("
     + _union(
         [
             f"SELECT '{t}' AS table_name, (SELECT count(*) FROM b_{t}) AS bronze_rows,"
-            f" (SELECT count(*) FROM s_{t}) AS silver_rows"
-            for t in KEYS
+            f" (SELECT count(*) FROM s_{t}) AS silver_rows,"
+            f" (SELECT count(*) FROM (SELECT DISTINCT {', '.join(k)} FROM s_{t})) AS silver_keys"
+            for t, k in KEYS.items()
         ]
     )
     + ")",

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from fixture_rows import fixture_layers
 from tierline.functions.exact import half_up, percent
 from tierline.operators.links import attach_group, hot_key_join, link, orphan_keys, orphan_rows
-from tierline.operators.values import describe, duplicate_rows, first_values, histogram, value_counts
+from tierline.operators.values import describe, first_values, histogram, table_profile, value_counts
 from tierline.plans import profiling
 
 pairs = st.lists(st.tuples(st.integers(-(10**9), 10**9), st.integers(-(10**6), 10**6)), min_size=1, max_size=60)
@@ -120,12 +120,19 @@ def test_value_counts_and_examples(spark):
     assert dict(first_values(counts, 2).collect()) == {"a": "x, y", "b": "1, 10"}
 
 
-def test_duplicate_rows_against_pandas(spark):
+def test_table_profile_against_pandas(spark):
     rng = random.Random(3)
     rows = [(rng.choice("ab"), rng.choice(["1", "2", None])) for _ in range(200)]
     df = spark.createDataFrame(rows, "a string, b string")
-    assert duplicate_rows(df).first()[0] == int(pd.DataFrame(rows).duplicated().sum())
-    assert duplicate_rows(df.filter("a = 'none'")).first()[0] == 0
+    frame = pd.DataFrame(rows)
+    assert tuple(table_profile(df).first()) == (200, int(frame.isna().sum().sum()), int(frame.duplicated().sum()))
+    assert tuple(table_profile(df.filter("a = 'none'")).first()) == (0, 0, 0)
+
+
+def test_table_profile_is_one_scan_and_one_hash_shuffle(spark):
+    df = spark.range(100).selectExpr("cast(id % 7 AS string) AS a", "cast(id AS string) AS b")
+    plan = table_profile(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_describe_and_histogram_against_pandas(spark):

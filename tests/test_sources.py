@@ -4,12 +4,14 @@ from datetime import datetime, timezone
 
 import pytest
 
-from fixture_rows import ROWS
+from conftest import SMALL
+from fixture_rows import ROWS, bronze_loader
 from tierline.catalogue import LINEAGE, TABLES
 from tierline.plans import runner
-from tierline.plans.rules import InvalidTable, assert_keys
+from tierline.plans.layers import Layers
+from tierline.plans.rules import InvalidTable, assert_gold, assert_keys, gold_conservation, row_conservation
 from tierline.sources.csv import read_bronze, scan_text
-from tierline.sources.store import Store
+from tierline.sources.store import Store, WriteMismatch
 
 
 def write_csv(folder, table, rows):
@@ -42,6 +44,63 @@ def test_wrong_header_fails(spark, tmp_path):
         scan_text(spark, str(path), ["a", "b"]).collect()
 
 
+def test_columns_are_mapped_by_header(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('c,b,a\n1,2,3\n4\n,"5\n6",7\n')
+    found = [tuple(r) for r in scan_text(spark, str(path), ["a", "b"], multi_line=True).collect()]
+    assert found == [("3", "2"), (None, None), ("7", "5\n6")]
+
+
+def test_rows_longer_than_the_header_fail(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b\n1,2\n1,2,\n")
+    with pytest.raises(Exception, match="more fields than the header"):
+        scan_text(spark, str(path), ["a"]).collect()
+
+
+def test_a_failed_replace_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    store.replace("t", spark.range(5))
+    halfway = spark.range(0, 1000, 1, 4).selectExpr("if(id = 900, raise_error('halfway'), id) AS id")
+    with pytest.raises(Exception, match="halfway"):
+        store.replace("t", halfway)
+    assert store.count("t") == 5
+    monkeypatch.setattr(Store, "_stored", lambda self, path: 3)
+    with pytest.raises(WriteMismatch):
+        store.replace("t", spark.range(9))
+    monkeypatch.undo()
+    assert store.count("t") == 5
+    for size in (1, 2, 3):
+        store.replace("t", spark.range(size))
+    assert store.count("t") == 3 and len(list((tmp_path / "t").iterdir())) == 2
+
+
+def test_a_repeated_parent_key_stops_the_run_and_shows_in_the_queries(spark, tmp_path):
+    rows = {**ROWS, "students": [*ROWS["students"], ROWS["students"][0]]}
+    for table, content in rows.items():
+        write_csv(tmp_path / "raw", table, content)
+    with pytest.raises(InvalidTable, match="students"):
+        runner.run(spark, str(tmp_path / "raw"), str(tmp_path / "lake"))
+    layers = Layers(bronze_loader(spark, rows))
+    kept = {r["table_name"]: r["state"] for r in row_conservation(layers).collect()}
+    assert kept["students"] == "REVISAR" and kept["professors"] == "OK"
+    gold = {r["object"]: r["state"] for r in gold_conservation(layers).collect()}
+    assert gold["student_academic_summary"] == "REVISAR" and gold["account_crm_summary"] == "OK"
+    with pytest.raises(InvalidTable, match="student_academic_summary"):
+        assert_gold(layers)
+
+
+def test_frames_follow_the_files(spark, tmp_path):
+    from tierline.queries import QUERIES
+
+    folder = tmp_path / "customer.parquet"
+    rows = spark.read.parquet(f"{SMALL}/customer.parquet")
+    rows.write.parquet(str(folder))
+    before = QUERIES["silver_leads"](spark, str(tmp_path)).count()
+    rows.write.mode("append").parquet(str(folder))
+    assert QUERIES["silver_leads"](spark, str(tmp_path)).count() == 2 * before
+
+
 def test_bronze_is_text_with_lineage(spark, raw):
     stamp = datetime(2024, 5, 1, 12, tzinfo=timezone.utc)
     df = read_bronze(spark, raw, "products", stamp, "b1")

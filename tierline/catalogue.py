@@ -53,6 +53,7 @@ class Table:
         return names + [*self.flags, *[ln.flag for ln in self.links], *self.after_links]
 
 
+# Columns, kinds, keys, flags and links of the tables.
 TABLES: dict[str, Table] = {
     "students": Table(
         "university",
@@ -271,6 +272,7 @@ TABLES: dict[str, Table] = {
 }
 
 # child table, child column, parent table, may be NULL. The parent column is the parent's key.
+# Child, column, parent, may the column be missing.
 RELATIONS: tuple[tuple[str, str, str, bool], ...] = (
     ("courses", "professor_id", "professors", False),
     ("enrollments", "student_id", "students", False),
@@ -291,6 +293,7 @@ RELATIONS: tuple[tuple[str, str, str, bool], ...] = (
     ("activities", "opportunity_id", "opportunities", True),
 )
 
+# Columns of codes.
 CATEGORICAL: dict[str, tuple[str, ...]] = {
     "students": ("country",),
     "professors": ("department",),
@@ -315,10 +318,6 @@ LINEAGE = ("_source_file", "_ingested_at", "_batch_id")
 SILVER_LINEAGE = ("_source_file", "_bronze_ingested_at", "_batch_id", "_silver_created_at")
 
 
-def domain_tables(domain: str) -> list[str]:
-    return [name for name, table in TABLES.items() if table.domain == domain]
-
-
 def columns_of_kind(*kinds: str) -> list[tuple[str, str]]:
     return [(name, col) for name, t in TABLES.items() for col, kind in t.columns.items() if kind in kinds]
 

@@ -74,13 +74,16 @@ def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     return groups.selectExpr("count_if(_n > 1) AS duplicate_groups")
 
 
-def _keys(df: DataFrame, key: str) -> DataFrame:
-    return df.selectExpr(f"trim({key}) AS _id").filter(f"NOT {blank('_id')}").distinct()
-
-
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Distinct non-blank child keys (column _id) that no parent row has."""
-    return _keys(child, child_key).join(_keys(parent, parent_key), "_id", "left_anti")
+    """Distinct non-blank child keys (column _id) that no parent row has.
+
+    Both sides are counted per key, put in one frame and counted once more, so that no join is needed.
+    """
+    sides = []
+    for df, key, side in ((child, child_key, 0), (parent, parent_key, 1)):
+        sides.append(df.selectExpr(f"trim({key}) AS _id", f"{side} AS _side").filter(f"NOT {blank('_id')}"))
+    owners = aggregate(sides[0].unionByName(sides[1]), {"_id": "_id"}, {"_owned": "max(_side)"})
+    return owners.filter("_owned = 0").select("_id")
 
 
 def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

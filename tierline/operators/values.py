@@ -25,26 +25,28 @@ def first_values(counts: DataFrame, k: int = 10) -> DataFrame:
 
     Ranking keeps k rows per column before the shuffle, so nothing unbounded is collected.
     """
-    ranked = add(
-        counts.filter("valor IS NOT NULL"), {"_rank": "row_number() OVER (PARTITION BY columna ORDER BY valor)"}
-    )
+    # NULLs rank last and are dropped after it, so that the counts can be shared with other uses of them.
+    ranked = add(counts, {"_rank": "row_number() OVER (PARTITION BY columna ORDER BY valor NULLS LAST)"})
     listed = "sort_array(collect_list(struct(_rank, valor))).valor"
-    return aggregate(ranked.filter(f"_rank <= {k}"), same("columna"), {"ejemplos": f"concat_ws(', ', {listed})"})
+    return aggregate(ranked.filter(f"_rank <= {k} AND valor IS NOT NULL"), same("columna"), {"ejemplos": f"concat_ws(', ', {listed})"})
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row (duplicados): rows beyond the first of each set of equal rows.
+def table_profile(df: DataFrame) -> DataFrame:
+    """One row (filas, nulos_totales, duplicados): rows, NULLs, and rows beyond the first of each set of equal rows.
 
-    Only 8-byte row hashes are shuffled for the whole table; full rows are compared just for the
-    hashes that repeat, so hash collisions cannot change the count. The second join column lets
-    adaptive execution split the rows of one very frequent hash (see `operators.links`).
+    Equal rows are counted before the one shuffle; rows and NULLs are the same groups, weighed by their counts.
     """
-    hashed = add(df, {"_hash": f"xxhash64({', '.join(f'`{c}`' for c in df.columns)})"})
-    repeated = aggregate(hashed, same("_hash"), {"_n": "count(*)"}).filter("_n > 1").select("_hash")
-    again = {"_again": "xxhash64(_hash)"}
-    suspects = add(hashed, again).join(add(repeated, again), ["_hash", "_again"], "left_semi")
-    groups = suspects.groupBy(*df.columns).agg(F.expr("count(*) AS _n"))
-    return groups.selectExpr("coalesce(sum(_n - 1), 0) AS duplicados")
+    groups = aggregate(df, same(*df.columns), {"_n": "count(*)"})
+    nulls = " + ".join(f"if(`{c}` IS NULL, 1, 0)" for c in df.columns)
+    return aggregate(
+        groups,
+        {},
+        {
+            "filas": "coalesce(sum(_n), 0)",
+            "nulos_totales": f"coalesce(sum(_n * ({nulls})), 0)",
+            "duplicados": "coalesce(sum(_n - 1), 0)",
+        },
+    )
 
 
 def describe(df: DataFrame, column: str, digits: int) -> DataFrame:

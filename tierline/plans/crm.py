@@ -74,12 +74,16 @@ def opportunity_contact_metrics(layers) -> DataFrame:
     pairs = aggregate(linked, same("opportunity_id", "contact_id"), counts)
     owners = layers.reference("opportunities", "opportunity_id", "account_id")
     owners = owners.withColumnRenamed("opportunity_id", "_deal")
+    owned = hot_key_join(pairs, owners, "opportunity_id", "_deal", "contact_id", how="inner")
+    # An opportunity has one account, so its first pair stands for it; only the contacts need a DISTINCT.
+    firsts = aggregate(pairs, same("opportunity_id"), {"_first": "min(contact_id)"}).withColumnRenamed("opportunity_id", "_own")
+    marked = hot_key_join(owned, firsts, "opportunity_id", "_own", "contact_id", how="inner")
     return aggregate(
-        hot_key_join(pairs, owners, "opportunity_id", "_deal", "contact_id", how="inner"),
+        marked,
         same("account_id"),
         {
             **{c: f"sum({c})" for c in _RELATION_COUNTS},
-            "opportunities_with_contacts": "count(DISTINCT opportunity_id)",
+            "opportunities_with_contacts": "count_if(contact_id = _first)",
             "distinct_contacts_in_opportunities": "count(DISTINCT contact_id)",
             **{c: f"sum({c})" for c in _ROLES},
         },

@@ -98,6 +98,7 @@ def activity_totals(layers) -> DataFrame:
     return _totals(references, {"total_activities": "count(*)", "unassigned_activities": missing})
 
 
+# The columns of the result, in order.
 EXECUTIVE_COLUMNS = [
     "total_students", "total_courses", "total_enrollments", "completed_enrollments", "active_enrollments",
     "failed_enrollments", "dropped_enrollments", "enrollments_with_grades", "students_with_observed_average",

@@ -1,7 +1,7 @@
 """Discovery over bronze: tables, columns, keys, categories, dates, types and business rules.
 
-Each table is read once per report; what the report needs per column is one aggregate over the
-table's value counts or one wide aggregate that is stacked into rows. Output names and states are
+Most reports need one aggregate over a table's value counts, or one wide aggregate that is stacked into rows;
+relations read both of their tables. Output names and states are
 fixed values.
 """
 
@@ -17,7 +17,7 @@ from tierline.functions.cleanse import converted, sql_type
 from tierline.functions.exact import MONEY, half_up, percent
 from tierline.operators.links import attach_group, duplicate_groups, orphan_rows
 from tierline.operators.measures import add, aggregate, count_of, n, named, same, side_by_side, union
-from tierline.operators.values import describe, duplicate_rows, first_values, value_counts
+from tierline.operators.values import describe, first_values, table_profile, value_counts
 from tierline.plans.rules import null_key
 
 OK, REVIEW = "OK", "REVISAR"
@@ -43,12 +43,8 @@ def _tagged(table: str, df: DataFrame) -> DataFrame:
 def profile_tables(layers) -> DataFrame:
     parts = []
     for table, spec in TABLES.items():
-        df = _raw(layers, table)
-        nulls = " + ".join(f"count_if(`{c}` IS NULL)" for c in spec.columns)
-        size = aggregate(
-            df, {}, {"filas": "count(*)", "columnas": f"{len(spec.columns)}L", "nulos_totales": nulls}
-        )
-        parts.append(_tagged(table, side_by_side([size, duplicate_rows(df)])))
+        profile = table_profile(_raw(layers, table))
+        parts.append(_tagged(table, add(profile, {"columnas": f"{len(spec.columns)}L"})))
     return union(parts)
 
 
@@ -157,11 +153,10 @@ def profile_categories(layers) -> DataFrame:
 
 def _distribution(layers, table: str, columns: list[str]) -> DataFrame:
     """NULL joins the rows that already carry its label, as filling them in would."""
-    df = _raw(layers, table)
     labelled = {"columna": "columna", "valor": f"coalesce(valor, '{NULL_LABEL}')"}
-    merged = aggregate(value_counts(df, columns), labelled, {"cantidad": "sum(n)"})
-    size = aggregate(df, {}, {"rows": "count(*)"})
-    sized = merged.withColumn("_filas", size.scalar())
+    merged = aggregate(value_counts(_raw(layers, table), columns), labelled, {"cantidad": "sum(n)"})
+    # Values of a column are few, and any column's counts add up to the rows.
+    sized = add(merged, {"_filas": "sum(cantidad) OVER (PARTITION BY columna)"})
     return _tagged(table, add(sized, {"porcentaje": percent("cantidad", "_filas")}).drop("_filas"))
 
 

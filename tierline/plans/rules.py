@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from tierline.catalogue import ENROLLMENT_STATUS, INVOICE_STATUS, RELATIONS, SUBSCRIPTION_STATUS, TABLES
 from tierline.functions.cleanse import blank
 from tierline.operators.links import duplicate_groups, orphan_keys
-from tierline.operators.measures import add, aggregate, count_of, n, side_by_side, union
+from tierline.operators.measures import add, aggregate, count_of, n, same, side_by_side, union
 
 
 def _outside(column: str, accepted: tuple[str, ...]) -> str:
@@ -241,13 +241,20 @@ def duplicate_keys(layers) -> DataFrame:
 
 
 def row_conservation(layers) -> DataFrame:
-    """(table_name, bronze_rows, silver_rows, state): silver neither drops nor multiplies rows."""
+    """(table_name, bronze_rows, silver_rows, silver_keys, state): silver neither drops nor multiplies rows.
+
+    Silver rows are counted by their link flags, both ways, so that no link can be left out of the plan.
+    """
     parts = []
-    for t in TABLES:
+    for t, spec in TABLES.items():
+        linked = " AND ".join(x.flag for x in spec.links)
+        rows = f"{n(linked)} + {n(f'NOT ({linked})')}" if linked else "count(*)"
         before = aggregate(layers.bronze(t), {}, {"bronze_rows": "count(*)"})
-        after = aggregate(layers.silver(t), {}, {"silver_rows": "count(*)"})
+        per_key = aggregate(layers.silver(t), same(*spec.key), {"_n": rows})
+        after = aggregate(per_key, {}, {"silver_rows": "coalesce(sum(_n), 0)", "silver_keys": "count(*)"})
         parts.append(_named(t, side_by_side([before, after])))
-    return add(union(parts), {"state": "if(bronze_rows = silver_rows, 'OK', 'REVISAR')"})
+    fine = "bronze_rows = silver_rows AND silver_rows = silver_keys"
+    return add(union(parts), {"state": f"if({fine}, 'OK', 'REVISAR')"})
 
 
 def orphans(layers) -> DataFrame:
@@ -280,19 +287,19 @@ def weight_sum_enrollments(layers) -> DataFrame:
     return _weight_sum_enrollments(layers)
 
 
-# Gold object -> silver or gold rows it must match: (object, layer, source, distinct columns or None)
+# Gold objects have a row for each key of silver or gold rows: (object, layer, source, key)
 _CONSERVED = (
-    ("student_academic_summary", "silver", "students", None),
-    ("course_performance_summary", "silver", "courses", None),
-    ("customer_subscription_summary", "silver", "customers", None),
-    ("account_crm_summary", "silver", "accounts", None),
+    ("student_academic_summary", "silver", "students", ("student_id",)),
+    ("course_performance_summary", "silver", "courses", ("course_id",)),
+    ("customer_subscription_summary", "silver", "customers", ("customer_id",)),
+    ("account_crm_summary", "silver", "accounts", ("account_id",)),
     ("lead_funnel_summary", "silver", "leads", ("source",)),
     ("billing_currency_kpis", "gold", "customer_billing_summary", ("currency",)),
-    ("course_performance_dashboard", "gold", "course_performance_summary", None),
-    ("billing_customer_dashboard", "gold", "customer_billing_summary", None),
-    ("crm_account_dashboard", "gold", "account_crm_summary", None),
-    ("lead_source_dashboard", "gold", "lead_funnel_summary", None),
-    ("student_customer_360", "gold", "student_academic_summary", None),
+    ("course_performance_dashboard", "gold", "course_performance_summary", ("course_id",)),
+    ("billing_customer_dashboard", "gold", "customer_billing_summary", ("customer_id", "currency")),
+    ("crm_account_dashboard", "gold", "account_crm_summary", ("account_id",)),
+    ("lead_source_dashboard", "gold", "lead_funnel_summary", ("source",)),
+    ("student_customer_360", "gold", "student_academic_summary", ("student_id",)),
 )
 
 
@@ -310,15 +317,15 @@ def gold_conservation(layers) -> DataFrame:
         return side_by_side(counts).selectExpr(f"'{name}' AS object", "*")
 
     parts = []
-    for name, layer, source, distinct in _CONSERVED:
+    for name, layer, source, key in _CONSERVED:
         base = layers.silver(source) if layer == "silver" else layers.gold(source)
-        parts.append(compare(name, base.select(*distinct).distinct() if distinct else base, layers.gold(name)))
+        parts.append(compare(name, base.select(*key).distinct(), layers.gold(name)))
     parts.append(compare("customer_billing_summary", _billing_pairs(layers), layers.gold("customer_billing_summary")))
     return add(union(parts), {"state": "if(expected_rows = actual_rows, 'OK', 'REVISAR')"})
 
 
 class InvalidTable(ValueError):
-    """A silver table breaks a rule that must hold before anything is built on it."""
+    """A table breaks a rule that must hold before anything is built on it, or a result does not follow from its inputs."""
 
 
 def assert_keys(keys: DataFrame, table: str) -> int:
@@ -335,3 +342,10 @@ def assert_keys(keys: DataFrame, table: str) -> int:
     if found["repeated"]:
         raise InvalidTable(f"{table}: {found['repeated']} duplicated keys")
     return found["rows"]
+
+
+def assert_gold(layers) -> None:
+    """Raises where a gold object has more or fewer rows than its inputs have keys."""
+    wrong = gold_conservation(layers).filter("state <> 'OK'").collect()  # a row an object
+    if wrong:
+        raise InvalidTable("; ".join(f"{r['object']}: {r['expected_rows']} keys, {r['actual_rows']} rows" for r in wrong))

@@ -17,7 +17,7 @@ from tierline.catalogue import TABLES, source_file
 from tierline.plans.gold import TABLES as GOLD_TABLES
 from tierline.plans.gold import VIEWS
 from tierline.plans.layers import Layers
-from tierline.plans.rules import InvalidTable, all_rule_counts, assert_keys
+from tierline.plans.rules import InvalidTable, all_rule_counts, assert_gold, assert_keys
 from tierline.plans.silver import base_columns, refine
 from tierline.sources.csv import read_bronze
 from tierline.sources.store import Store, Written
@@ -33,11 +33,13 @@ def _summary(spark: SparkSession, written: list[Written]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def load_bronze(spark: SparkSession, raw_dir: str, bronze: Store, tables: Iterable[str] = TABLES) -> DataFrame:
+def load_bronze(
+    spark: SparkSession, raw_dir: str, bronze: Store, tables: Iterable[str] = TABLES, multi_line: bool = False
+) -> DataFrame:
     """Replace the bronze tables with the CSV files; all rows carry the stamp and id of this run."""
     stamp, batch = datetime.now(timezone.utc), str(uuid4())
     return _summary(
-        spark, [bronze.replace(t, read_bronze(spark, raw_dir, t, stamp, batch)) for t in tables]
+        spark, [bronze.replace(t, read_bronze(spark, raw_dir, t, stamp, batch, multi_line)) for t in tables]
     )
 
 
@@ -55,12 +57,16 @@ def build_silver(bronze: Store, silver: Store, tables: Iterable[str] = TABLES) -
 
 
 def build_gold(silver: Store, gold: Store) -> list[Written]:
-    """Replace the gold tables and views. Later objects scan the tables already written."""
+    """Replace the gold tables and views. Later objects scan the tables already written.
+
+    At the end the stored objects are held against the stored tables that they were made from.
+    """
     layers = Layers(bronze=silver.scan, silver=silver.scan)
     written = []
     for name in (*_SHARED, *GOLD_TABLES, *VIEWS):
         written.append(gold.replace(name, layers.gold(name)))
         layers.use("gold", name, gold.scan(name))
+    assert_gold(layers)
     return written
 
 
@@ -68,10 +74,10 @@ def quality_report(silver: Store) -> DataFrame:
     return all_rule_counts(Layers(bronze=silver.scan, silver=silver.scan))
 
 
-def run(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
-    """All three layers below `root`; returns the bronze load summary."""
+def run(spark: SparkSession, raw_dir: str, root: str, multi_line: bool = False) -> DataFrame:
+    """All three layers below `root`; returns the bronze load summary. `multi_line`: see scan_text."""
     bronze, silver, gold = (Store(spark, f"{root.rstrip('/')}/{layer}") for layer in ("bronze", "silver", "gold"))
-    summary = load_bronze(spark, raw_dir, bronze)
+    summary = load_bronze(spark, raw_dir, bronze, multi_line=multi_line)
     build_silver(bronze, silver)
     build_gold(silver, gold)
     return summary

@@ -91,7 +91,7 @@ def _course_metrics(layers) -> DataFrame:
         {"_course": "course_id"},
         {
             **{c: f"sum({c})" for c in (*counts, *_SCORE_SUM)},
-            "semesters_offered": "count(DISTINCT semester_id)",
+            "semesters_offered": "count(semester_id)",
             "first_year_offered": "min(year)",
             "last_year_offered": "max(year)",
             "temporally_invalid_semester_enrollments": count_of("total_enrollments", "NOT is_temporally_valid"),

@@ -17,19 +17,29 @@ NA_TOKENS = (
 )
 
 
+_RECORD = "_uneven_record"
+
+
 def scan_text(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
-    """Read a header CSV; `multi_line` allows line breaks inside quotes but stops file splitting."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .csv(path)
+    """Read the named columns of a header CSV, whatever their order in it.
+
+    A row with fewer fields than the header has NULL for the rest; one with more fields stops the job. `multi_line`
+    allows line breaks inside quotes but stops file splitting.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns  # reads the first line
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"the header of {path} lacks {', '.join(missing)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RECORD]])
+    raw = reader.schema(schema).option("columnNameOfCorruptRecord", _RECORD).option("columnPruning", False).csv(path)
+    # The record is at hand where its fields are not as many as the header's; separators outside quotes tell them.
+    bare = F.regexp_replace(_RECORD, '"(?:[^"]|"")*"', "")
+    too_long = F.col(_RECORD).isNotNull() & (F.regexp_count(bare, F.lit(",")) >= len(names))
+    complaint = F.raise_error(F.concat(F.lit(f"{path}: more fields than the header in "), F.col(_RECORD))).cast("string")
+    return raw.select(
+        *[F.when(too_long, complaint).when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) for c in columns]
     )
-    return raw.select(*[F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) for c in columns])
 
 
 def with_lineage(df: DataFrame, file_name: str, ingested_at: datetime, batch_id: str) -> DataFrame:
@@ -43,6 +53,8 @@ def table_path(raw_dir: str, name: str) -> str:
     return f"{raw_dir}/{TABLES[name].domain}/{source_file(name)}"
 
 
-def read_bronze(spark: SparkSession, raw_dir: str, name: str, ingested_at: datetime, batch_id: str) -> DataFrame:
-    df = scan_text(spark, table_path(raw_dir, name), list(TABLES[name].columns))
+def read_bronze(
+    spark: SparkSession, raw_dir: str, name: str, ingested_at: datetime, batch_id: str, multi_line: bool = False
+) -> DataFrame:
+    df = scan_text(spark, table_path(raw_dir, name), list(TABLES[name].columns), multi_line)
     return with_lineage(df, source_file(name), ingested_at, batch_id)

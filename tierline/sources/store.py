@@ -1,8 +1,14 @@
-"""Parquet tables in a folder: replace, scan, count, and the check that a write is complete."""
+"""Parquet tables in a folder: replace, scan, count, and the check that a write is complete.
+
+A table is a folder of versions. A version is written whole, compared with what was sent, and then marked; readers
+take the last marked one. A write that fails at any point leaves the version before it in place.
+"""
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +27,32 @@ class Written:
 
 
 class Store:
-    """One Parquet directory per table under `root`, which every executor must be able to reach."""
+    """Tables below `root`, which every executor must be able to reach."""
+
+    #: An empty file of this name makes a version the table's. Parquet readers pass over names with an underscore.
+    MARK = "_RECONCILED"
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def _fs(self, path: str):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop
+
+    def versions(self, table: str) -> list[str]:
+        """Folders of the marked versions, oldest first."""
+        fs, folder = self._fs(f"{self.root}/{table}")
+        names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+        paths = [f"{self.root}/{table}/{name}" for name in sorted(names) if name.startswith("v")]
+        return [p for p in paths if fs.exists(self._fs(f"{p}/{self.MARK}")[1])]
+
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        """The folder that holds the table's rows now."""
+        known = self.versions(table)
+        if not known:
+            raise FileNotFoundError(f"no complete version of {table} below {self.root}")
+        return known[-1]
 
     def scan(self, table: str, *columns: str) -> DataFrame:
         df = self.spark.read.parquet(self.path(table))
@@ -39,17 +63,29 @@ class Store:
         return self.scan(table).count()
 
     def replace(self, table: str, df: DataFrame, max_files: int | None = None) -> Written:
-        """Overwrite the table and compare what was sent with what is stored.
+        """Write a new version, compare what was sent with what is stored, and switch to it.
 
         Rows are counted while they are written, so the input is computed once. File sizes are left
-        to adaptive execution; `max_files` is for small results only, it narrows the last stage.
+        to adaptive execution; `max_files` is for small results only, it narrows the last stage. The version
+        before stays for readers that have begun; older ones and those that were never marked are removed.
         """
         sent = Observation()
         counted = df.observe(sent, F.count(F.lit(1)).alias("rows"))
         if max_files:
             counted = counted.coalesce(max_files)
-        counted.write.mode("overwrite").parquet(self.path(table))
-        result = Written(table, self.path(table), sent.get["rows"], self.count(table))
+        path = f"{self.root}/{table}/v{time.time_ns():020d}-{uuid4().hex[:8]}"
+        counted.write.parquet(path)
+        result = Written(table, path, sent.get["rows"], self._stored(path))
         if result.rows_in != result.rows_stored:
             raise WriteMismatch(f"{table}: sent {result.rows_in} rows, stored {result.rows_stored}")
+        fs, mark = self._fs(f"{path}/{self.MARK}")
+        fs.create(mark, True).close()
+        keep = set(self.versions(table)[-2:])
+        for status in fs.listStatus(self._fs(f"{self.root}/{table}")[1]):
+            old = f"{self.root}/{table}/{status.getPath().getName()}"
+            if old not in keep:
+                fs.delete(self._fs(old)[1], True)
         return result
+
+    def _stored(self, path: str) -> int:
+        return self.spark.read.parquet(path).count()
