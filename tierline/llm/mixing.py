@@ -66,7 +66,8 @@ def planned(sized: DataFrame, weights: DataFrame | None = None, max_epochs: int
         "m_whole", F.when(F.col("m_source_size") > 0, F.floor(F.col("m_target") / F.col("m_source_size"))).otherwise(0).cast("long")
     ).withColumn("m_rest", F.col("m_target") - F.col("m_whole") * F.col("m_source_size"))
     upto = F.sum("m_sum").over(Window.partitionBy("m_source").orderBy("m_stretch"))
-    edges = (
+    # Small tables are written, so that Spark knows their sizes and, where these allow it, leaves the documents in place.
+    edges = settled(
         sums.withColumn("m_before", upto - F.col("m_sum"))
         .join(sources.select(F.col("m_source").alias("m_own"), "m_rest"), F.col("m_source").eqNullSafe(F.col("m_own")))
         .where((F.col("m_before") <= F.col("m_rest")) & (F.col("m_rest") < F.col("m_before") + F.col("m_sum")))
@@ -83,7 +84,7 @@ def planned(sized: DataFrame, weights: DataFrame | None = None, max_epochs: int
         F.min("m_stretch").alias("m_stretch"),
         F.max(F.when(F.col("m_in"), F.struct("m_order", "doc_id", "m_size"))).alias("m_last"),
     )
-    return sources.join(last, F.col("m_source").eqNullSafe(F.col("m_own")), "left").drop("m_own", "m_rest")
+    return settled(sources.join(last, F.col("m_source").eqNullSafe(F.col("m_own")), "left").drop("m_own", "m_rest"))
 
 
 def _extra() -> Column:
@@ -97,16 +98,16 @@ def _extra() -> Column:
 def mixed(docs: DataFrame, weights: DataFrame | None = None, max_epochs: int = 3, seed: int = 17) -> DataFrame:
     """Every row of `docs` with m_size, m_source_size, m_target and m_repeats, its number of copies in the mix.
 
-    Columns doc_id, source and text are read; those named m_* are replaced. A NULL source is a source of its own, NULL
+    Columns doc_id, source and text are read; those named as the four new ones are replaced. A NULL source is a source of its own, NULL
     and empty texts have size 0, rows that repeat a doc_id share its place in the order and are taken together. No row
     is taken more than `max_epochs` times. The same rows and seed give the same mix, however they are partitioned. An
     empty table gives an empty result.
     """
-    docs = docs.drop(*[c for c in docs.columns if c.startswith("m_")])
-    narrow = settled(_sized(docs, seed).select("doc_id", "source", "m_size", "m_order"))
-    return _applied(_sized(docs, seed), planned(narrow, weights, max_epochs)).select(
-        *docs.columns, "m_size", "m_source_size", "m_target", "m_repeats"
-    )
+    new = ("m_size", "m_source_size", "m_target", "m_repeats")
+    packed = _sized(docs.select("doc_id", "source", "text", F.struct("*").alias("m_row")), seed)
+    narrow = settled(packed.select("doc_id", "source", "m_size", "m_order"))
+    rows = _applied(packed.drop("text"), planned(narrow, weights, max_epochs))
+    return rows.select(*[F.col("m_row")[c].alias(c) for c in docs.columns if c not in new], *new)
 
 
 def _applied(sized: DataFrame, plan: DataFrame) -> DataFrame:
