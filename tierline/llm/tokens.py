@@ -132,7 +132,7 @@ def _spliced(agreeing: int) -> Callable:
     schema = pa.schema([("row", pa.int64()), ("n_tokens", pa.int64())])
 
     def splice(key: tuple, table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["start"])
+        rows = [r for _, r in sorted({r["start"]: r for r in table.to_pylist()}.items())]  # repeated rows cut alike
         total, begun = 0, 0
         for a, b in zip(rows, rows[1:]):
             one, two = dict(zip(a["right_at"], a["right_n"])), dict(zip(b["left_at"], b["left_n"]))
@@ -173,22 +173,23 @@ def counted(docs: DataFrame, path: str, limit: int = 512, chunk: int = CHUNK, ov
     # Rows that repeat a doc_id share a number if they are the same text, and then also the count.
     number = F.xxhash64("doc_id", "text")
     huge = base.where(F.length("text") > chunk).withColumn("row", number)
-    sizes = settled(huge.groupBy("row", "doc_id", "n_bytes").agg(F.count(F.lit(1)).alias("times"), F.max(F.length("text")).alias("chars")))
+    sizes = settled(huge.groupBy("row", "doc_id", "n_bytes").agg(F.count(F.lit(1)).alias("times")))
     if sizes.isEmpty():
         return _limited(done, limit)
-    left, counts = sizes.select("row", "chars"), None
+    left, counts = None, None
     while True:
-        starts = F.sequence(F.lit(0).cast("long"), F.col("chars").cast("long") - 1, F.lit(chunk).cast("long"))
+        # What the last chunk shares with the one before must reach beyond it.
+        last = F.greatest(F.length("text") - overlap - 1, F.lit(0))
         cut = (
-            huge.dropDuplicates(["row"]).join(left, "row")
-            .select("row", F.explode(starts).alias("start"), "text")
-            .select("row", "start", F.substring("text", F.col("start").cast("int") + 1, F.lit(chunk + overlap)).alias("text"))
+            (huge if left is None else huge.join(left, "row", "left_semi"))
+            .select("row", F.explode(F.sequence(F.lit(0), last, F.lit(chunk))).alias("start"), "text")
+            .select("row", F.col("start").cast("long").alias("start"), F.substring("text", F.col("start") + 1, F.lit(chunk + overlap)).alias("text"))
         )
         ends = cut.repartition(F.col("row"), F.col("start")).mapInArrow(_chunks(path, overlap), _ENDS)
         round_ = settled(ends.groupBy("row").applyInArrow(_spliced(4), "row long, n_tokens long"))
         good = round_.where("n_tokens IS NOT NULL")
         counts = good if counts is None else counts.unionByName(good)
-        left = left.join(round_.where("n_tokens IS NULL").select("row"), "row", "left_semi")
+        left = round_.where("n_tokens IS NULL").select("row")
         if left.isEmpty():
             break
         overlap *= 4
