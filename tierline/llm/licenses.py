@@ -74,8 +74,18 @@ class Notice:
                     x += 1
                 while line[y - 1] == " ":
                     y -= 1
-                if line[x - 1] == " " and line[y] == " ":
-                    out.append((x, y, sum(match.fuzzy_counts)))
+                # Whole words: a word that the match cuts is taken in or left out, whichever costs fewer edits.
+                firsts = {line.rfind(" ", 0, x) + 1, line.find(" ", x) + 1 if line[x - 1] != " " else x}
+                lasts = {line.find(" ", y), line.rfind(" ", 0, y) if line[y] != " " else y}
+                whole = [
+                    (sum(m.fuzzy_counts), first, last)
+                    for first in firsts
+                    for last in lasts
+                    if first < last and (m := self.pattern.fullmatch(line, first, last))
+                ]
+                if whole:
+                    edits, first, last = min(whole)
+                    out.append((first, last, edits))
                 end = a = max(match.end(), a + 1)
         return out
 
