@@ -75,7 +75,14 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_KEPT: dict[int, np.ndarray] = {}
+class _Kept(dict):
+    """What a process remembers. It does not travel: a copy sent to a worker is empty."""
+
+    def __reduce__(self) -> tuple:
+        return _Kept, ()
+
+
+_KEPT = _Kept()  # powers by base
 
 
 def _powers(base: int, n: int) -> np.ndarray:
