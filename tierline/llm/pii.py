@@ -228,14 +228,15 @@ def boosted(counts: dict[int, tuple[int, int]], rounds: int = 30, depth: int = 3
 def calibrated(model: Callable[[int], float], held: dict[int, tuple[int, int]], precision: float) -> float:
     """The least threshold from which on the held-out candidates are right with `precision`, on all that reach it.
 
-    Two imagined errors are added to each count, so that a few lucky cells don't pass.
+    Two imagined errors are added to each count, so that a few lucky cells don't pass; what is more likely wrong than
+    right never does.
     """
     rows = sorted(((model(c), b, a) for c, (b, a) in held.items()), reverse=True)
     good = bad = 0
     threshold = math.inf
     for i, (p, b, a) in enumerate(rows):
         good, bad = good + a, bad + b
-        if (i + 1 == len(rows) or rows[i + 1][0] < p) and good >= precision * (good + bad + 2):
+        if (i + 1 == len(rows) or rows[i + 1][0] < p) and good >= precision * (good + bad + 2) and p >= 0.5:
             threshold = p
     return threshold
 
@@ -262,7 +263,7 @@ def learned(candidates: DataFrame, precision: float = 0.9) -> dict[str, list[int
 def found(candidates: DataFrame, chosen: dict[str, list[int]]) -> DataFrame:
     """`candidates` with p_spans: base spans and chosen candidates that no base span overlaps, in order.
 
-    Of candidates that overlap each other the one of the first kind stays.
+    Of candidates that overlap each other the longest stays, of equally long ones that of the first kind.
     """
     wanted = lambda c: F.array_contains(
         F.get(F.array(*[F.array(*map(F.lit, chosen.get(k, []))).cast("array<int>") for k in KINDS]), c["kind"]), c["cell"]
@@ -270,8 +271,9 @@ def found(candidates: DataFrame, chosen: dict[str, list[int]]) -> DataFrame:
     place = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
     more = F.transform(F.filter("p_more", lambda c: c["alone"] & wanted(c)), place)
     out = candidates.withColumn("p_chosen", more)
+    rank = lambda c: F.struct(c["start"] - c["end"], c["kind"])
     first = lambda c: ~F.exists(
-        "p_chosen", lambda d: (d["kind"] < c["kind"]) & (d["start"] < c["end"]) & (c["start"] < d["end"])
+        "p_chosen", lambda d: (rank(d) < rank(c)) & (d["start"] < c["end"]) & (c["start"] < d["end"])
     )
     return out.withColumn("p_spans", F.array_sort(F.concat("p_base", F.filter("p_chosen", first)))).drop("p_chosen")
 
@@ -300,7 +302,7 @@ def redacted(docs: DataFrame, precision: float = 0.9) -> DataFrame:
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     text = F.aggregate(
-        F.array_sort(F.transform("p_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))),
+        F.array_sort(F.transform("p_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("far"), s["end"].alias("end"), s["kind"].alias("kind")))),
         start,
         lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(
             F.struct(
