@@ -6,6 +6,7 @@ import duckdb
 from compare import compare
 from pyspark.sql import functions as F
 
+from tierline.llm import fixity
 from tierline.llm.fixity import OP10_SQL, archived, audit, leaves, op10_warc_fixity, tree
 
 SMALL = "/root/testdata/sf0.001"
@@ -57,7 +58,17 @@ def test_nulls_and_repeated_records(spark):
     assert audit(archived(frame), archived(less)).where("status = 'missing'").count() >= 1
 
 
-def test_offsets_and_tree_equal_brute_force(spark):
+def test_deeper_trees_find_the_same(spark, monkeypatch):
+    frame = pages(spark)
+    other = frame.withColumn("html", F.when(F.col("page_id") % 97 == 5, F.translate("html", "p", "q")).otherwise(F.col("html")))
+    wide = sorted(audit(archived(frame, 16), archived(other, 16)).collect())
+    monkeypatch.setattr(fixity, "FANOUT", 4)
+    monkeypatch.setattr(fixity, "DIGITS", 1)
+    assert sorted(audit(archived(frame, 16), archived(other, 16)).collect()) == wide and len(wide) > 3
+
+
+def test_offsets_and_tree_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(fixity, "FANOUT", 16)
     records = archived(pages(spark, 40)).orderBy("seq").collect()
     at = 0
     for r in records:

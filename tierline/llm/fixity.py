@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tierline.llm.shared import settled
 
-#: Children of an inner node, and records of an archive file that `archived` lays out.
-FANOUT, FILE_RECORDS = 16, 256
+#: Hex digits of a file's hash that one level above the files tells apart, children of an inner node, and records of an
+#: archive file that `archived` lays out.
+DIGITS, FANOUT, FILE_RECORDS = 2, 256, 256
 
 
 def archived(pages: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
@@ -58,11 +59,11 @@ def tree(leaf: DataFrame, file_levels: int, archive_levels: int) -> DataFrame:
     """Nodes of all levels: level 0 are records, file_levels the files, the last level is the root.
 
     Below a file, node i of a level covers FANOUT neighbours, and so one range of offsets. Above the files, nodes are
-    prefixes of a hash of the file's name, one hex digit a level. A node gathers its direct children alone.
+    prefixes of a hash of the file's name, DIGITS hex digits a level. A node gathers its direct children alone.
     """
     file_key = F.md5("file")
     level = leaf.select(
-        F.lit(0).alias("level"), "file", F.substring(file_key, 1, archive_levels).alias("prefix"), F.col("seq").alias("i"),
+        F.lit(0).alias("level"), "file", F.substring(file_key, 1, DIGITS * archive_levels).alias("prefix"), F.col("seq").alias("i"),
         "lo", "hi", _joined([F.col("lo"), F.col("hi"), F.col("digest")]).alias("hash"),
     )
     levels = [level]
@@ -80,7 +81,7 @@ def tree(leaf: DataFrame, file_levels: int, archive_levels: int) -> DataFrame:
     level = level.withColumn("file", F.concat_ws("/", "file", "i"))
     for k in range(archive_levels, -1, -1):
         if k < archive_levels:
-            level = level.withColumns({"file": F.col("prefix"), "prefix": F.substring("prefix", 1, k)})
+            level = level.withColumns({"file": F.col("prefix"), "prefix": F.substring("prefix", 1, DIGITS * k)})
         level = (
             level.groupBy("prefix").agg(F.min("lo").alias("lo"), F.sum("hi").alias("hi"), ordered("file").alias("below"))
             .select(F.lit(file_levels + 1 + archive_levels - k).alias("level"), F.lit("").alias("file"), "prefix",
@@ -123,7 +124,7 @@ def audit(one: DataFrame, two: DataFrame) -> DataFrame:
                 above = open_nodes.select("file", "prefix", F.col("i").alias("up"))
             else:
                 width = archive_levels if level <= file_levels else archive_levels - (level - file_levels - 1) - 1
-                parent = [F.substring("prefix", 1, max(width, 0)).alias("up")]
+                parent = [F.substring("prefix", 1, DIGITS * max(width, 0)).alias("up")]
                 names, above = ["up"], open_nodes.select(F.col("prefix").alias("up"))
             a, b = (x.select("*", *[p for p in parent if not isinstance(p, str)]).join(above, names, "left_semi").select(*key, "hash") for x in (a, b))
         b = b.select(*key, F.col("hash").alias("other"))
