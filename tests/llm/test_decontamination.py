@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tierline.llm.decontamination import Parts, _CLEAN, common, fitted, inverse_frequencies, leaks, op6_benchmark_decontamination, without_leaks
+from tierline.llm.decontamination import Parts, _CLEAN, blocks, common, fitted, inverse_frequencies, leaks, op6_benchmark_decontamination, without_leaks
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -103,3 +103,31 @@ def test_common_subsequence(seed):
     rng = random.Random(seed)
     a, b = ([rng.randrange(6) for _ in range(rng.randrange(1, 70))] for _ in range(2))
     assert common(a, b) == slow_common(a, b)
+
+
+def changed(rng, words):
+    """The words, one in six replaced and one in ten left out, the last five kept."""
+    return [f"z{rng.randrange(99)}" if rng.random() < 0.16 else w for w in words[:-5] if rng.random() > 0.1] + words[-5:]
+
+
+@pytest.mark.parametrize("paraphrased", [False, True])
+def test_recall_does_not_depend_on_the_size_of_the_benchmark(docs, spark, paraphrased):
+    rng = random.Random(21)
+    corpus = [r.text.split() for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").orderBy("doc_id").limit(600).collect()]
+    vocabulary = [w for text in corpus for w in text]  # words as frequent as there
+    items = [rng.choices(vocabulary, k=rng.randrange(16, 60)) for _ in range(1_020)]
+    texts = [" ".join([*t[:60], *(changed(rng, x) if paraphrased else x), *t[60:120]]) for t, x in zip(corpus[:300], items)]
+    texts += [" ".join(t[:150]) for t in corpus[300:]]
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks(docs(texts), bench).collect()}
+    print(f"found {len(got)} of 300")
+    assert len(got) >= 0.9 * 300 and all(d == i for d, i in got)
+
+
+def test_blocks_hold_as_many_parts_as_the_basis_has_dimensions():
+    rng = random.Random(5)
+    items = [(i, " ".join(prose(rng, n))) for i, n in enumerate([30, 0, 200, 30, 30, 2_000, 30])]
+    found = list(blocks(iter(items), 6))
+    assert [[p.item for p in block] for block in found][0] == [[0, 2, 2, 2, 2, 3]]
+    assert all(len(p.words) <= 6 for block in found for p in block)
+    assert [i for block in found for i in dict.fromkeys(i for p in block for i in p.item)] == [0, 2, 3, 4, 5, 6]
