@@ -131,3 +131,23 @@ def test_blocks_hold_as_many_parts_as_the_basis_has_dimensions():
     assert [[p.item for p in block] for block in found][0] == [[0, 2, 2, 2, 2, 3]]
     assert all(len(p.words) <= 6 for block in found for p in block)
     assert [i for block in found for i in dict.fromkeys(i for p in block for i in p.item)] == [0, 2, 3, 4, 5, 6]
+
+
+@pytest.mark.parametrize("share", [0.1, 0.33, 1.0])
+def test_items_that_leaked_into_many_documents_are_found(docs, spark, share):
+    rng = random.Random(31)
+    corpus = [r.text.split() for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").orderBy("doc_id").limit(600).collect()]
+    vocabulary = [w for text in corpus for w in text]
+    items = [rng.choices(vocabulary, k=n) for n in (16, 20, 24, 30, 36, 44, 50, 58)]
+    texts, planted = [], set()
+    for d, t in enumerate(corpus):
+        t, at = t[:160], rng.randrange(30, 90)
+        if rng.random() < share:
+            i = rng.randrange(8) if share < 0.3 else d % 2
+            t = [*t[:at], *items[i], *t[at:]]
+            planted.add((d, i))
+        texts.append(" ".join(t))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks(docs(texts), bench).collect()}
+    print(f"found {len(got & planted)} of {len(planted)}, others {len(got - planted)}")
+    assert len(got & planted) >= 0.95 * len(planted) and got <= planted
