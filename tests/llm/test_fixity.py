@@ -80,3 +80,13 @@ def test_offsets_and_tree_equal_brute_force(spark, monkeypatch):
     assert [nodes[0, i] for i in range(40)] == low
     first = digest(0, sum(r.length for r in records[:16]), "|".join(low[:16]))
     assert nodes[1, 0] == first
+
+
+def test_pages_without_an_id_stay_in_their_files_when_others_are_gone(spark, tmp_path):
+    # 512 pages and two files for those without an id; the damaged replica is a page short of that.
+    rows = [(i if i < 256 else None, f"http://x/{i}", f"<p>page {i}</p>") for i in range(512)]
+    spark.createDataFrame(rows, PAGES).write.parquet(f"{tmp_path}/pages.parquet")
+    got = op10_warc_fixity(spark, str(tmp_path)).collect()
+    print(f"without an id: {sum(r.record_id is None for r in got)}")
+    assert got and all(r.record_id is not None for r in got)
+    assert {r.record_id for r in got if r.status == "missing"} == {3}

@@ -15,13 +15,19 @@ from tierline.llm.shared import settled
 DIGITS, FANOUT, FILE_RECORDS = 2, 256, 256
 
 
-def archived(pages: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
+def lanes_of(pages: DataFrame, file_records: int = FILE_RECORDS) -> int:
+    """The files that `archived` spreads pages without an id over."""
+    return max(1, pages.count() // file_records)
+
+
+def archived(pages: DataFrame, file_records: int = FILE_RECORDS, lanes: int | None = None) -> DataFrame:
     """WARC response records of pages (page_id, url, html): file, seq, record_id, offset, length, payload.
 
     A file holds the pages of one range of ids, in their order; pages without an id are spread over files of their
-    own by their content. NULL url and html count as empty. Rows that repeat a page are records of their own.
+    own by their content. Replicas that are compared need the same number of these, `lanes`; without it, it follows
+    from the number of pages. NULL url and html count as empty. Rows that repeat a page are records of their own.
     """
-    lanes = max(1, pages.count() // file_records)
+    lanes = lanes_of(pages, file_records) if lanes is None else lanes
     url, html = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))
     body = F.concat(html, F.lit("\r\n\r\n"))
     head = F.concat(
@@ -178,7 +184,8 @@ def damaged(pages: DataFrame) -> DataFrame:
 
 def op10_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
     pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html")
-    return audit(archived(pages), archived(damaged(pages)))
+    lanes = lanes_of(pages)
+    return audit(archived(pages, lanes=lanes), archived(damaged(pages), lanes=lanes))
 
 
 OP10_SQL = r"""
