@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tierline.llm.decontamination import Parts, _CLEAN, blocks, common, fitted, inverse_frequencies, leaks, op6_benchmark_decontamination, without_leaks
+from tierline.llm.decontamination import Parts, _CLEAN, blocks, common, fitted, inverse_frequencies, leak_free, leaks, op6_benchmark_decontamination, without_leaks
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -151,3 +151,30 @@ def test_items_that_leaked_into_many_documents_are_found(docs, spark, share):
     got = {(r.doc_id, r.item_id) for r in leaks(docs(texts), bench).collect()}
     print(f"found {len(got & planted)} of {len(planted)}, others {len(got - planted)}")
     assert len(got & planted) >= 0.95 * len(planted) and got <= planted
+
+
+def test_rows_are_judged_by_themselves(docs, spark):
+    rng = random.Random(6)
+    text, other = " ".join(prose(rng, 30)), " ".join(prose(rng, 30))
+    bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+    rows = [(None, text, "s"), (None, other, "s"), (None, None, "s"), (5, text, "s"), (5, other, "s"), (6, "", "s")]
+    rows += [(100 + i, " ".join(prose(rng, 40)), "s") for i in range(20)]
+    frame = docs(rows, extra=["leaks", "item_id"])
+    kept = leak_free(frame, bench)
+    assert kept.columns == frame.columns
+    assert sorted(map(repr, kept.collect())) == sorted(repr(r) for r in frame.collect() if r.text != text)
+    assert {r.doc_id for r in corpus_rows(spark, frame, bench)} == {None, 5, 6, *range(100, 120)}
+    assert leak_free(frame, spark.createDataFrame([], "item_id long, text string")).count() == len(rows)
+
+
+def corpus_rows(spark, frame, bench):
+    """What the pipeline's stage keeps; no row that holds the item."""
+    import tempfile
+
+    import corpus_pipeline
+
+    folder = tempfile.mkdtemp(prefix="run-")
+    bench.write.parquet(f"{folder}/benchmark.parquet")
+    kept = corpus_pipeline.decontamination(spark, frame, folder).collect()
+    assert not {r.text for r in kept} & {r.text for r in bench.collect()}
+    return kept
