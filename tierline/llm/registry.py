@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from tierline.llm.decontamination import op6_benchmark_decontamination
 from tierline.llm.fixity import OP10_SQL, op10_warc_fixity
+from tierline.llm.infill import OP13_SQL, op13_fill_in_middle
 from tierline.llm.licenses import op5_license_scan
 from tierline.llm.mixing import OP2_SQL, op2_source_mixing
 from tierline.llm.ngram_join import op7_ngram_jaccard_join
@@ -29,10 +30,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_warc_fixity": op10_warc_fixity,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
     "op2_source_mixing": OP2_SQL,
     "op10_warc_fixity": OP10_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }
