@@ -18,6 +18,7 @@ from tierline.llm.quality import op1_quality_rules
 from tierline.llm.substring import op8_substring_dedup
 from tierline.llm.tokens import op3_token_counts
 from tierline.llm.toxicity import op4_toxicity
+from tierline.llm.whitening import op11_embedding_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_warc_fixity": op10_warc_fixity,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
