@@ -10,6 +10,7 @@ import corpus_pipeline
 from tierline.llm.decontamination import op6_benchmark_decontamination
 from tierline.llm.fixity import OP10_SQL, op10_warc_fixity
 from tierline.llm.infill import OP13_SQL, op13_fill_in_middle
+from tierline.llm.language import op12_language_id
 from tierline.llm.licenses import op5_license_scan
 from tierline.llm.mixing import OP2_SQL, op2_source_mixing
 from tierline.llm.ngram_join import op7_ngram_jaccard_join
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_warc_fixity": op10_warc_fixity,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_language_id": op12_language_id,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
