@@ -578,7 +578,77 @@ def _describe(source: str, column: str) -> str:
 
 _AGES = "(SELECT CAST(round(date_diff('day', birth_date, CAST(enrolled_at AS DATE)) / 365.0, 1) AS DECIMAL(12,1)) AS edad FROM s_students)"
 
+_DAY = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_FORMS = {
+    "boolean": "lower(v) IN ('true', 'false')",
+    "integer": "regexp_full_match(v, '[+-]?[0-9]{1,18}')",
+    "decimal": "regexp_full_match(v, '[+-]?([0-9]{1,28}([.][0-9]{0,10})?|[.][0-9]{1,10})')",
+    "date": f"regexp_full_match(v, '{_DAY}') AND TRY_CAST(v AS DATE) IS NOT NULL",
+    "timestamp": f"regexp_full_match(v, '{_DAY}([ T][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]{{1,6}})?)?)?')"
+    " AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL",
+}
+
+
+def _inferred_types() -> str:
+    counted = _union(
+        [
+            f"SELECT '{t}' AS tabla, '{c}' AS columna, count(v) AS valores, count(*) - count(v) AS sin_valor, "
+            + ", ".join(f"count(*) FILTER (WHERE {form}) AS n_{kind}" for kind, form in _FORMS.items())
+            + f" FROM (SELECT nullif(trim({c}), '') AS v FROM b_{t})"
+            for t, columns in COLUMNS.items()
+            for c, _ in columns
+        ]
+    )
+    choose = lambda test: "CASE WHEN valores = 0 THEN 'string' " + " ".join(
+        f"WHEN {test.format(f'n_{kind}')} THEN '{kind}'" for kind in _FORMS
+    ) + " ELSE 'string' END"
+    strict, likely = choose("{0} = valores"), choose("{0} * 100 >= valores * 90")
+    fitting = "CASE tipo_probable " + " ".join(f"WHEN '{k}' THEN n_{k}" for k in _FORMS) + " ELSE valores END"
+    return (
+        f"SELECT tabla, columna, valores, sin_valor, tipo_estricto, tipo_probable, {fitting} AS conformes"
+        f" FROM (SELECT *, {strict} AS tipo_estricto, {likely} AS tipo_probable FROM ({counted}))"
+    )
+
+
+_RENAMED = {("activities", "type"): "activity_type"}
+_SUM_COLUMNS = ["enrollment_id", "suma_pesos"]
+_LINE_COLUMNS = [
+    "invoice_id", "customer_id", "issued_at", "status", "currency", "total", "total_calculado_lineas", "sin_lineas",
+    "diferencia", "total_coincide",
+]
+
+
+def _violations() -> str:
+    temporal = [(code, t, f"s_{t}", KEYS[t][0], bad) for code, t, _, bad in _TEMPORAL]
+    parts = []
+    for code, t, source, key, bad in [*temporal, *((c, t, s, k, b) for c, t, _, _, s, k, b in _RULES)]:
+        if source.startswith("s_"):
+            columns = [_RENAMED.get((t, c), c) for c, _ in COLUMNS[t]]
+        else:
+            columns = _SUM_COLUMNS if "suma_pesos" in source else _LINE_COLUMNS
+        text = " || ', ' || ".join(f"'{c}=' || coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in columns)
+        parts.append(
+            f"SELECT * FROM (SELECT '{code}' AS codigo, row_number() OVER (ORDER BY clave NULLS LAST, fila) AS posicion, clave, fila"
+            f" FROM (SELECT {key} AS clave, {text} AS fila FROM {source} WHERE {bad})) WHERE posicion <= 20"
+        )
+    return _union(parts)
+
+
+def _lineage() -> str:
+    return _union(
+        [
+            f"SELECT '{t}' AS tabla, '{t}.csv' AS archivo, 'star' AS lote, TIMESTAMP '2024-01-01 00:00:00' AS ingerido,"
+            f" b.n AS filas_bronze, s.n AS filas_silver, {_review('b.n = s.n')} AS estado"
+            f" FROM (SELECT count(*) AS n FROM b_{t}) b, (SELECT count(*) AS n FROM s_{t}) s"
+            for t in KEYS
+        ]
+    )
+
+
 REPORTS |= {
+    "inferred_column_types": _inferred_types(),
+    "rule_violations": _violations(),
+    "bronze_lineage": _lineage(),
     "profile_tables": _union(
         [
             f"SELECT '{t}' AS tabla, count(*) AS filas, CAST({len(columns)} AS BIGINT) AS columnas,"

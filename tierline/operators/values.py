@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.exact import half_up
+from tierline.functions.kinds import kind_bits
 from tierline.operators.measures import add, aggregate, same
 
 
@@ -31,6 +34,36 @@ def first_values(counts: DataFrame, k: int = 10) -> DataFrame:
     return aggregate(ranked.filter(f"_rank <= {k} AND valor IS NOT NULL"), same("columna"), {"ejemplos": f"concat_ws(', ', {listed})"})
 
 
+def type_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(columna, bits, n): how many values of each text column are accepted by the same types (see kind_bits).
+
+    bits is NULL for values that are NULL or blank. A task sends at most 2**len(KINDS) + 1 rows a column, whatever the
+    number of distinct values; what merges them is a sum.
+    """
+    pairs = ", ".join(f"'{c}', nullif(trim(`{c}`), '')" for c in columns)
+    long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (columna, _text)")
+    bits = f"if(_text IS NULL, NULL, {kind_bits('_text')})"
+    return aggregate(long, {"columna": "columna", "bits": bits}, {"n": "count(*)"})
+
+
+def row_text(columns: list[str]) -> str:
+    """SQL of a row as 'column=value, ...'; NULL is written out."""
+    return "concat_ws(', ', " + ", ".join(f"concat('{c}=', coalesce(cast(`{c}` AS string), 'NULL'))" for c in columns) + ")"
+
+
+def first_violations(df: DataFrame, conditions: Mapping[str, str], key: str, columns: list[str], k: int) -> DataFrame:
+    """(codigo, posicion, clave, fila): for each condition the first k rows that meet it, by key and row text.
+
+    One scan serves all conditions. The ranks keep k rows a condition and task before the one shuffle, so a
+    condition that a third of all rows meet sends no more than another.
+    """
+    codes = ", ".join(f"if({sql}, '{code}', NULL)" for code, sql in conditions.items())
+    met = add(df, {"_codes": f"array_compact(array({codes}))"}).filter("size(_codes) > 0")
+    each = met.selectExpr("explode(_codes) AS codigo", f"cast(`{key}` AS string) AS clave", f"{row_text(columns)} AS fila")
+    rank = "row_number() OVER (PARTITION BY codigo ORDER BY clave NULLS LAST, fila)"
+    return add(each, {"_rank": rank}).filter(f"_rank <= {k}").selectExpr("codigo", "cast(_rank AS bigint) AS posicion", "clave", "fila")
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """One row (filas, nulos_totales, duplicados): rows, NULLs, and rows beyond the first of each set of equal rows.
 

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from tierline.catalogue import CATEGORICAL, RELATIONS, TABLES, columns_of_kind
 from tierline.functions.cleanse import converted, sql_type
 from tierline.functions.exact import MONEY, half_up, percent
+from tierline.functions.kinds import KINDS, narrowest
 from tierline.operators.links import attach_group, duplicate_groups, orphan_rows
 from tierline.operators.measures import add, aggregate, count_of, n, named, same, side_by_side, union
-from tierline.operators.values import describe, first_values, table_profile, value_counts
+from tierline.operators.values import describe, first_values, first_violations, table_profile, type_counts, value_counts
 from tierline.plans.rules import null_key
 
 OK, REVIEW = "OK", "REVISAR"
@@ -429,6 +430,59 @@ def rule_samples(layers, k: int = 20) -> DataFrame:
     )
 
 
+def plain_columns(table: str) -> list[str]:
+    """Silver columns of a table that come straight from a bronze column."""
+    spec = TABLES[table]
+    return [spec.rename.get(c, c) for c in spec.columns]
+
+
+def rule_violations(layers, k: int = 20) -> DataFrame:
+    """(codigo, posicion, clave, fila): the first k violating rows of every temporal and business rule, whole rows as text.
+
+    Rules on the same source are searched for in one pass over it. Rows of equal key are told apart by their text.
+    """
+    by_source: dict[str, list[Rule]] = {}
+    for rule in (*_TEMPORAL, *_BUSINESS):
+        by_source.setdefault(rule.source, []).append(rule)
+    parts = []
+    for source, members in by_source.items():
+        if source == "_grouped_enrollments":
+            columns = plain_columns("enrollments")
+            rows = attach_group(layers.reference("enrollments", *columns), _COMBINATION, "enrollment_id", {"_n": "count(*)"})
+        elif source in _DERIVED:
+            rows = _DERIVED[source](layers)
+            columns = rows.columns
+        else:
+            columns = plain_columns(source)
+            rows = layers.reference(source, *columns)
+        parts.append(first_violations(rows, {r.code: r.invalid for r in members}, members[0].key, columns, k))
+    return union(parts)
+
+
+def inferred_column_types(layers, share: int = 90) -> DataFrame:
+    """(tabla, columna, valores, sin_valor, tipo_estricto, tipo_probable, conformes), from the values themselves.
+
+    tipo_estricto is the narrowest type that accepts all values of the column, tipo_probable the narrowest that accepts
+    `share` percent of them, conformes how many that are. Types widen from integer to decimal and from date to
+    timestamp; what else is mixed, and a column without values, is a string.
+    """
+    accepted = {kind: count_of("n", f"bits & {1 << i} <> 0") for i, kind in enumerate(KINDS)}
+    parts = []
+    for table, spec in TABLES.items():
+        counts = type_counts(_raw(layers, table), list(spec.columns))
+        measures = {"valores": count_of("n", "bits IS NOT NULL"), "sin_valor": count_of("n", "bits IS NULL"), **accepted}
+        parts.append(_tagged(table, aggregate(counts, same("columna"), measures)))
+    found = add(
+        union(parts),
+        {
+            "tipo_estricto": narrowest({k: k for k in KINDS}, "valores > 0 AND {0} = valores"),
+            "tipo_probable": narrowest({k: k for k in KINDS}, f"valores > 0 AND {{0}} * 100 >= valores * {share}"),
+        },
+    )
+    fitting = "CASE tipo_probable " + " ".join(f"WHEN '{k}' THEN `{k}`" for k in KINDS) + " ELSE valores END"
+    return found.selectExpr("tabla", "columna", "valores", "sin_valor", "tipo_estricto", "tipo_probable", f"{fitting} AS conformes")
+
+
 def student_ages(layers) -> DataFrame:
     """(student_id, edad): years of 365 days between birth and enrollment, at one decimal."""
     days = "datediff(cast(enrolled_at AS date), birth_date)"

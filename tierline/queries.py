@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.catalogue import LINEAGE, TABLES
+from tierline.catalogue import LINEAGE, SILVER_LINEAGE, TABLES
 from tierline.operators.measures import aggregate, n, same, union
 from tierline.plans import insights, profiling, rules
 from tierline.plans.gold import GOLD
@@ -41,6 +41,24 @@ def bronze_volumes(layers: Layers) -> DataFrame:
     return union(parts)
 
 
+def bronze_lineage(layers: Layers) -> DataFrame:
+    """(tabla, archivo, lote, ingerido, filas_bronze, filas_silver, estado): rows of each load in bronze and in silver.
+
+    Every row of either layer is counted under the file, batch and stamp that it carries itself. REVISAR where the
+    layers differ or a row lacks a part of its lineage.
+    """
+    parts = []
+    for table in TABLES:
+        for layer, names, side in ((layers.bronze(table), LINEAGE, 0), (layers.silver(table), SILVER_LINEAGE, 1)):
+            keys = dict(zip(("archivo", "ingerido", "lote"), names))
+            counted = aggregate(layer, {**keys, "lado": str(side)}, {"filas": "count(*)"})
+            parts.append(counted.selectExpr(f"'{table}' AS tabla", "archivo", "lote", "cast(ingerido AS timestamp_ntz) AS ingerido", "lado", "filas"))
+    sides = {"filas_bronze": "coalesce(sum(filas) FILTER (WHERE lado = 0), 0)", "filas_silver": "coalesce(sum(filas) FILTER (WHERE lado = 1), 0)"}
+    both = aggregate(union(parts), same("tabla", "archivo", "lote", "ingerido"), sides)
+    fine = "filas_bronze = filas_silver AND archivo IS NOT NULL AND lote IS NOT NULL AND ingerido IS NOT NULL"
+    return both.selectExpr("*", f"if({fine}, 'OK', 'REVISAR') AS estado")
+
+
 def _over(plan: Callable[[Layers], DataFrame]) -> Query:
     """Each call lists the files anew; plans are shared inside a call only."""
     return lambda spark, folder: plan(Layers(StarSource(spark, folder).bronze))
@@ -61,6 +79,7 @@ def _gold(name: str) -> Callable[[Layers], DataFrame]:
 _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "invoice_reconciliation_by_status": invoice_reconciliation_by_status,
     "bronze_volumes": bronze_volumes,
+    "bronze_lineage": bronze_lineage,
     **{f"silver_{t}": _silver(t) for t in TABLES},
     "dq_rule_counts": rules.all_rule_counts,
     "dq_null_keys": rules.null_keys,
@@ -94,6 +113,8 @@ _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
             profiling.business_rules,
             profiling.rules_to_review,
             profiling.rule_samples,
+            profiling.rule_violations,
+            profiling.inferred_column_types,
             profiling.invoice_line_reconciliation,
             profiling.country_distribution,
             profiling.validation_summary,
