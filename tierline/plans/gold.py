@@ -37,3 +37,22 @@ VIEWS = {
 }
 
 GOLD = {**PARTS, **TABLES, **VIEWS}
+
+# Intermediate results that are stored, as more than one table reads them.
+SHARED = ("grades_by_enrollment",)
+
+# Stored objects that read other stored ones, which must be there before them.
+READS = {
+    "student_academic_summary": ("grades_by_enrollment",),
+    "course_performance_summary": ("grades_by_enrollment",),
+    "billing_currency_kpis": ("customer_billing_summary",),
+    "executive_kpis": (
+        "student_academic_summary", "course_performance_summary", "customer_billing_summary",
+        "customer_subscription_summary", "account_crm_summary", "lead_funnel_summary",
+    ),
+    "student_customer_360": ("student_academic_summary", "customer_subscription_summary", "customer_billing_summary"),
+    "course_performance_dashboard": ("course_performance_summary",),
+    "billing_customer_dashboard": ("customer_billing_summary",),
+    "crm_account_dashboard": ("account_crm_summary",),
+    "lead_source_dashboard": ("lead_funnel_summary",),
+}
