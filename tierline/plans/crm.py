@@ -67,26 +67,34 @@ _RELATION_COUNTS = {
 
 
 def opportunity_contact_metrics(layers) -> DataFrame:
-    """Per account of the opportunity. Relations are summed per (opportunity, contact) before the
-    opportunity's account is attached, so the distinct counts see each pair once."""
-    counts = {**_RELATION_COUNTS, **per_code("role", _ROLES)}
-    linked = layers.silver("opportunity_contacts").filter("is_opportunity_linked AND is_contact_linked")
-    pairs = aggregate(linked, same("opportunity_id", "contact_id"), counts)
-    owners = layers.reference("opportunities", "opportunity_id", "account_id")
-    owners = owners.withColumnRenamed("opportunity_id", "_deal")
-    owned = hot_key_join(pairs, owners, "opportunity_id", "_deal", "contact_id", how="inner")
-    # An opportunity has one account, so its first pair stands for it; only the contacts need a DISTINCT.
-    firsts = aggregate(pairs, same("opportunity_id"), {"_first": "min(contact_id)"}).withColumnRenamed("opportunity_id", "_own")
-    marked = hot_key_join(owned, firsts, "opportunity_id", "_own", "contact_id", how="inner")
-    return aggregate(
-        marked,
-        same("account_id"),
-        {
-            **{c: f"sum({c})" for c in _RELATION_COUNTS},
-            "opportunities_with_contacts": "count_if(contact_id = _first)",
-            "distinct_contacts_in_opportunities": "count(DISTINCT contact_id)",
-            **{c: f"sum({c})" for c in _ROLES},
-        },
+    """Per account of the opportunity, over the relations whose opportunity and contact both exist.
+
+    Relations are summed per (opportunity, contact) before any join; each pair then meets its opportunity and its
+    contact once. Summed again per (account, contact), a row is a distinct contact of the account; per (account,
+    opportunity), a distinct opportunity. Both sums read the same columns, so that Spark shuffles the pairs once.
+    """
+    relations = layers.reference("opportunity_contacts", "opportunity_id", "contact_id", "role")
+    roles = per_code("role", _ROLES)
+    pairs = aggregate(relations, same("opportunity_id", "contact_id"), {"_all": "count(*)", **roles})
+    owner = {"_owner": "min(account_id)"}
+    deals = aggregate(layers.reference("opportunities", "opportunity_id", "account_id"), {"_deal": "opportunity_id"}, owner)
+    people = aggregate(layers.reference("contacts", "contact_id", "account_id"), {"_person": "contact_id"}, {"_employer": "min(account_id)"})
+    owned = hot_key_join(pairs, deals, "opportunity_id", "_deal", "contact_id", how="inner")
+    met = add(hot_key_join(owned, people, "contact_id", "_person", "opportunity_id", how="inner"), {"_same": "coalesce(_owner = _employer, false)"})
+    sums = {"_all": "sum(_all)", "_same": "coalesce(sum(_all) FILTER (WHERE _same), 0)", **{c: f"sum({c})" for c in roles}}
+    by_contact, by_deal = (aggregate(met, {"account_id": "_owner", "_one": column}, sums) for column in ("contact_id", "opportunity_id"))
+    again = {c: f"sum({c})" for c in sums}
+    contacts = aggregate(by_contact, same("account_id"), {**again, "distinct_contacts_in_opportunities": "count(*)"})
+    named = aggregate(by_deal, {"_account": "account_id"}, {"_sums": f"array({', '.join(again.values())})", "opportunities_with_contacts": "count(*)"})
+    # Either way of summing gives the same relations; that both are read is what makes their shuffles the same.
+    return contacts.join(named, F.expr(f"account_id <=> _account AND array({', '.join(again)}) = _sums")).selectExpr(
+        "account_id",
+        "_all AS opportunity_contact_relationships",
+        "_same AS same_account_relationships",
+        "_all - _same AS different_account_relationships",
+        "opportunities_with_contacts",
+        "distinct_contacts_in_opportunities",
+        *_ROLES,
     )
 
 
