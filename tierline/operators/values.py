@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
+from fractions import Fraction
+from math import ceil, floor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,34 +85,71 @@ def table_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def exact_quantiles(df: DataFrame, units: str, fractions: Sequence[float], rows: int, low: int, high: int, bins: int = 1 << 12) -> list[Fraction | None]:
+    """Quantiles of whole numbers (SQL `units`; NULLs don't count), interpolated between neighbouring ranks, exact.
+
+    `rows`, `low` and `high` are the number of values and their range. Each round counts the values of every interval
+    that a wanted rank still lies in by `bins` bins of it, and goes on with the bin that holds the rank; a bin one
+    unit wide is the value. So a round sends at most bins x ranks counts, whatever the number of distinct values, and
+    2**63 units need six rounds.
+    """
+    if not rows:
+        return [None] * len(fractions)
+    spots = [Fraction(f).limit_denominator(10**9) * (rows - 1) for f in fractions]
+    # rank -> first and last unit of the interval that holds it, and how many values lie before the interval
+    held = {rank: (low, high, 0) for spot in spots for rank in {floor(spot), ceil(spot)}}
+    while any(a < b for a, b, _ in held.values()):
+        intervals = sorted({(a, b) for a, b, _ in held.values() if a < b})
+        width = {(a, b): -(-(b - a + 1) // bins) for a, b in intervals}
+        found = " ".join(f"WHEN _u BETWEEN {a}L AND {b}L THEN struct({i} AS at, (_u - {a}L) div {width[a, b]}L AS bin)" for i, (a, b) in enumerate(intervals))
+        spread = df.selectExpr(f"cast({units} AS bigint) AS _u").selectExpr(f"CASE {found} END AS spot").filter("spot IS NOT NULL")
+        counts: dict[int, list[tuple[int, int]]] = {}
+        for r in aggregate(spread, {"at": "spot.at", "bin": "spot.bin"}, {"n": "count(*)"}).collect():  # bins x ranks at most
+            counts.setdefault(r["at"], []).append((r["bin"], r["n"]))
+        for rank, (a, b, before) in held.items():
+            if a < b:
+                for bin_, n_ in sorted(counts[intervals.index((a, b))]):
+                    if rank < before + n_:
+                        break
+                    before += n_
+                first = a + bin_ * width[a, b]
+                held[rank] = (first, min(b, first + width[a, b] - 1), before)
+    return [held[floor(s)][0] + (s - floor(s)) * (held[ceil(s)][0] - held[floor(s)][0]) for s in spots]
+
+
 def describe(df: DataFrame, column: str, digits: int) -> DataFrame:
     """(estadistica, valor) of a decimal column, at four decimals; sample standard deviation.
 
-    Values are counted first, so the exact percentiles hold one entry per distinct value; meant for
-    columns with few distinct values, such as an age or a score with fixed decimals.
+    One aggregate without a shuffle of values, and rounds of counts for the quartiles: nothing grows with the number of
+    distinct values.
     """
-    known = df.filter(f"{column} IS NOT NULL")
-    counted = aggregate(known, {"v": f"cast({column} AS decimal(12,{digits}))"}, {"n": "count(*)"})
+    known = df.selectExpr(f"cast({column} AS decimal(12,{digits})) AS v").filter("v IS NOT NULL")
+    units = f"v * {10**digits}BD"
     total = aggregate(
-        counted,
+        known,
         {},
         {
-            "rows": "coalesce(sum(n), 0)",
-            "mean": half_up("sum(v * n)", "sum(n)", 4, digits),
-            "spread": "(sum(v * v * n) - sum(v * n) * sum(v * n) / nullif(sum(n), 0)) / nullif(sum(n) - 1, 0)",
+            "rows": "count(*)",
+            "mean": half_up("sum(v)", "count(v)", 4, digits),
+            "spread": "(sum(v * v) - sum(v) * sum(v) / nullif(count(v), 0)) / nullif(count(v) - 1, 0)",
             "low": "min(v)",
-            **{f"p{p}": f"percentile(cast(v AS double), {p / 100}, n)" for p in (25, 50, 75)},
             "high": "max(v)",
+            "first": f"cast(min({units}) AS bigint)",
+            "last": f"cast(max({units}) AS bigint)",
         },
     )
-    number = lambda sql: f"cast(round({sql}, 4) AS decimal(28,4))"
+    one = total.first()
+    quartiles = exact_quantiles(known, units, (0.25, 0.5, 0.75), one["rows"], one["first"] or 0, one["last"] or 0, 1 << 14)
+    at_four = lambda q: Decimal(floor(abs(q) * 10**4 / 10**digits + Fraction(1, 2))).scaleb(-4) * (-1 if q < 0 else 1)
+    spread = max(float(one["spread"] or 0), 0.0)
     # Names of the statistics.
     statistics = {
-        "count": "rows", "mean": "mean", "std": "if(rows > 1, sqrt(greatest(cast(spread AS double), 0)), NULL)",
-        "min": "low", "25%": "p25", "50%": "p50", "75%": "p75", "max": "high",
+        "count": one["rows"], "mean": one["mean"], "std": f"sqrt({spread!r}D)" if one["rows"] > 1 else None, "min": one["low"],
+        **{name: None if q is None else at_four(q) for name, q in zip(("25%", "50%", "75%"), quartiles)}, "max": one["high"],
     }
-    pairs = ", ".join(f"'{name}', {number(sql)}" for name, sql in statistics.items())
-    return total.selectExpr(f"stack({len(statistics)}, {pairs}) AS (estadistica, valor)")
+    number = lambda v: f"cast(round({'NULL' if v is None else v if isinstance(v, str) else f'{v}BD'}, 4) AS decimal(28,4))"
+    pairs = ", ".join(f"'{name}', {number(value)}" for name, value in statistics.items())
+    return df.sparkSession.range(1).selectExpr(f"stack({len(statistics)}, {pairs}) AS (estadistica, valor)")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
