@@ -260,7 +260,7 @@ class StarSource:
         )
 
     def _accounts(self) -> DataFrame:
-        suppliers = self.scan("supplier").join(self.scan("nation"), F.expr("s_nationkey = n_nationkey"))
+        suppliers = self.scan("supplier").join(self.scan("nation"), F.expr("s_nationkey = n_nationkey"), "left")
         return suppliers.selectExpr(
             "cast(s_suppkey AS string) AS account_id",
             "if(s_suppkey % 41 = 7, ' ', s_name) AS name",
