@@ -70,3 +70,23 @@ def test_a_hot_passage_stays_small(docs):
     words = " ".join(f"h{i}" for i in range(30))
     got = repeats(docs([f"own{i} {words} tail{i}" for i in range(3000)])).collect()
     assert sum(r.n_removed == 30 for r in got) == 2999
+
+
+def test_large_ids_next_to_null(docs):
+    words = " ".join(f"w{i}" for i in range(40))
+    big = 2**53 + 1
+    rows = [(big, words, "s"), (None, words, "s"), (big + 2, words + " end", "s"), (None, "few words", "s"), (-(2**62) - 1, "own text", "s")]
+    got = repeats(docs(rows).coalesce(1)).collect()
+    assert sorted(((r.doc_id or 0), r.n_words, r.n_removed) for r in got) == [
+        (-(2**62) - 1, 2, 0), (0, 2, 0), (0, 40, 0), (big, 40, 0), (big + 2, 41, 40)
+    ]
+
+
+def test_lanes_spread_ids_with_a_pattern():
+    import numpy as np
+
+    from tierline.llm.substring import _by_lane
+
+    ids = np.arange(-500, 500, dtype=np.int64) * 4_096
+    lanes = [lane for lane, _ in _by_lane(ids, ids.astype(np.uint64), 64)]
+    assert len(lanes) == len(set(lanes)) > 60 and all(0 <= x < 64 for x in lanes)

@@ -2,8 +2,8 @@
 
 Any window of `window` words holds a whole aligned block of (window + 1) // 2 words of the document it is copied from.
 Those non-overlapping blocks are the anchors; every rolling block of every document probes them. Only places that
-hit take part in the second step, which extends each hit to the windows around it, compares these exactly and so
-grows runs of windows to maximal repeats.
+hit take part in the second step, which extends each hit to the windows around it, compares these by 96 bits of
+hashes and so grows runs of windows to maximal repeats.
 
 Hashes travel packed: a slice of documents sends each hash once, for its smallest document, whatever the number of
 documents that share it, to one of many buckets. So a passage that a third of all documents share costs one entry a
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm.shared import column_bytes, settled, slices, space_flags, window_hashes, word_bounds, word_hashes
+from tierline.llm.shared import column_bytes, settled, slices, space_flags, splitmix, window_hashes, word_bounds, word_hashes
 
 _SPACE = space_flags()
 _SENT = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
@@ -34,7 +34,7 @@ class _Slice:
     """Documents of a batch in the order of their ids, as one array of word hashes."""
 
     def __init__(self, batch: pa.RecordBatch) -> None:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)  # NULLs would make them floats
         self.order = np.argsort(ids, kind="stable")
         self.ids = ids[self.order]
         self.data, starts = column_bytes(batch.column("text").take(pa.array(self.order)))
@@ -101,8 +101,8 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _by_lane(ids: np.ndarray, keys: np.ndarray, lanes: int) -> Iterator[tuple[int, bytes]]:
-    """Hits packed by the lane of their documents."""
-    lane = ids % lanes
+    """Hits packed by the lane of their documents, a hash, as ids may have a pattern."""
+    lane = (splitmix(ids) % np.uint64(lanes)).astype(np.int64)
     order = np.lexsort((ids, lane))
     lane, ids, keys = lane[order], ids[order], keys[order]
     at = [*_runs(lane), len(lane)] if len(lane) else []
@@ -319,5 +319,6 @@ def repeats(docs: DataFrame, window: int = 13, with_text: bool = True) -> DataFr
 
 
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """`repeats` over all documents, windows of 13 words, without the kept text itself."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     return repeats(docs, 13, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
