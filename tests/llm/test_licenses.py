@@ -78,3 +78,31 @@ def test_a_notice_within_its_edits_is_always_a_candidate(which, edits):
 def test_empty_table_null_ids_and_repeats(docs):
     assert notices_in(docs([])).count() == 0
     assert notices_in(docs([(None, "cc by", "s"), (1, "cc by", "s"), (1, "cc by", "s")])).where("n_base = 1").count() == 3
+
+
+def test_long_texts_full_of_hits(docs):
+    """Work in proportion to the text: 400,000 phrases and 40,000 notices in one text each."""
+    import time
+
+    texts = ["cc by " * 400_000, "general publik license x " * 40_000]
+    begun = time.time()
+    got = {r.doc_id: r for r in notices_in(docs(texts)).collect()}
+    assert time.time() - begun < 60
+    assert (got[0].n_base, got[0].first_word, got[0].last_word) == (400_000, 0, 799_998)
+    assert got[1].n_base == 0 and got[1].labels == "gpl" and len(got[1].spans) == 40_000
+    assert [tuple(s)[:2] for s in got[1].spans[:2]] == [(0, 3), (4, 7)]
+
+
+def test_best_spans_equal_comparing_all_with_all():
+    import random
+
+    from tierline.llm.licenses import best_spans
+
+    draw = random.Random(4)
+    for _ in range(50):
+        spans = [(a, a + draw.randrange(1, 9), draw.choice("xy"), draw.randrange(3), 0.0) for a in (draw.randrange(60) for _ in range(40))]
+        slow = []
+        for s in sorted(spans, key=lambda s: (s[3], s[0] - s[1])):
+            if not any(s[2] == t[2] and s[0] < t[1] and t[0] < s[1] for t in slow):
+                slow.append(s)
+        assert best_spans(spans) == slow

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -92,20 +94,41 @@ class Notice:
 
 def scanned(line: str, notices: list[Notice]) -> tuple[list[tuple[int, str]], list[tuple]]:
     """Places of phrases (first word, label), and spans of notices (first word, end word, label, edits) of a text."""
-    exact = []
+    exact: list[tuple[int, str]] = []
+    blanks: list[int] = []
+
+    def before(place: int) -> int:
+        """Blanks before a place; they are looked up once for a text that has any hit."""
+        if not blanks:
+            blanks.extend(m.start() for m in re.finditer(" ", line))
+        return bisect_left(blanks, place)
+
     for phrase, label in PHRASES.items():
         look, at = f" {phrase} ", line.find(f" {phrase} ")
         while at >= 0:
-            exact.append((line.count(" ", 0, at), label))
+            exact.append((before(at), label))
             at = line.find(look, at + 1)
     spans = []
     for notice in notices:
         for x, y, edits in notice.found(line):
-            first = line.count(" ", 0, x) - 1
-            spans.append((first, first + line.count(" ", x, y) + 1, notice.label, edits, edits / notice.edits if notice.edits else 0.0))
+            first = before(x) - 1
+            spans.append((first, before(y), notice.label, edits, edits / notice.edits if notice.edits else 0.0))
     return exact, spans
 
 
+def best_spans(spans: list[tuple]) -> list[tuple]:
+    """Spans without those that one with the same label and fewer edits overlaps; longer ones come first at a tie."""
+    taken: dict[str, list[tuple[int, int]]] = {}  # by label, apart from each other and in order
+    out = []
+    for s in sorted(spans, key=lambda s: (s[3], s[0] - s[1])):
+        own = taken.setdefault(s[2], [])
+        at = bisect_left(own, (s[0], s[1]))
+        if (at == 0 or own[at - 1][1] <= s[0]) and (at == len(own) or s[1] <= own[at][0]):
+            own.insert(at, (s[0], s[1]))
+            out.append(s)
+    return out
+
+
 _RESULT = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
     "score double, spans array<struct<first:int,end:int,label:string,edits:int>>"
@@ -126,11 +149,7 @@ def _scan(notices: tuple) -> Callable:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 line, n = words_line(text or "")
                 exact, spans = scanned(line, known)
-                # A span that another with the same label and fewer edits overlaps adds nothing.
-                best: list[tuple] = []
-                for s in sorted(spans, key=lambda s: (s[3], s[0] - s[1])):
-                    if not any(s[2] == t[2] and s[0] < t[1] and t[0] < s[1] for t in best):
-                        best.append(s)
+                best = best_spans(spans)
                 starts = sorted(x for x, _ in exact)
                 base = {label for _, label in exact}
                 score = 1.0 if exact else max([1 - s[4] / 2 for s in best], default=0.0)
@@ -160,5 +179,6 @@ def notices_in(docs: DataFrame, notices: tuple = NOTICES) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """`notices_in` over all documents, without the spans."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     return notices_in(docs).drop("spans")
