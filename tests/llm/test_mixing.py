@@ -68,3 +68,34 @@ def test_query_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
     assert compare(spark, con, SMALL, "op2", op2_source_mixing, OP2_SQL)[0] == "ok"
+
+
+def totals(rows):
+    out = {}
+    for r in rows:
+        taken, target = out.get(r.source, (0, r.m_target))
+        out[r.source] = taken + r.m_repeats * r.m_size, target
+    return out
+
+
+def test_many_rows_without_id_come_near_the_target(docs):
+    """Rows that nothing tells apart but their text, or not even that, are taken one by one."""
+    rows = [(None, f"w{i} w w w", "a") for i in range(500)] + [(None, "same w w w", "a") for _ in range(500)]
+    rows += [(i, "w w w w", "b") for i in range(1_000)] + [(7, "w " * (i % 3 + 1), "c") for i in range(900)]
+    got = mixed(docs(rows, extra=["m_text", "m_number"]).repartition(5)).collect()
+    assert len(got) == len(rows)
+    for source, (taken, target) in totals(got).items():
+        assert abs(taken - target) <= 4, source
+    counts = {r.m_repeats for r in got if r.source == "a"}
+    assert len(counts) == 2 and max(counts) - min(counts) == 1
+
+
+def test_null_and_repeated_ids_equal_sql(docs, spark, tmp_path):
+    import duckdb
+    from compare import compare
+
+    rows = [(None, "w " * (i % 3), "abc"[i % 3]) for i in range(300)] + [(i % 40, "w " * (i % 4), ["a", "b", None][i % 3]) for i in range(400)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert compare(spark, con, str(tmp_path), "op2", op2_source_mixing, OP2_SQL)[0] == "ok"
