@@ -4,7 +4,7 @@ import random
 import re
 from itertools import combinations
 
-from tierline.llm.ngram_join import _intersections, components, join, one_of_each, op7_ngram_jaccard_join, runs_needed
+from tierline.llm.ngram_join import _intersections, components, join, one_of_each, one_text_of_each, op7_ngram_jaccard_join, runs_needed
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -97,3 +97,51 @@ def test_intersections_both_ways():
 
 def test_more_runs_for_more_recall():
     assert runs_needed(0.8, 0.9999, 2) > runs_needed(0.8, 0.9, 2) >= 1
+
+
+def test_no_row_is_lost(docs):
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, words, "s"), (1, None, "s"), (2, words, "s"), (3, None, "s"), (1, " \n", "s"), (2, "other words", "s"), (None, None, "s")]
+    got = sorted((r.doc_id or 0, r.class_id or 0, r.n_copies, r.n_links) for r in join(docs(rows)).collect())
+    assert got == [(0, 0, 1, 0), (1, 1, 1, 0), (1, 1, 1, 0), (1, 1, 2, 1), (2, 1, 2, 1), (2, 2, 1, 0), (3, 3, 1, 0)]
+
+
+def test_one_text_of_each_judges_rows_by_their_text(docs):
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(60))
+    rows = [
+        (4, text(0), "s"), (2, text(0) + " x", "s"), (2, text(0) + " x", "s"), (None, text(0), "s"), (None, text(0) + " y", "s"),
+        (2, text(1), "s"), (9, None, "s"), (9, "", "s"), (None, None, "s"), (None, "", "s"), (7, text(2), "s"),
+        (None, text(3), "s"), (None, text(3), "s"), (None, text(3) + " z", "s"),
+    ]
+    frame = docs(rows, extra=["o_doc", "digest", "cid"])
+    kept = one_text_of_each(frame)
+    assert kept.columns == frame.columns
+    found = sorted((r.doc_id or 0, (r.text or "")[:4]) for r in kept.collect())
+    assert found == [(0, ""), (0, ""), (0, "t3w0"), (2, "t0w0"), (2, "t1w0"), (7, "t2w0"), (9, "")]
+    assert one_text_of_each(docs([])).count() == 0
+
+
+def test_a_third_without_id_is_deduplicated_too(docs):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(80)]
+    rows = [(i if i % 3 else None, changed(words, rng.randrange(2), rng), "s") for i in range(60)]
+    rows += [(1000 + i, " ".join(f"own{i}w{k}" for k in range(20)), "s") for i in range(10)]
+    found = [r.doc_id for r in one_text_of_each(docs(rows)).collect()]
+    assert sorted(found) == [1, *range(1000, 1010)]
+
+
+def test_recall_at_the_depth_that_splits_reach(docs, monkeypatch):
+    """Small nodes force splits down to the last depth; pairs at the threshold are still met."""
+    import tierline.llm.ngram_join as module
+
+    monkeypatch.setattr(module, "_SMALL", 2)
+    rng = random.Random(12)
+    texts = []
+    for g in range(60):
+        words = [f"g{g}w{i}" for i in range(100)]
+        texts += [" ".join(words), changed(words, 2, rng)]  # ten of 96 shingles differ: a similarity of about 0.81
+    want = brute(list(enumerate(texts)))
+    got = {r.doc_id: (r.class_id, r.n_links) for r in join(docs(texts)).collect()}
+    linked = [d for d, (_, n) in want.items() if n]
+    assert len(linked) > 40 and sum(got[d] == want[d] for d in linked) >= 0.9 * len(linked)
+    assert module.runs_needed(0.8, 0.9999, module._DEPTH) >= module.runs_needed(0.8, 0.9999, 2)

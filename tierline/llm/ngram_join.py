@@ -13,7 +13,6 @@ and a text is sent to the nodes where it has something to compare.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Callable, Iterator
 
@@ -65,13 +64,13 @@ def _multipliers(seed: int) -> np.ndarray:
     return splitmix(np.arange(1, _COORDINATES + 1, dtype=np.uint64) + np.uint64(seed << 8)) | np.uint64(1)
 
 
-def _class_of(text: str) -> int:
-    """The id of the class of a text: 64 bits of a hash, so that of 10^9 texts two share one with a chance of 3 %."""
-    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True)
+def _text_id() -> Column:
+    """128 bits of a hash of the text: of 10^12 texts two share them with a chance of 10^-15."""
+    return F.unhex(F.md5("text"))
 
 
 def _signed(size: int, seed: int) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("sig", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("sig", pa.list_(pa.int64()))])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odd = _multipliers(seed)
@@ -83,12 +82,12 @@ def _signed(size: int, seed: int) -> Callable:
             with np.errstate(over="ignore"):
                 for i in range(_COORDINATES if len(full) else 0):
                     sig[:, i] = np.minimum.reduceat((hashes * odd[i]) >> np.uint64(32), first[:-1][full])
-            ids, texts = batch.column("doc_id").take(pa.array(full)), batch.column("text").to_pylist()
+            own = batch.take(pa.array(full))
             offsets = np.arange(len(full) + 1, dtype=np.int32) * _COORDINATES
             yield pa.record_batch(
                 [
-                    ids.cast(pa.int64()),
-                    pa.array([_class_of(texts[i]) for i in full], pa.int64()),
+                    own.column("doc_id"),
+                    own.column("digest"),
                     pa.array(n[full]),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.ravel())),
                 ],
@@ -126,7 +125,7 @@ def _child(node: Column, seed: int, k: int) -> Column:
 
 def _leaves(classes: DataFrame, threshold: float, recall: float, seed: int) -> DataFrame:
     """(leaf, cid, size): the nodes to be compared and their members; `size` is the number of members."""
-    runs = runs_needed(threshold, recall, 2)
+    runs = runs_needed(threshold, recall, _DEPTH)
     roots = [F.xxhash64(F.lit(seed), F.lit(r)) for r in range(runs)]
     at = classes.select("cid", F.explode(F.array_distinct(F.array(*[_child(x, seed, k) for x in roots for k in range(_SAMPLED)]))).alias("node"))
     done, depth = None, 1
@@ -235,14 +234,7 @@ def _compared(size: int, threshold: float) -> Callable:
     schema = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        texts = table["text"].to_pylist()
-        seen: set[int] = set()
-        keep = []
-        for i, cid in enumerate(table["cid"].to_pylist()):  # rows that repeat a doc_id, with this text or another
-            if cid not in seen and _class_of(texts[i]) == cid:
-                seen.add(cid)
-                keep.append(i)
-        table = table.take(pa.array(keep, pa.int64()))
+        table = table.take(pa.array(np.sort(np.unique(table["cid"].to_numpy(), return_index=True)[1])))  # rows that repeat id and text
         members = _Members(key[0].as_py(), table)
         a, b = np.nonzero(members.open_pairs(slice(None), slice(None)))
         hashes, first = shingles_of(table["text"], size)
@@ -310,22 +302,26 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.9999, seed: int = 17) -> DataFrame:
-    """For each row of `docs`: doc_id, rep, class_id, n_copies, n_links.
+def _has_word() -> Column:
+    """Whether the text has a word; NULL has none."""
+    return F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
-    rep is the smallest doc_id of the rows of equal text, n_copies their number, class_id the smallest doc_id of the
-    component of linked rows, and n_links the number of other rows whose shingle sets have a Jaccard similarity of
-    `threshold` or more, copies included. A text of fewer than `size` words is one shingle. Texts without a word, NULL
-    among them, have no set and no links: each is a class of its own, and so is a row without doc_id, whose class_id is
-    NULL. Rows that repeat a doc_id count as rows. Other columns are not read. An empty table gives an empty result.
+
+def _classed(named: DataFrame, threshold: float, size: int, recall: float, seed: int) -> DataFrame:
+    """(doc_id, digest, rep, copies, links, root, class_id): every row of `named`, whose texts have words, with its class.
+
+    rep is the smallest doc_id of the rows of equal text, class_id that of the component, which root names. Rows
+    without doc_id are members as others are, but name neither; rep and class_id are NULL where no member has one.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    named = base.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    signed = settled(named.mapInArrow(_signed(size, seed), "doc_id long, cid long, n long, sig array<long>"))
+    signed = named.select("doc_id", "text", _text_id().alias("digest")).mapInArrow(
+        _signed(size, seed), "doc_id long, digest binary, n long, sig array<long>"
+    )
+    signed = settled(signed)
+    # A class is its text's hash; written with a number for each, which the joins below carry instead.
     classes = settled(
-        signed.groupBy("cid").agg(
-            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("sig").alias("sig")
-        )
+        signed.groupBy("digest")
+        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("sig").alias("sig"))
+        .withColumn("cid", F.monotonically_increasing_id())
     )
     leaves = _leaves(classes, threshold, recall, seed)
     nodes = leaves.groupBy("cid").agg(F.sort_array(F.collect_set("leaf")).alias("nodes"))
@@ -335,10 +331,15 @@ def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float =
         F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles")
     )
     blocks = F.ceil(F.greatest(F.col("members") / _TEXTS, F.col("shingles") / _SHINGLES))
-    wanted = classes.join(kept.select("cid").distinct(), "cid", "left_semi").select(
-        "cid", F.col("rep").alias("doc_id"), "copies"
-    )
-    texts = named.join(wanted, "doc_id").select("cid", "text", "copies")
+    wanted = classes.join(kept.select("cid").distinct(), "cid", "left_semi").select("cid", "rep", "digest", "copies")
+    # A class with ids gives its text from the row of its smallest; one without, from its rows, which are made one.
+    source = named.select("doc_id", "text", _text_id().alias("own"))
+    with_id = source.where("doc_id IS NOT NULL").join(wanted, (F.col("doc_id") == F.col("rep")) & (F.col("own") == F.col("digest")))
+    without = wanted.where("rep IS NULL")
+    texts = with_id.select("cid", "text", "copies")
+    if not without.isEmpty():
+        alone = source.where("doc_id IS NULL").join(without, F.col("own") == F.col("digest"))
+        texts = texts.unionByName(alone.groupBy("cid", "copies").agg(F.min("text").alias("text")).select("cid", "text", "copies"))
     cells = _cells(kept.join(sizes, "leaf").join(nodes, "cid"), blocks, "texts").join(texts, "cid")
     found = settled(
         cells.groupBy("leaf", "i", "j").applyInArrow(_compared(size, threshold), "cid long, links long, root long")
@@ -346,14 +347,28 @@ def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float =
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     classed = (
-        classes.select("cid", "rep", "copies")
+        classes.select("cid", "digest", "rep", "copies")
         .join(links, "cid", "left")
         .join(roots.withColumnRenamed("node", "cid"), "cid", "left")
         .withColumn("root", F.coalesce("root", "cid"))
     )
     smallest = classed.groupBy("root").agg(F.min("rep").alias("class_id"))
-    grouped = signed.select("doc_id", "cid").join(classed.join(smallest, "root"), "cid")
-    lone = base.join(signed.select("doc_id").distinct(), "doc_id", "left_anti")
+    return signed.select("doc_id", "digest").join(classed.join(smallest, "root"), "digest")
+
+
+def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.9999, seed: int = 17) -> DataFrame:
+    """For each row of `docs`: doc_id, rep, class_id, n_copies, n_links.
+
+    rep is the smallest doc_id of the rows of equal text, n_copies their number, class_id the smallest doc_id of the
+    component of linked rows, and n_links the number of other rows whose shingle sets have a Jaccard similarity of
+    `threshold` or more, copies included. A text of fewer than `size` words is one shingle. Texts without a word, NULL
+    among them, have no set and no links: each row is a class of its own, and so is a row without doc_id, whose class_id
+    is NULL. Rows that repeat a doc_id count as rows, each by its own text. Other columns are not read. An empty table
+    gives an empty result.
+    """
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    linked = F.col("doc_id").isNotNull() & _has_word()
+    grouped = _classed(base.where(linked), threshold, size, recall, seed)
     return grouped.select(
         "doc_id",
         "rep",
@@ -361,7 +376,7 @@ def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float =
         F.col("copies").alias("n_copies"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
     ).unionByName(
-        lone.select(
+        base.where(~linked).select(
             "doc_id",
             F.col("doc_id").alias("rep"),
             F.col("doc_id").alias("class_id"),
@@ -374,13 +389,40 @@ def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float =
 def one_of_each(docs: DataFrame, **how: float) -> DataFrame:
     """The rows of `docs` whose doc_id is the smallest of their class; one row of those that repeat it.
 
-    Rows without doc_id stay. Columns as in `docs`.
+    Rows without doc_id stay: see one_text_of_each. Columns as in `docs`.
     """
     first = join(docs, **how).where("doc_id = class_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
 
+def one_text_of_each(
+    docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.9999, seed: int = 17
+) -> DataFrame:
+    """One row of each group of linked texts; columns as in `docs`.
+
+    It is the row of the smallest doc_id, at a tie of the smallest hash of its text; rows without doc_id come last, but
+    are members of groups as others are. Rows of equal id and text are one, and so are wordless rows (NULL and empty
+    texts) of equal id; those without id all stay.
+    """
+    key, digest = "o_doc", "o_digest"
+    while {key, digest} & set(docs.columns):
+        key, digest = f"{key}_", f"{digest}_"
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(_has_word())
+    member = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
+    first = _classed(base, threshold, size, recall, seed).groupBy("root").agg(F.min(member).alias("first"))
+    first = first.select(F.col("first.doc_id").alias(key), F.col("first.digest").alias(digest))
+    own = F.col("doc_id").cast("long")
+    rows = docs.where(_has_word())
+    kept = rows.join(first, _text_id().eqNullSafe(F.col(digest)) & own.eqNullSafe(F.col(key)))
+    # A group's first row may stand in the table more than once.
+    kept = kept.dropDuplicates([key, digest]).select(*docs.columns)
+    wordless = docs.where(~_has_word())
+    once = wordless.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return kept.unionByName(once).unionByName(wordless.where("doc_id IS NULL"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """`join` over all documents: shingles of five words, a similarity of 0.8."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     return join(docs)
