@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm.decontamination import leak_free
 from tierline.llm.mixing import mixed
-from tierline.llm.ngram_join import one_of_each
+from tierline.llm.ngram_join import one_text_of_each
 from tierline.llm.pii import redacted
 from tierline.llm.quality import clean
 from tierline.llm.shared import settled
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each group of linked ones."""
-    return one_of_each(docs)
+    """One document of each group of linked ones: of the smallest id, or of none where no member has one."""
+    return one_text_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
