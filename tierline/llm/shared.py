@@ -29,11 +29,27 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+#: Spark's setting by which shuffle files go when the query that wrote them has ended.
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """The frame, written to the shared folder and read again: its lineage ends there and survives lost executors."""
+    """The frame, written to the shared folder and read again: its lineage ends there and survives lost executors.
+
+    Nothing reads the shuffles behind it once it is written, so they are removed then rather than when the driver's
+    next garbage collection finds them. The table itself stays, to be expired with the cluster's other checkpoints.
+    """
     spark = df.sparkSession
     place = f"{shared_folder(spark)}/tierline-llm/{uuid.uuid4().hex}"
-    df.write.parquet(place)
+    before = spark.conf.get(_FILE_CLEANUP, None)
+    spark.conf.set(_FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(place)
+    finally:
+        if before is None:
+            spark.conf.unset(_FILE_CLEANUP)
+        else:
+            spark.conf.set(_FILE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(place)
 
 
