@@ -178,3 +178,60 @@ def corpus_rows(spark, frame, bench):
     kept = corpus_pipeline.decontamination(spark, frame, folder).collect()
     assert not {r.text for r in kept} & {r.text for r in bench.collect()}
     return kept
+
+
+def test_words_that_stand_together_share_their_directions(docs):
+    """A passage of other words than the item's, which stand where those stand in the corpus, is near it in the latent
+    space; plain TF-IDF sees nothing in common, and without its leading directions the space does not either."""
+    import pyarrow as pa
+
+    from tierline.llm.decontamination import _Words
+
+    rng = random.Random(13)
+    subjects = [([f"s{k}a{i}" for i in range(12)], [f"s{k}b{i}" for i in range(12)]) for k in range(8)]
+    corpus = []
+    for _ in range(400):  # either word of a pair, with equal chance, among words of no subject
+        a, b = rng.choice(subjects)
+        text = [rng.choice((a[i], b[i])) for i in (rng.randrange(12) for _ in range(40))]
+        corpus.append(" ".join(w for pair in zip(text, prose(rng, 40)) for w in pair))
+    frame = docs(corpus)
+    items = [(k, " ".join(rng.choices(a, k=24))) for k, (a, _) in enumerate(subjects)]
+    items += [(100 + k, " ".join(prose(rng, 24))) for k in range(192)]
+    parts = Parts(items)
+    idf = inverse_frequencies(frame)
+    basis = fitted(frame, idf, parts, rank=60)
+    assert basis.directions.shape[1] == 60 < len(parts.words)
+    passages = [" ".join(rng.choices(b, k=48)) for _, b in subjects]
+    words = _Words(pa.array(passages))
+    near = {(d, parts.item[q]) for d, _, _, q, _ in basis.near(words, 0.5, 9.0)}
+    assert {(k, k) for k in range(8)} <= near and len(near) < 16
+    # Plain TF-IDF: not a column in common.
+    item_columns = [set(c.tolist()) for c in parts.columns[:8]]
+    own = [set(words.column[words.first[k] : words.first[k + 1]].tolist()) for k in range(8)]
+    assert not any(own[k] & item_columns[k] for k in range(8))
+    # The directions are what finds them: without the leading ones nothing is near.
+    columns = np.flatnonzero(basis.place >= 0)
+    weak = type(basis)(idf, parts, columns, basis.directions[:, 12:])
+    assert not {(k, k) for k in range(8)} & {(d, parts.item[q]) for d, _, _, q, _ in weak.near(words, 0.5, 9.0)}
+
+
+@pytest.mark.parametrize("n", [40, 200])
+def test_recall_of_copies_and_paraphrases_by_the_size_of_the_benchmark(docs, spark, n):
+    rng = random.Random(n)
+    corpus = [r.text.split() for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").orderBy("doc_id").limit(500).collect()]
+    vocabulary = [w for text in corpus for w in text]
+    items = [rng.choices(vocabulary, k=rng.randrange(16, 60)) for _ in range(n)]
+    texts = [" ".join([*t[:60], *(changed(rng, items[d % n]) if d % 2 else items[d % n]), *t[60:120]]) for d, t in enumerate(corpus[:300])]
+    texts += [" ".join(t[:150]) for t in corpus[300:]]
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks(docs(texts), bench).collect()}
+    want = {(d, d % n) for d in range(300)}
+    assert len(got & want) >= 0.9 * 300 and got <= want
+
+
+def test_one_scan_of_the_documents_whatever_the_number_of_items(docs, spark):
+    rng = random.Random(8)
+    frame = docs([" ".join(prose(rng, 60)) for _ in range(30)])
+    bench = spark.createDataFrame([(i, " ".join(prose(rng, 40))) for i in range(1_020)], "item_id long, text string")
+    plan = leaks(frame, bench)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan
