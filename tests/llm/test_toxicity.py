@@ -69,3 +69,35 @@ def test_null_empty_and_repeated(docs, spark):
 @pytest.mark.parametrize("words,expected", [([], set()), ([b"abcd"], set()), ([b"abcde", b"abcdf"], {b"abcd*1", b"abcd*2"})])
 def test_stems(words, expected):
     assert stems_in(words) == expected
+
+
+def test_repeated_ids_with_other_labels_and_texts_give_the_same_chain(docs, spark):
+    from tierline.llm.toxicity import trained
+
+    rows = [(i, f"nice calm words {i % 7} " * 5 if i % 2 else f"stupid trash clown {i % 5} " * 5, "s") for i in range(80)]
+    rows += [(i, "another text of the same id", "s") for i in range(0, 80, 9)]
+    labels = [(i, 1 - i % 2) for i in range(80)] + [(i, 1) for i in range(1, 80, 8)] + [(3, None)]
+    frames = [(docs(rows).repartition(k), spark.createDataFrame(labels, "doc_id long, toxic int").repartition(k)) for k in (1, 5)]
+    one, two = (trained(d, l) for d, l in frames)
+    assert one.terms == two.terms and one.threshold == two.threshold
+    assert all((a == b).all() for a, b in zip(one.weights, two.weights))
+
+
+def test_chain_equals_a_plain_one_on_all_rows(docs, spark):
+    """Every probability once more, link by link: a logistic function of the terms and of the links before."""
+    import math
+
+    from tierline.llm.toxicity import scored, terms_in, trained
+
+    rows = [(i, f"nice calm words {i % 7} number{i}", "s") if i % 3 else (i, f"stupid loser trash {i % 5} number{i}", "s") for i in range(120)]
+    frame = docs(rows)
+    chain = trained(frame, spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int"))
+    got = {r.doc_id: r for r in scored(frame, chain).collect()}
+    for i, text, _ in rows:
+        present = [1.0 if t in terms_in(text) else 0.0 for t in chain.terms]
+        links = []
+        for w in chain.weights:
+            z = w[0] + sum(a * b for a, b in zip(w[1:], [*present, *links]))
+            links.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+        r = got[i]
+        assert [r.p_insult, r.p_contempt, r.p_toxic] == pytest.approx(links) and r.toxic == (links[-1] >= chain.threshold)

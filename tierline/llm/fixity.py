@@ -35,12 +35,11 @@ def archived(pages: DataFrame, file_records: int = FILE_RECORDS, lanes: int | No
         F.lit(">\r\nWARC-Target-URI: "), url, F.lit("\r\nContent-Length: "), F.octet_length(html).cast("string"), F.lit("\r\n\r\n"),
     )
     file = F.when(
-        F.col("page_id").isNotNull(), F.concat(F.lit("ids-"), F.floor(F.col("page_id") / file_records).cast("string"))
+        F.col("page_id").isNotNull(), F.concat(F.lit("ids-"), F.expr(f"(page_id - pmod(page_id, {file_records}L)) div {file_records}").cast("string"))
     ).otherwise(F.concat(F.lit("none-"), F.pmod(F.xxhash64(url, html), F.lit(lanes)).cast("string")))
     rows = pages.select(
         file.alias("file"), F.col("page_id").cast("long").alias("record_id"), F.concat(head, body).cast("binary").alias("payload")
     )
-    order = Window.partitionBy("file").orderBy(F.col("record_id"), F.sha2("payload", 256))
     length = F.octet_length("payload").cast("long")
     rows = rows.withColumns({"length": length, "digest": F.sha2("payload", 256)})
     order = Window.partitionBy("file").orderBy("record_id", "digest")
@@ -183,6 +182,7 @@ def damaged(pages: DataFrame) -> DataFrame:
 
 
 def op10_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit of the pages against a second replica that is damaged by a rule on page_id."""
     pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html")
     lanes = lanes_of(pages)
     return audit(archived(pages, lanes=lanes), archived(damaged(pages), lanes=lanes))

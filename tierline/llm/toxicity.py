@@ -114,17 +114,18 @@ def trained(docs: DataFrame, labels: DataFrame, categories: dict = CATEGORIES, s
     """The chain, from `sample` labelled documents at most; None where either label is missing.
 
     The sample takes each label's documents in the order of a hash of their id, half of the bound each, and weighs
-    them back to their numbers. Its terms are counted by Spark; the strongest `features` by G-squared and the sample's
+    them back to their numbers. An id with several labels is toxic if one of them says so. Its terms are counted by Spark; the strongest `features` by G-squared and the sample's
     rows, in these features, come to the driver.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("label")
     )
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))  # toxic if any label of the id says so
     numbers = dict(known.groupBy("label").count().collect())
     if len(numbers) < 2:
         return None
     parts = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for k in (0, 1)]
-    chosen = parts[0].unionByName(parts[1]).dropDuplicates(["doc_id"])  # `sample` rows of two numbers at most
+    chosen = parts[0].unionByName(parts[1])  # `sample` rows of two numbers at most
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
     texts = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
 
@@ -166,7 +167,9 @@ def trained(docs: DataFrame, labels: DataFrame, categories: dict = CATEGORIES, s
                 names=["doc_id", "features", "labels"],
             )
 
-    rows = texts.mapInArrow(marked, "doc_id long, features array<int>, labels array<int>").dropDuplicates(["doc_id"])
+    rows = texts.mapInArrow(marked, "doc_id long, features array<int>, labels array<int>")
+    # Of the texts of one id, the one of the first features, so that reruns agree.
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("features", "labels")).alias("own")).select("doc_id", "own.*")
     rows = rows.select("features", "labels", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).alias("fold"), "doc_id").collect()
     rows.sort(key=lambda r: r["doc_id"])
     if not rows:
