@@ -54,6 +54,14 @@ def test_hard_texts_equal_brute_force(docs):
         assert (r.q_words, r.q_word_chars, r.q_symbols, r.q_dup_lines, r.q_repeat_words, r.q_base_failed) == base(text), text[:20]
 
 
+def test_long_texts_of_many_windows_equal_brute_force(docs):
+    """Many windows share the bits that the first sort compares; only truly equal ones count."""
+    words = [f"w{i}" for i in range(300_000)]
+    texts = [" ".join(words), " ".join(words + words[1000:1005]), " ".join([*words[:40], *words[20:40]] * 500)]
+    rows = {r.doc_id: r.q_repeat_words for r in measured(docs(texts)).collect()}
+    assert [rows[i] for i in range(3)] == [base(t)[4] for t in texts] and rows[0] == 0 and rows[1] == 10
+
+
 def test_lines_that_break_rules_are_removed(docs):
     good = " ".join(f"word{i}" for i in range(80)) + "."
     text = f"Home\n{good}\nWe use cookies and more here.\na | b | c | d | e\nSHOUT!! LOUD!! NOW!!"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -29,6 +31,10 @@ def _count(line: Column, sign: str) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit(sign), F.lit("")))) / len(sign)
 
 
+def _placed(place: Column, hashed: Callable[[Column], Column]) -> Column:
+    return F.struct(hashed(place).alias("hash"), place.alias("place"))
+
+
 def line_view(line: Column) -> Column:
     """The line with what several rules read, so that it is computed once."""
     return F.struct(line.alias("line"), F.lower(line).alias("low"), F.length(line).alias("n"))
@@ -59,7 +65,8 @@ def measured(docs: DataFrame, max_lost: float = 0.3, min_words: int = 50, max_re
     """Every row of `docs` with its counts, its cleaned text and the verdict, in columns named q_*.
 
     NULL text counts as empty; empty and blank texts have no line and fail. Repeated rows are judged one by one.
-    Columns of `docs` named q_* are replaced. A document is one row at every step, so nothing is shuffled.
+    Columns of `docs` named q_* are replaced. A document is one row at every step, so nothing is shuffled. An empty table
+    gives an empty result; a text at a limit passes it.
     """
     text = text_of()
     out = docs.withColumns(
@@ -78,28 +85,37 @@ def measured(docs: DataFrame, max_lost: float = 0.3, min_words: int = 50, max_re
             "q_hash": F.transform("q_list", lambda x: F.xxhash64(x)),
         }
     ).drop("q_list")
-    # Each window of three words becomes a number: the high bits of its hash, then its place in the text. Sorted,
-    # equal windows are neighbours. About n^3 / 2^64 pairs of other windows among n are taken for equal: 10^-7 of a pair in
-    # a text of 10,000 words, one pair in a text of 2.6 million.
+    # A window is a full 64-bit hash; about n^2 / 2^65 pairs of other windows among n are taken for equal, 10^-8 of a pair in a
+    # text of a million words. Numbers sort faster than structs, so those of high hash bits and place find windows that may
+    # be equal, and only these are sorted by their full hashes.
+    full = lambda i: F.xxhash64(F.get("q_hash", i), F.get("q_hash", i + 1), F.get("q_hash", i + 2))
     out = out.withColumn("q_mask", F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin("q_words"))) - 1)
     out = out.withColumn("q_high", F.bitwise_not("q_mask")).withColumn(
-        "q_hash",
+        "q_packed",
         F.sort_array(
             F.transform(
                 F.slice("q_hash", F.lit(1), F.greatest(F.size("q_hash") - 2, F.lit(0))),
-                lambda x, i: F.xxhash64(x, F.get("q_hash", i + 1), F.get("q_hash", i + 2))
-                .bitwiseAND(F.col("q_high"))
-                .bitwiseOR(i),
+                lambda x, i: full(i).bitwiseAND(F.col("q_high")).bitwiseOR(i),
             )
         ),
     )
     same = lambda x, y: F.coalesce(x.bitwiseXOR(y).between(0, F.col("q_mask")), F.lit(False))
+    out = out.withColumn(
+        "q_near",
+        F.sort_array(
+            F.transform(
+                F.filter("q_packed", lambda x, i: same(x, F.get("q_packed", i + 1)) | same(x, F.get("q_packed", i - 1))),
+                lambda x: _placed(x.bitwiseAND(F.col("q_mask")).cast("int"), full),
+            )
+        ),
+    )
+    equal = lambda x, y: F.coalesce(x["hash"] == y["hash"], F.lit(False))
     out = out.withColumn(
         "q_starts",
         F.sort_array(
             F.transform(
-                F.filter("q_hash", lambda x, i: same(x, F.get("q_hash", i + 1)) | same(x, F.get("q_hash", i - 1))),
-                lambda x: x.bitwiseAND(F.col("q_mask")),
+                F.filter("q_near", lambda x, i: equal(x, F.get("q_near", i + 1)) | equal(x, F.get("q_near", i - 1))),
+                lambda x: x["place"],
             )
         ),
     ).withColumn(
@@ -126,14 +142,16 @@ def measured(docs: DataFrame, max_lost: float = 0.3, min_words: int = 50, max_re
         }
     )
     lost = 100 * (F.col("q_words") - F.col("q_left_words")) > int(round(100 * max_lost)) * F.col("q_words")
-    return out.withColumn("q_kept", ~F.col("q_base_failed") & ~lost).drop("q_bad", "q_hash", "q_starts", "q_mask", "q_high", "q_lines")
+    return out.withColumn("q_kept", ~F.col("q_base_failed") & ~lost).drop(
+        "q_bad", "q_hash", "q_packed", "q_near", "q_starts", "q_mask", "q_high", "q_lines"
+    )
 
 
 def clean(docs: DataFrame, **limits: float) -> DataFrame:
     """The documents that pass, with failing lines removed from their text and n_chars set anew; columns as in `docs`.
 
     Columns of other names come through as they are. A line is removed with its line end; texts without a failing line
-    stay as they are.
+    stay as they are. NULL, empty and blank texts don't pass; repeated rows pass or go together.
     """
     rows = measured(docs.select("text", F.struct("*").alias("q_row")), **limits)
     new = {"text": F.col("q_clean"), "n_chars": F.char_length("q_clean").cast(dict(docs.dtypes).get("n_chars", "long"))}
