@@ -90,3 +90,15 @@ def test_pages_without_an_id_stay_in_their_files_when_others_are_gone(spark, tmp
     print(f"without an id: {sum(r.record_id is None for r in got)}")
     assert got and all(r.record_id is not None for r in got)
     assert {r.record_id for r in got if r.status == "missing"} == {3}
+
+
+def test_many_open_nodes_meet_their_children_by_a_shuffle(spark, monkeypatch):
+    frame = pages(spark)
+    other = frame.withColumn("html", F.when(F.col("page_id") % 7 == 5, F.translate("html", "p", "q")).otherwise(F.col("html")))
+    few = sorted(audit(archived(frame, 16), archived(other, 16)).collect())
+    monkeypatch.setattr(fixity, "OPEN_NODES", 3)
+    result = audit(archived(frame, 16), archived(other, 16))
+    assert sorted(result.collect()) == few and len(few) > 50
+    nodes = spark.createDataFrame([(i,) for i in range(9)], "up long")
+    kinds = [n for n in (3, 4) if "Broadcast" in fixity._below(nodes, nodes.limit(n), ["up"])._jdf.queryExecution().executedPlan().toString()]
+    assert kinds == [3]

@@ -14,6 +14,9 @@ from tierline.llm.shared import settled
 #: archive file that `archived` lays out.
 DIGITS, FANOUT, FILE_RECORDS = 2, 256, 256
 
+#: Open nodes of a level that the descent broadcasts, some 200 bytes each; more of them meet their children by a shuffle.
+OPEN_NODES = 20_000
+
 
 def lanes_of(pages: DataFrame, file_records: int = FILE_RECORDS) -> int:
     """The files that `archived` spreads pages without an id over."""
@@ -103,6 +106,12 @@ def _levels(n: int) -> int:
     return k
 
 
+def _below(nodes: DataFrame, above: DataFrame, names: list[str]) -> DataFrame:
+    """The nodes whose parents are in the settled frame `above`, which is counted from its files before it is broadcast."""
+    near = F.broadcast(above) if above.count() <= OPEN_NODES else above.hint("merge")
+    return nodes.join(near, names, "left_semi")
+
+
 def audit(one: DataFrame, two: DataFrame) -> DataFrame:
     """Records in which two replicas differ: file, record_id, copy, status and both sides' offset, length and digest.
 
@@ -131,15 +140,15 @@ def audit(one: DataFrame, two: DataFrame) -> DataFrame:
                 width = archive_levels if level <= file_levels else archive_levels - (level - file_levels - 1) - 1
                 parent = [F.substring("prefix", 1, DIGITS * max(width, 0)).alias("up")]
                 names, above = ["up"], open_nodes.select(F.col("prefix").alias("up"))
-            a, b = (x.select("*", *[p for p in parent if not isinstance(p, str)]).join(above, names, "left_semi").select(*key, "hash") for x in (a, b))
+            a, b = (_below(x.select("*", *[p for p in parent if not isinstance(p, str)]), above, names).select(*key, "hash") for x in (a, b))
         b = b.select(*key, F.col("hash").alias("other"))
         open_nodes = settled(
-            a.join(b, key, "full_outer").where(~F.col("hash").eqNullSafe(F.col("other"))).select(*key)
+            a.join(b.hint("merge"), key, "full_outer").where(~F.col("hash").eqNullSafe(F.col("other"))).select(*key)
         )
     copy = Window.partitionBy("file", "record_id").orderBy("seq")
     found = []
     for name, side in zip("ab", sides):
-        bad = side.join(open_nodes.select("file", F.col("i").alias("seq")), ["file", "seq"], "left_semi")
+        bad = _below(side, open_nodes.select("file", F.col("i").alias("seq")), ["file", "seq"])
         bad = bad.withColumn("copy", F.row_number().over(copy).cast("long"))
         found.append(
             bad.select(
