@@ -19,11 +19,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset a folder of its own."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a session on one machine gets a folder of its own, and one on a cluster is refused.
+    """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="tierline-llm-")
         spark.sparkContext.setCheckpointDir(named)
     return named
