@@ -74,6 +74,38 @@ def test_more_than_the_rules_find(docs):
     assert [(KINDS[s.kind], s.start, s.end) for s in rows[120].p_spans] == [("card", 11, 30)] and not rows[120].p_base
 
 
+def planted():
+    """(text, truth): disguised emails and spaced addresses among signs that only look like them."""
+    out = []
+    for i in range(600):
+        name, host = f"joe{i}", f"host{i % 37}"
+        out += [
+            (f"notes {i}: write to {name} [at] {host} [dot] org today", ("email", f"{name} [at] {host} [dot] org")),
+            (f"or mail {name} (at) {host}.com for more", ("email", f"{name} (at) {host}.com")),
+            (f"the server at 10 . {i % 250} . 7 . {i % 199} is down", ("ip", f"10 . {i % 250} . 7 . {i % 199}")),
+            (f"lunch (at) noon on day {i}, five @ 3.{i} each", None),
+            (f"steps 1. 2. 3. {i % 100} and ratio 4 : 5 : {i} at 12:30:{i % 60}", None),
+            (f"order {1000000 + i * 7919} of batch 20{i % 90 + 10}-{i % 12 + 1}-17 shipped", None),
+        ]
+    return out
+
+
+def test_disguised_data_is_found_by_truth(docs):
+    cases = planted()
+    rows = {r.doc_id: r for r in detected(docs([t for t, _ in cases])).collect()}
+    right = wrong = 0
+    for i, (text, truth) in enumerate(cases):
+        for s in rows[i].p_spans:
+            if (KINDS[s.kind], text[s.start : s.end]) == truth:
+                right += 1
+            else:
+                wrong += 1
+    planned = sum(t is not None for _, t in cases)
+    print(f"{right} of {planned} found, {wrong} wrong")
+    assert right >= 0.9 * (right + wrong) and right >= 0.9 * planned
+    assert not any(r.p_base for r in rows.values())
+
+
 def test_redaction(docs):
     text = "mail a@b.co or +1 (499) 555-6503 é 😀 1.2.3.4"
     rows = redacted(docs([text, None, "", "plain"], extra=["p_row", "p_spans"])).orderBy("doc_id").collect()
