@@ -101,3 +101,64 @@ def test_chain_equals_a_plain_one_on_all_rows(docs, spark):
             links.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
         r = got[i]
         assert [r.p_insult, r.p_contempt, r.p_toxic] == pytest.approx(links) and r.toxic == (links[-1] >= chain.threshold)
+
+
+def kinds_corpus(n, seed):
+    """Every third document is toxic: by one invented vocabulary, by another, or by both."""
+    rng = random.Random(seed)
+    groups = [["zorbak", "quenlid", "mivrost"], ["thalpon", "werdigo", "jusmeck"]]
+    texts, labels, truth = [], [], []
+    for i in range(n):
+        words = [f"w{rng.randrange(200)}" for _ in range(40)]
+        own = ([0], [1], [0, 1])[rng.randrange(3)] if i % 3 == 0 else []
+        for g in own:
+            for word in rng.sample(groups[g], 2):
+                words[rng.randrange(40)] = word
+        present = set(words)
+        texts.append(" ".join(words))
+        labels.append((i, int(bool(own)), 1))
+        truth.append([bool(present & set(g)) for g in groups])
+    return groups, texts, labels, truth
+
+
+def test_kinds_are_found_in_the_documents(docs, spark):
+    from tierline.llm.toxicity import terms_in
+
+    groups, texts, labels, _ = kinds_corpus(600, 6)
+    chain = trained(docs(texts), spark.createDataFrame(labels, LABELS), None, features=12, kinds=2)
+    assert chain.categories == ["kind_1", "kind_2", "toxic"]
+    assert [len(w) - 1 - len(chain.terms) for w in chain.weights] == [0, 1, 2]
+    assert sorted(t for k in chain.kinds.values() for t in k) == chain.terms
+    kind_of = {t: k for k, terms in chain.kinds.items() for t in terms}
+    found = [{kind_of[t] for w in g for t in terms_in(w) if t in kind_of} for g in groups]
+    assert [len(f) for f in found] == [1, 1] and found[0] != found[1]
+
+    _, held, wanted, truth = kinds_corpus(300, 7)
+    got = {r.doc_id: r for r in scored(docs(held), chain, None).collect()}
+    names = [f"p_{next(iter(f))}" for f in found]
+    right = sum((got[i][name] > 0.5) == truth[i][g] for i in range(300) for g, name in enumerate(names))
+    assert right / 600 > 0.97
+    assert sum(got[i].toxic == bool(y) for i, y, _ in wanted) / 300 > 0.97
+
+
+def test_kinds_do_not_depend_on_partitions_and_need_no_evidence(docs, spark):
+    _, texts, labels, _ = kinds_corpus(150, 8)
+    one, two = (trained(docs(texts).repartition(n), spark.createDataFrame(labels, LABELS).repartition(n), None) for n in (1, 5))
+    assert one.kinds == two.kinds and all((a == b).all() for a, b in zip(one.weights, two.weights))
+    same = trained(docs(["alike"] * 60), spark.createDataFrame([(i, i % 2, 1) for i in range(60)], LABELS), None)
+    assert same.terms == [] and same.kinds == {"kind_1": [], "kind_2": [], "kind_3": []}
+    assert scored(docs([None, "", "alike"]), same, None).count() == 3
+    assert scored(docs(["x"]), None, None).columns == ["doc_id", "p_kind_1", "p_kind_2", "p_kind_3", "p_toxic", "toxic"]
+
+
+def test_more_kinds_than_terms():
+    import numpy as np
+
+    from tierline.llm.toxicity import kinds_of, labelled_by_kind
+
+    toxic = np.array([[1, 0, 1], [0, 1, 0], [1, 0, 1], [0, 1, 0]], float)
+    assert kinds_of(toxic, np.array([1.0, 5.0, 1.0]), 2).tolist() == [1, 0, 1]
+    assert set(kinds_of(toxic, np.ones(3), 9)) <= {0, 1, 2}
+    kind, of = labelled_by_kind([([0, 2], 1), ([1], 1), ([0, 1], 1), ([], 1), ([], 0), ([], 0)], 3, 2)
+    assert kind[0] == kind[2] != kind[1]
+    assert [of[0], of[1], of[3], of[4]] == [[int(kind[0] == k) for k in (0, 1)], [int(kind[1] == k) for k in (0, 1)], [0, 0], [0, 0]]

@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 from tierline.llm.shared import slices
 
-#: Words by which a document labelled toxic also belongs to a category. The chain ends with "toxic".
+#: Words by which a document labelled toxic also belongs to a category, for a chain of named categories.
+#: Without names the categories are found in the data (`kinds_of`). Each chain ends with "toxic".
 CATEGORIES = {
     "insult": ("clown", "idiot", "loser", "moron", "stupid"),
     "contempt": ("disgusting", "pathetic", "scum", "trash", "worthless"),
 }
 #: Labelled rows used at most (half of them of either label), features, and folds.
 SAMPLE, FEATURES, FOLDS = 8_000, 256, 5
+#: Categories that are found where none are named, and the evidence that makes a document of a further kind, as a share
+#: of that of its strongest one.
+KINDS, BESIDE = 3, 1 / 3
 
 _WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 #: Bytes of a stem, and how many words of one stem are told apart.
@@ -50,6 +54,7 @@ class Chain:
     categories: list[str]
     weights: list[np.ndarray]
     threshold: float
+    kinds: dict[str, list[bytes]] | None = None  # the terms of each category that was found
 
     def __post_init__(self) -> None:
         self.place = {t: i for i, t in enumerate(self.terms)}
@@ -110,12 +115,74 @@ def fitted(terms: list[bytes], names: list[str], rows: list[tuple[list[int], lis
     return Chain(terms, names, models, float(np.clip((scores[best] + scores[best + 1]) / 2, 0.05, 0.95)))
 
 
-def trained(docs: DataFrame, labels: DataFrame, categories: dict = CATEGORIES, sample: int = SAMPLE, features: int = FEATURES) -> Chain | None:
+def kinds_of(toxic: np.ndarray, evidence: np.ndarray, kinds: int, rounds: int = 50) -> np.ndarray:
+    """The kind, from 0, of every term: terms that toxic documents use together are of one kind.
+
+    `toxic` has a row a toxic document and a column a term, 1 where it occurs; `evidence` is a term's weight. Spherical
+    k-means over the centred columns, from the term of most evidence and then from the strongest ones least alike
+    those taken; ties go to the first term, so reruns agree. Kinds are numbered by falling evidence.
+    """
+    centred = toxic - toxic.mean(axis=0)
+    length = np.linalg.norm(centred, axis=0)
+    unit = centred / np.where(length > 1e-9, length, 1)
+    # The evidence that toxic documents hold by a term, the same by whichever of its columns.
+    mass = evidence * toxic.sum(axis=0)
+    taken: list[int] = []
+    nearest = np.full(len(mass), -1.0)
+    for _ in range(min(kinds, len(mass))):
+        gain = mass * (1 - np.maximum(nearest, 0))
+        gain[taken] = -1
+        taken.append(int(np.argmax(gain)))
+        nearest = np.maximum(nearest, unit[:, taken[-1]] @ unit)
+    middle = unit[:, taken]
+    kind = np.argmax(middle.T @ unit, axis=0)
+    for _ in range(rounds):
+        pulled = np.stack([(unit * (mass * (kind == k))).sum(axis=1) for k in range(len(taken))], axis=1)
+        length = np.linalg.norm(pulled, axis=0)
+        middle = np.where(length > 1e-9, pulled / np.where(length > 1e-9, length, 1), middle)
+        before, kind = kind, np.argmax(middle.T @ unit, axis=0)
+        if (kind == before).all():
+            break
+    order = np.argsort([-mass[kind == k].sum() for k in range(len(taken))], kind="stable")
+    return np.argsort(order)[kind]
+
+
+def labelled_by_kind(rows: list[tuple[list[int], int]], n_terms: int, kinds: int) -> tuple[np.ndarray, list[list[int]]]:
+    """The kind of each term, and for each of `rows` (features, toxic) a label a kind.
+
+    Evidence is the log odds of a document's terms between toxic and other rows. A toxic document is of the kind that
+    it holds most evidence of, and of those that it holds BESIDE times as much of. Documents without evidence and all
+    others are of none.
+    """
+    x = np.zeros((len(rows), n_terms))
+    for r, (features, _) in enumerate(rows):
+        x[r, features] = 1
+    y = np.array([r[1] for r in rows], bool)
+    odds = np.log((x[y].sum(axis=0) + 0.5) / (y.sum() + 1)) - np.log((x[~y].sum(axis=0) + 0.5) / ((~y).sum() + 1))
+    evidence = np.maximum(odds, 0)
+    if not n_terms or not y.any():
+        return np.zeros(n_terms, int), [[0] * kinds for _ in rows]
+    kind = kinds_of(x[y], evidence, kinds)
+    held = np.stack([x @ (evidence * (kind == k)) for k in range(kinds)], axis=1)
+    most = held.max(axis=1, keepdims=True)
+    of = (held >= most * BESIDE) & (most > 0) & y[:, None]
+    return kind, of.astype(int).tolist()
+
+
+def names_of(categories: dict | None, kinds: int = KINDS) -> list[str]:
+    """The links of a chain: the named categories, or kind_1 to kind_n, and toxic."""
+    return [*(categories if categories is not None else (f"kind_{k + 1}" for k in range(kinds))), "toxic"]
+
+
+def trained(
+    docs: DataFrame, labels: DataFrame, categories: dict | None = CATEGORIES, sample: int = SAMPLE, features: int = FEATURES, kinds: int = KINDS
+) -> Chain | None:
     """The chain, from `sample` labelled documents at most; None where either label is missing.
 
     The sample takes each label's documents in the order of a hash of their id, half of the bound each, and weighs
     them back to their numbers. An id with several labels is toxic if one of them says so. Its terms are counted by Spark; the strongest `features` by G-squared and the sample's
-    rows, in these features, come to the driver.
+    rows, in these features, come to the driver. With None for `categories`, the links before the last are `kinds`
+    categories found among the sample's toxic documents.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("label")
@@ -152,9 +219,9 @@ def trained(docs: DataFrame, labels: DataFrame, categories: dict = CATEGORIES, s
     strongest = (
         counts.where("a + b >= 5").withColumn("g", strength).where(F.col("a") / n_a > F.col("b") / n_b).orderBy(F.desc("g"), "term").limit(int(min(features, n_a))).select("term").collect()
     )
-    names = [*categories, "toxic"]
+    names = names_of(categories, kinds)
     bare = Chain(sorted(bytes(r[0]) for r in strongest), names, [], 0.5)
-    seeds = [{w.encode() for w in words} for words in categories.values()]
+    seeds = [{w.encode() for w in words} for words in (categories or {}).values()]
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -175,16 +242,22 @@ def trained(docs: DataFrame, labels: DataFrame, categories: dict = CATEGORIES, s
     if not rows:
         return None
     weight = {1: numbers[1] / n_a, 0: numbers[0] / n_b}
-    return fitted(bare.terms, names, [(r["features"], r["labels"], r["fold"], weight[r["labels"][-1]]) for r in rows], FOLDS)
+    if categories is not None:
+        return fitted(bare.terms, names, [(r["features"], r["labels"], r["fold"], weight[r["labels"][-1]]) for r in rows], FOLDS)
+    kind, of = labelled_by_kind([(r["features"], r["labels"][-1]) for r in rows], len(bare.terms), kinds)
+    chain = fitted(bare.terms, names, [(r["features"], [*k, r["labels"][-1]], r["fold"], weight[r["labels"][-1]]) for r, k in zip(rows, of)], FOLDS)
+    chain.kinds = {name: [t for t, k in zip(bare.terms, kind) if k == i] for i, name in enumerate(names[:-1])}
+    return chain
 
 
-def scored(docs: DataFrame, chain: Chain | None, categories: dict = CATEGORIES) -> DataFrame:
+def scored(docs: DataFrame, chain: Chain | None, categories: dict | None = CATEGORIES) -> DataFrame:
     """For each row of `docs`: doc_id, a probability p_<category> each, and toxic (the last one reaches the threshold).
 
     NULL and empty texts have no term; a row without doc_id is judged too; repeated rows get repeated results. Without
-    a chain (nothing to learn from) probabilities are NULL and toxic is false. Only doc_id and text are read.
+    a chain (nothing to learn from) probabilities, by the names of `categories`, are NULL and toxic is false. Only doc_id
+    and text are read.
     """
-    names = [f"p_{c}" for c in (*categories, "toxic")]
+    names = [f"p_{c}" for c in (chain.categories if chain else names_of(categories))]
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if chain is None:
         return base.select("doc_id", *[F.lit(None).cast("double").alias(n) for n in names], F.lit(False).alias("toxic"))
@@ -200,7 +273,12 @@ def scored(docs: DataFrame, chain: Chain | None, categories: dict = CATEGORIES)
 
 
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents that the chain calls toxic, out of all, with their probabilities."""
+    """The documents that the chain calls toxic, out of all, with their probabilities: of three kinds of toxic documents
+    found in the labelled ones, and of being toxic at all.
+
+    NULL and empty texts are not toxic, rows without doc_id are judged, repeated rows come repeatedly; no labels or
+    labels of one value, no rows.
+    """
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
-    return scored(docs, trained(docs, labels)).where("toxic")
+    return scored(docs, trained(docs, labels, None), None).where("toxic")
