@@ -234,3 +234,26 @@ def test_one_scan_of_the_documents_whatever_the_number_of_items(docs, spark):
     bench = spark.createDataFrame([(i, " ".join(prose(rng, 40))) for i in range(1_020)], "item_id long, text string")
     plan = leaks(frame, bench)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("MapInArrow") == 1 and "Union" not in plan
+
+
+def test_the_basis_is_fitted_on_all_documents(docs, spark):
+    """Words that only documents beyond the first thousand by hash of the id hold have a part in the directions."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from tierline.llm.decontamination import _Words, _fitted_blocks
+
+    rng = random.Random(13)
+    order = [r.id for r in spark.range(1_400).orderBy(F.xxhash64("id"), "id").collect()]
+    subjects = [([f"s{k}a{i}" for i in range(12)], [f"s{k}b{i}" for i in range(12)]) for k in range(8)]
+    rows = [(i, " ".join(prose(rng, 20)), "s") for i in order[:1_000]]
+    for i in order[1_000:]:
+        a, b = rng.choice(subjects)
+        text = [rng.choice((a[j], b[j])) for j in (rng.randrange(12) for _ in range(40))]
+        rows.append((i, " ".join(w for pair in zip(text, prose(rng, 40)) for w in pair), "s"))
+    items = [(k, " ".join(rng.choices(a, k=24))) for k, (a, _) in enumerate(subjects)]
+    items += [(100 + k, " ".join(prose(rng, 24))) for k in range(192)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    [[basis]] = _fitted_blocks(docs(rows), bench)
+    words = _Words(pa.array([" ".join(w for _, b in subjects for w in b)]))
+    assert np.linalg.norm(basis.directions[basis.place[words.column]], axis=1).min() > 0.05

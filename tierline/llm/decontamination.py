@@ -1,8 +1,8 @@
 """Latent semantic search for benchmark items in documents, checked by longest common subsequences and answers.
 
-Passages are windows of words, weighed by TF-IDF over hashed columns. A randomised SVD over the items and a sample of
-passages gives the latent directions, far fewer than there are items or passages. All passages of all documents and all
-items are projected on these and compared there, in one scan. What comes near is checked word by word.
+Passages are windows of words, weighed by TF-IDF over hashed columns. A randomised SVD over the items and all passages of
+all documents gives the latent directions, far fewer than there are items or passages. Passages and items are projected on
+these and compared there, in one scan. What comes near is checked word by word.
 """
 
 from __future__ import annotations
@@ -14,13 +14,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm.shared import column_bytes, settled, slices, space_flags, word_bounds, word_hashes
+from tierline.llm.shared import column_bytes, slices, space_flags, splitmix, word_bounds, word_hashes
 
 #: Words of a passage and from one to the next; words up to which an item is searched for as a whole.
 PASSAGE, STRIDE, WHOLE = 48, 24, 64
-#: Hashed columns (as bits), latent dimensions, documents of the sample that the basis is fitted on, and how many columns
-#: it has besides those of the items: the most frequent ones.
-COLUMN_BITS, RANK, SAMPLE_DOCS, OTHER_COLUMNS = 18, 128, 1_000, 8_192
+#: Hashed columns (as bits), latent dimensions, and how many columns the basis has besides those of the items: the most
+#: frequent ones.
+COLUMN_BITS, RANK, OTHER_COLUMNS = 18, 128, 8_192
+#: Rows of the sketch that all passages are added up in: at most, and cells beyond which it has fewer, though twice the rank.
+SKETCH_ROWS, SKETCH_CELLS = 1_024, 1 << 24
 #: Parts of items that one scan of the documents looks for.
 PARTS_A_SCAN = 32_768
 #: Latent cosine of a candidate, and the share of an item that a candidate contains there; shares of an item's words that
@@ -57,22 +59,6 @@ class _Words:
         return doc, begin, np.minimum(begin + PASSAGE, self.first[doc + 1])
 
 
-def _summed(parts: DataFrame, kind: type) -> np.ndarray:
-    """Adds up arrays that tasks send in segments (segment, blob); the sum, of the arrays' size, comes to the driver."""
-
-    def add(key: tuple, table: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(x, kind) for x in table["blob"].to_pylist()], axis=0, dtype=np.float64)
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "blob": pa.array([total.astype(kind).tobytes()], pa.binary())})
-
-    rows = parts.groupBy("segment").applyInArrow(add, "segment long, blob binary").collect()
-    return np.concatenate([np.frombuffer(r["blob"], kind) for r in sorted(rows)]) if rows else np.empty(0, kind)
-
-
-def _segments(array: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for i, x in enumerate(np.array_split(array.ravel(), _SEGMENTS)):
-        yield pa.record_batch([pa.array([i], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["segment", "blob"])
-
-
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     """log((1 + documents) / (1 + documents with a word of the column)) by column, over all documents; 1 at least."""
 
@@ -210,34 +196,68 @@ class Basis:
                 yield int(doc[at + p]), int(b[p]), int(e[p]), int(q), float(product[p, q] / length[p])
 
 
-def fitted(sample: DataFrame, idf: np.ndarray, parts: Parts, rank: int = RANK, seed: int = 17) -> Basis:
-    """The basis by a randomised SVD of the items and the sample's passages.
+def _sketch(docs: DataFrame, idf: np.ndarray, place: np.ndarray, rows: int, columns: int) -> np.ndarray:
+    """S A for the passages A of all documents and a random S of one sign a passage, in one of `rows` rows; A'S'SA is A'A on
+    average. Row and sign are hashes of the document's id, the place and the words, so copies count each for itself."""
+    size = rows * columns // _SEGMENTS + 1
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * _SEGMENTS, np.float32)
+        for batch in slices(batches, "text"):
+            words = _Words(batch.column("text"))
+            ids = splitmix(batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            doc, begin, end = words.passages()
+            for at in range(0, len(doc), 4_096):
+                d, b, e = doc[at : at + 4_096], begin[at : at + 4_096], end[at : at + 4_096]
+                first = np.cumsum(e - b) - (e - b)
+                token = np.arange((e - b).sum()) - np.repeat(first - b, e - b)
+                row = np.repeat(np.arange(len(b)), e - b)
+                column, weight = place[words.column[token]], idf[words.column[token]]
+                norm = np.sqrt(np.maximum(np.bincount(row, weight.astype(np.float64) ** 2, len(b)), 1e-9))
+                with np.errstate(over="ignore"):
+                    own = splitmix(np.add.reduceat(words.hash[token], first) + ids[d] + (b - words.first[d]).astype(np.uint64))
+                target = (own % np.uint64(rows)).astype(np.int64) * columns
+                sign = np.where(own >> np.uint64(63), -1.0, 1.0) / norm
+                keep = column >= 0
+                np.add.at(total, (target[row] + column)[keep], (sign[row] * weight)[keep].astype(np.float32))
+        some = np.flatnonzero(total)
+        cuts = np.searchsorted(some, np.arange(_SEGMENTS + 1) * size)
+        for i in np.flatnonzero(np.diff(cuts)):
+            own = some[cuts[i] : cuts[i + 1]]
+            blob = (own - i * size).astype(np.int32).tobytes() + total[own].tobytes()
+            yield pa.record_batch([pa.array([i], pa.int64()), pa.array([blob], pa.binary())], names=["segment", "blob"])
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        total = np.zeros(size)
+        for blob in table["blob"].to_pylist():
+            at, x = np.frombuffer(blob, np.int32).reshape(2, -1)
+            total[at] += x.view(np.float32)
+        return pa.table({"segment": table["segment"][:1], "blob": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+    # A row without an id is one of its own. Each task sends sums of the sketch's size, so there is one task a core.
+    some = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.monotonically_increasing_id()).alias("doc_id"), "text")
+    some = some.coalesce(docs.sparkSession.sparkContext.defaultParallelism)
+    parts = some.mapInArrow(add_up, "segment long, blob binary").groupBy("segment")
+    total = np.zeros((_SEGMENTS, size), np.float32)
+    for segment, blob in parts.applyInArrow(add, "segment long, blob binary").collect():  # the sketch, of a fixed size
+        total[segment] = np.frombuffer(blob, np.float32)
+    return total.ravel()[: rows * columns].reshape(rows, columns)
+
+
+def fitted(docs: DataFrame, idf: np.ndarray, parts: Parts, rank: int = RANK, seed: int = 17) -> Basis:
+    """The basis by a randomised SVD of the items and all passages of the documents.
 
     Its columns are those of the items and the OTHER_COLUMNS most frequent others, so that words which stand where an
-    item's words stand share its directions. Tasks multiply their rows A by a random matrix and back, A'(A R), in two
-    rounds, and sum up; the driver orthogonalises, and turns the result to the singular directions by the small Gram
-    matrix of A Q. All these are of the size columns x rank, whatever the sample. Items weigh as much as the sample.
+    item's words stand share its directions. One scan adds up the passages A in a sketch of SKETCH_ROWS rows, S A, whatever
+    their number. The driver multiplies it and the items by a random matrix and back in four rounds, orthogonalises, and
+    turns the result to the singular directions by the small Gram matrix. Items weigh as much as all passages.
     """
     others = np.setdiff1d(np.argsort(idf, kind="stable")[: OTHER_COLUMNS + len(parts.vocabulary)], parts.vocabulary, True)[:OTHER_COLUMNS]
     columns = np.sort(np.concatenate([parts.vocabulary, others]))
     m, k = len(columns), min(rank + 16, len(columns))
     place = np.full(1 << COLUMN_BITS, -1, np.int32)
     place[columns] = np.arange(m)
-
-    def rows_of(words: _Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Columns, weights and row starts of the passages with any column of the items."""
-        doc, begin, end = words.passages()
-        for at in range(0, len(doc), 4_096):
-            b, e = begin[at : at + 4_096], end[at : at + 4_096]
-            size = e - b
-            first = np.cumsum(size) - size
-            token = np.arange(size.sum()) - np.repeat(first - b, size)
-            row = np.repeat(np.arange(len(b)), size)
-            column = place[words.column[token]]
-            weight = idf[words.column[token]]
-            norm = np.sqrt(np.maximum(np.bincount(row, weight.astype(np.float64) ** 2, len(b)), 1e-9))
-            keep = column >= 0
-            yield column[keep], (weight / norm[row])[keep].astype(np.float32), row[keep]
+    sketch = _sketch(docs, idf, place, max(min(SKETCH_ROWS, SKETCH_CELLS // m), 2 * k), m)
 
     def product(column: np.ndarray, weight: np.ndarray, row: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = np.flatnonzero(np.diff(row, prepend=-1))
@@ -266,26 +286,24 @@ def fitted(sample: DataFrame, idf: np.ndarray, parts: Parts, rank: int = RANK, s
         np.repeat(np.arange(len(items)), [len(c) for c, _ in items]),
     )
 
-    def over_all(step: Callable, by: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros(shape, np.float32)
-            for batch in slices(batches, "text"):
-                for part in rows_of(_Words(batch.column("text"))):
-                    step(out, *part, by)
-            yield from _segments(out)
-
-        total = _summed(sample.select("text").mapInArrow(add, "segment long, blob binary"), np.float32)
-        out = total.reshape(shape) if len(total) else np.zeros(shape, np.float32)
-        mine = np.zeros(shape, np.float32)
-        step(mine, *own, by)
-        # The items weigh as much as the whole sample, so that neither takes all directions.
-        scale = max(1.0, float(np.linalg.norm(out)) / max(float(np.linalg.norm(mine)), 1e-9))
-        return out + scale * mine
-
+    # The items weigh as much as all passages, so that neither takes all directions: by the Frobenius norms of both products
+    # with themselves. Passages of one row of the sketch are not compared there, but their own squares are its trace.
     q = np.random.default_rng(seed).standard_normal((m, k)).astype(np.float32)
-    for _ in range(2):
-        q = np.linalg.qr(over_all(back, q, (m, k)))[0].astype(np.float32)
-    _, turn = np.linalg.eigh(over_all(gram, q, (k, k)))
+    mine = np.zeros((m, k), np.float32)
+    back(mine, *own, q)
+    between = (sketch @ sketch.T).astype(np.float64)
+    trace = np.trace(between)
+    np.fill_diagonal(between, 0)
+    norm = np.sqrt((between**2).sum() * len(sketch) / (len(sketch) - 1) + trace)
+    scale = max(1.0, float(norm) / max(float(np.linalg.norm(mine)) / np.sqrt(k), 1e-9))
+
+    for _ in range(4):
+        mine = np.zeros((m, k), np.float32)
+        back(mine, *own, q)
+        q = np.linalg.qr(sketch.T @ (sketch @ q) + scale * mine)[0].astype(np.float32)
+    y, mine = sketch @ q, np.zeros((k, k), np.float32)
+    gram(mine, *own, q)
+    _, turn = np.linalg.eigh(y.T @ y + scale * mine)
     directions = np.linalg.qr(q @ turn[:, ::-1])[0][:, :rank]
     return Basis(idf, parts, columns, directions.astype(np.float32))
 
@@ -346,15 +364,12 @@ _RESULT = "doc_id long, item_id long, cosine double, overlap double, answer bool
 def _fitted_blocks(base: DataFrame, benchmark: DataFrame) -> Iterator[list[Basis]]:
     """The bases of each block of the benchmark; one block is on the driver at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
-    idf = sample = None
+    idf = None
     rows = ((r["item_id"], r["text"]) for r in items.orderBy("item_id", "text").toLocalIterator())
     for block in blocks(rows):
         if idf is None:
             idf = inverse_frequencies(base)
-            chosen = base.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-            # Few tasks share the sample, as each of them sends sums of full size.
-            sample = settled(base.join(F.broadcast(chosen), "doc_id").select("text").repartition(8))
-        yield [fitted(sample, idf, parts) for parts in block]
+        yield [fitted(base, idf, parts) for parts in block]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, alone: float = ALONE, with_answer: float = WITH_ANSWER) -> DataFrame:
@@ -365,7 +380,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, alone: fl
     stand there too. An item of more than 64 words is searched for in parts. NULL and empty texts hold nothing and items
     without a word are not found; items of equal text are each found; a row without doc_id is searched and reported
     with NULL; repeated rows give repeated results. Columns doc_id, text, item_id and text are read. The benchmark comes
-    to the driver in blocks of PARTS_A_SCAN parts, each of which takes a scan; documents do not.
+    to the driver in blocks of PARTS_A_SCAN parts, each of which takes a scan for its basis and one for the search; documents
+    do not.
     """
     out = None
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
