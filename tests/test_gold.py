@@ -158,3 +158,20 @@ def test_business_rules(layers):
     assert found["CRM-03"]["registros_invalidos"] == 2 and found["CRM-04"]["estado"] == "OK"
     sample = profiling.rule_examples(layers, "UNI-01").collect()
     assert [r["grade_id"] for r in sample] == ["G4", "G6"]
+
+
+def test_parts_of_the_account_summary_that_nobody_reads_are_not_made(layers):
+    """Each part has a row an account, so Catalyst drops its join: accounts, their deals and the deals' accounts remain."""
+    plan = lambda *c: layers.gold("account_crm_summary").select(*c)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan("account_id", "won_opportunities").count("Join") == 2
+    assert plan("account_id").count("Join") == 0
+
+
+def test_an_activity_meets_each_parent_once(layers):
+    plan = layers.gold("activity_assignment")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2
+
+
+def test_metrics_of_opportunity_contacts_read_the_relations_once(layers):
+    plan = layers.gold("opportunity_contact_metrics")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2

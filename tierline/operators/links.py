@@ -19,13 +19,19 @@ from tierline.functions.cleanse import blank
 from tierline.operators.measures import add, aggregate, same
 
 def hot_key_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, row_id: str, how: str = "left"
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, row_id: str, how: str = "left", stored: bool = True
 ) -> DataFrame:
-    """Join on text keys; `right_key` is dropped from the result. `row_id` spreads NULL keys."""
+    """Join on text keys; `right_key` is dropped from the result. `row_id` spreads NULL keys.
+
+    Keys that are not `stored` are computed by the exchanges, so that rows are shuffled without a second text and a hash.
+    """
     key = left_key
     if how == "left":
         # No trimmed key starts with a control character, so these texts match nothing.
         key = f"coalesce({left_key}, concat(char(31), xxhash64({row_id})))"
+    if not stored:
+        on = F.expr(f"{key} = {right_key} AND xxhash64({key}) = xxhash64({right_key})")
+        return left.join(right, on, how).drop(right_key)
     keyed = add(left, {"_key": key, "_key_hash": f"xxhash64({key})"})
     keyed_right = add(right, {"_ref_hash": f"xxhash64({right_key})"})
     on = F.expr(f"_key = {right_key} AND _key_hash = _ref_hash")
