@@ -175,3 +175,9 @@ def test_an_activity_meets_each_parent_once(layers):
 def test_metrics_of_opportunity_contacts_read_the_relations_once(layers):
     plan = layers.gold("opportunity_contact_metrics")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 2
+
+
+def test_rows_of_a_link_are_shuffled_without_a_hash(layers):
+    plan = layers.silver("activities").select("is_contact_linked")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and not [line for line in plan.splitlines() if "xxhash64(_key" in line and "Join" not in line]
+    assert "_key_hash" not in plan and "_ref_hash" not in plan

@@ -23,7 +23,8 @@ def hot_key_join(
 ) -> DataFrame:
     """Join on text keys; `right_key` is dropped from the result. `row_id` spreads NULL keys.
 
-    Keys that are not `stored` are computed by the exchanges, so that rows are shuffled without a second text and a hash.
+    The hash is computed by the exchanges, so that no row is shuffled with it; so is a key that is not `stored`, which saves
+    a second text where the left key is read later on.
     """
     key = left_key
     if how == "left":
@@ -32,10 +33,8 @@ def hot_key_join(
     if not stored:
         on = F.expr(f"{key} = {right_key} AND xxhash64({key}) = xxhash64({right_key})")
         return left.join(right, on, how).drop(right_key)
-    keyed = add(left, {"_key": key, "_key_hash": f"xxhash64({key})"})
-    keyed_right = add(right, {"_ref_hash": f"xxhash64({right_key})"})
-    on = F.expr(f"_key = {right_key} AND _key_hash = _ref_hash")
-    return keyed.join(keyed_right, on, how).drop("_key", "_key_hash", "_ref_hash", right_key)
+    on = F.expr(f"_key = {right_key} AND xxhash64(_key) = xxhash64({right_key})")
+    return add(left, {"_key": key}).join(right, on, how).drop("_key", right_key)
 
 
 def link(
