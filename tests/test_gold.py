@@ -177,6 +177,17 @@ def test_metrics_of_opportunity_contacts_read_the_relations_once(layers):
     assert plan.count("Join") == 2
 
 
+def test_a_join_for_rules_is_made_of_its_own_keys(layers):
+    """Rules over an item's invoice and over its product are counted apart, so that neither join carries the other's rows."""
+    plan = rules.rule_counts(layers, "invoice_items")._jdf.queryExecution().optimizedPlan().toString()
+    depths = [len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines() if "Join" in line]
+    assert len(depths) == 2 and len(set(depths)) == 1
+    items = layers.silver("invoice_items")
+    found = {r["rule"]: r["violations"] for r in rules.rule_counts(layers, "invoice_items").collect()}
+    assert list(found) == [rules.KEY_MISSING, *rules.RULES["invoice_items"]]
+    assert found == {rule: items.filter(sql).count() for rule, sql in {rules.KEY_MISSING: rules.null_key("invoice_items"), **rules.RULES["invoice_items"]}.items()}
+
+
 def test_rows_of_a_link_are_shuffled_without_a_hash(layers):
     plan = layers.silver("activities").select("is_contact_linked")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and not [line for line in plan.splitlines() if "xxhash64(_key" in line and "Join" not in line]

@@ -27,6 +27,11 @@ _GROUP_STEP: dict[str, Callable[[DataFrame], DataFrame]] = {
     "enrollments": _repeated_combination,
     "grades": _weights_per_enrollment,
 }
+#: Silver columns that these steps make.
+GROUP_COLUMNS: dict[str, tuple[str, ...]] = {
+    "enrollments": ("is_repeated_combination",),
+    "grades": ("total_weight", "is_weight_sum_one"),
+}
 
 
 def base_columns(name: str, bronze: DataFrame, *columns: str) -> DataFrame:
