@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 
-from tierline.llm.decontamination import Parts, _CLEAN, blocks, common, fitted, inverse_frequencies, leak_free, leaks, op6_benchmark_decontamination, without_leaks
+from tierline.llm.decontamination import COLUMN_BITS, SKETCH_ROWS, Parts, _CLEAN, _sketch, blocks, common, fitted, inverse_frequencies, leak_free, leaks, op6_benchmark_decontamination, without_leaks
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -257,3 +258,18 @@ def test_the_basis_is_fitted_on_all_documents(docs, spark):
     [[basis]] = _fitted_blocks(docs(rows), bench)
     words = _Words(pa.array([" ".join(w for _, b in subjects for w in b)]))
     assert np.linalg.norm(basis.directions[basis.place[words.column]], axis=1).min() > 0.05
+
+
+def test_the_driver_holds_the_sketch_once(docs, spark):
+    """The parts of the sketch come one after another, so that the driver never holds them beside the whole."""
+    frame = docs([" ".join(f"w{(i * 131 + j * 17) % 9_973}" for j in range(400)) for i in range(60)]).select("doc_id", "text")
+    columns = 4_096
+    place = np.arange(1 << COLUMN_BITS, dtype=np.int32) % columns
+    tracemalloc.start()
+    try:
+        sketch = _sketch(frame, np.ones(1 << COLUMN_BITS, np.float32), place, SKETCH_ROWS, columns)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sketch.shape == (SKETCH_ROWS, columns) and np.count_nonzero(sketch.any(1)) > 500
+    assert peak < 1.5 * sketch.nbytes

@@ -239,7 +239,7 @@ def _sketch(docs: DataFrame, idf: np.ndarray, place: np.ndarray, rows: int, colu
     some = some.coalesce(docs.sparkSession.sparkContext.defaultParallelism)
     parts = some.mapInArrow(add_up, "segment long, blob binary").groupBy("segment")
     total = np.zeros((_SEGMENTS, size), np.float32)
-    for segment, blob in parts.applyInArrow(add, "segment long, blob binary").collect():  # the sketch, of a fixed size
+    for segment, blob in parts.applyInArrow(add, "segment long, blob binary").toLocalIterator():  # the sketch, of a fixed size
         total[segment] = np.frombuffer(blob, np.float32)
     return total.ravel()[: rows * columns].reshape(rows, columns)
 
