@@ -10,9 +10,9 @@ from fixture_rows import ROWS, bronze_loader
 import __spark_entry__ as contract
 from tierline.functions.kinds import KINDS, narrowest
 from tierline.operators.measures import aggregate, count_of
-from tierline.operators.values import first_violations, type_counts
+from tierline.operators.values import first_violations, type_counts, value_counts
 from tierline.plans.layers import Layers
-from tierline.plans.profiling import inferred_column_types, rule_registry, rule_violations
+from tierline.plans.profiling import inferred_column_types, profile_columns, rule_registry, rule_violations
 from tierline.queries import bronze_lineage
 
 
@@ -86,3 +86,20 @@ def test_reports_over_a_small_source(spark):
 def test_query_equals_sql(spark, name):
     verdict, _, _ = compare(spark, connect(SMALL), SMALL, name, contract.queries()[name], contract.oracle_sql()[name])
     assert verdict == "ok"
+
+
+def test_keys_and_references_are_counted_apart_from_other_columns(spark):
+    """What fills a task's memory is counted by its text alone; only the other columns of a table share a stack."""
+    plan = profile_columns(Layers(bronze_loader(spark)))._jdf.queryExecution().optimizedPlan().toString()
+    stacks = [line for line in plan.splitlines() if "Generate stack(" in line]
+    assert stacks
+    for column in ("grade_id", "enrollment_id", "invoice_id", "product_id", "account_id", "opportunity_id", "contact_id"):
+        assert not any(f"stack({column}," in line or f", {column}," in line for line in stacks), column
+
+
+def test_a_column_alone_keeps_its_nulls_and_repeats(spark):
+    df = spark.createDataFrame([("a",), (None,), ("a",), ("",), (None,)], "k string")
+    counts = value_counts(df, ["k"])
+    assert sorted((r.columna, "-" if r.valor is None else r.valor, r.n) for r in counts.collect()) == [("k", "", 1), ("k", "-", 2), ("k", "a", 2)]
+    assert "Generate" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert value_counts(df.limit(0), ["k"]).count() == 0

@@ -19,8 +19,10 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(columna, valor, n): how often each value, NULL included, occurs in each text column.
 
     One scan and one shuffle for all columns. Counts are combined before the shuffle, so a value
-    that fills a third of the rows travels as one row per task.
+    that fills a third of the rows travels as one row per task. A column that is alone is counted by its values only.
     """
+    if len(columns) == 1:
+        return aggregate(df, {"valor": f"`{columns[0]}`"}, {"n": "count(*)"}).selectExpr(f"'{columns[0]}' AS columna", "valor", "n")
     pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
     long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (columna, valor)")
     return aggregate(long, same("columna", "valor"), {"n": "count(*)"})

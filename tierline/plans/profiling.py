@@ -52,17 +52,29 @@ def profile_tables(layers) -> DataFrame:
 _NULLS = count_of("n", "valor IS NULL")
 
 
+def _counted_together(table: str) -> list[list[str]]:
+    """The columns of a table in groups: each key and each reference alone, the others together."""
+    spec = TABLES[table]
+    alone = {*spec.key, *[column for child, column, _, _ in RELATIONS if child == table]}
+    groups = [[c] for c in spec.columns if c in alone]
+    others = [c for c in spec.columns if c not in alone]
+    return [*groups, others] if others else groups
+
+
 def profile_columns(layers) -> DataFrame:
+    """Keys and references have almost as many values as the table has rows: counted together with the other columns, they
+    fill a task's memory, and the values of all columns are sorted on disk."""
+    measures = {
+        "tipo_actual": "'string'",
+        "cantidad_nulos": _NULLS,
+        "porcentaje_nulos": percent(_NULLS, "sum(n)"),
+        "valores_unicos": "count(valor)",
+    }
     parts = []
-    for table, spec in TABLES.items():
-        counts = value_counts(_raw(layers, table), list(spec.columns))
-        measures = {
-            "tipo_actual": "'string'",
-            "cantidad_nulos": _NULLS,
-            "porcentaje_nulos": percent(_NULLS, "sum(n)"),
-            "valores_unicos": "count(valor)",
-        }
-        parts.append(_tagged(table, aggregate(counts, same("columna"), measures)))
+    for table in TABLES:
+        for columns in _counted_together(table):
+            counts = value_counts(_raw(layers, table), columns)
+            parts.append(_tagged(table, aggregate(counts, same("columna"), measures)))
     return union(parts)
 
 
