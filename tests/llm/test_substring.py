@@ -1,7 +1,12 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
+
+from tierline.llm import substring
 from tierline.llm.substring import op8_substring_dedup, repeats
 
 SMALL = "/root/testdata/sf0.001"
@@ -90,3 +95,56 @@ def test_lanes_spread_ids_with_a_pattern():
     ids = np.arange(-500, 500, dtype=np.int64) * 4_096
     lanes = [lane for lane, _ in _by_lane(ids, ids.astype(np.uint64), 64)]
     assert len(lanes) == len(set(lanes)) > 60 and all(0 <= x < 64 for x in lanes)
+
+
+def _bucket(rng, n, kinds, senders=40):
+    """A bucket as `senders` slices send it, n entries in all, and the same as arrays."""
+    blobs, rows = [], []
+    for ids in np.array_split(np.arange(senders * 5, dtype=np.int64), senders):
+        size = n // senders
+        own = np.sort(rng.choice(ids, size))
+        parts = [rng.integers(0, 2, size).astype(bool) if k is bool else rng.integers(0, 8 * n, size).astype(k) for k in kinds]
+        blobs.append(substring._packed(own, *[np.packbits(x) if x.dtype == bool else x for x in parts]))
+        rows.append([own, *parts])
+    return pa.table([pa.array([3] * senders), pa.array(blobs, pa.binary())], schema=substring._SENT), [np.concatenate(x) for x in zip(*rows)]
+
+
+def _hits(table):
+    out = set()
+    for blob in table["blob"].to_pylist():
+        ids, counts, keys = substring._opened(blob, np.uint64)
+        out |= set(zip(np.repeat(ids, counts).tolist(), keys.tolist()))
+    return out
+
+
+def _measured(find, table):
+    tracemalloc.start()
+    try:
+        out = find((pa.scalar(3),), table)
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_bucket_takes_few_bytes_an_entry():
+    rng, n = np.random.default_rng(5), 1_000_000
+    table, (ids, short, anchor) = _bucket(rng, n, (np.uint32, bool))
+    out, peak = _measured(substring._probe(4, 16), table)
+    _, at, count = np.unique(short, return_inverse=True, return_counts=True)
+    hit = (count[at] > 1) & (np.bincount(at, anchor) > 0)[at]
+    assert _hits(out) == set(zip(ids[hit].tolist(), (short[hit].astype(np.uint64) | np.uint64(3 << 32)).tolist()))
+    assert peak < 36 * n
+
+    table, (ids, k1, k2) = _bucket(rng, n, (np.uint64, np.uint32))
+    k1 //= 16  # many windows in several documents
+    k2[:] = k1 % 7
+    blobs, cuts = [], np.linspace(0, n, 41).astype(int)
+    for a, b in zip(cuts, cuts[1:]):
+        blobs.append(substring._packed(ids[a:b], k1[a:b], k2[a:b]))
+    out, peak = _measured(substring._smallest(4, 16), pa.table([table["bucket"], pa.array(blobs, pa.binary())], schema=substring._SENT))
+    _, at = np.unique(k1, return_inverse=True)
+    least = np.full(at.max() + 1, ids.max())
+    np.minimum.at(least, at, ids)
+    later = ids > least[at]
+    assert _hits(out) == set(zip(ids[later].tolist(), k1[later].tolist()))
+    assert peak < 60 * n

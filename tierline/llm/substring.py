@@ -28,6 +28,8 @@ _LANE = pa.schema([("lane", pa.int64()), ("blob", pa.binary())])
 _FOUND = pa.schema([("doc", pa.int64()), ("blob", pa.binary())])
 #: Entries of a bucket: what one task holds at a time.
 _BUCKET_ENTRIES = 6_000_000
+#: Pieces of a bucket of windows, which are sorted one by one.
+_PIECES = 8
 
 
 class _Slice:
@@ -76,14 +78,14 @@ def _packed(ids: np.ndarray, *parts: np.ndarray) -> bytes:
     return b"".join(np.ascontiguousarray(x).tobytes() for x in (head, ids[at], counts, *parts))
 
 
-def _unpacked(blob: bytes, *kinds: type) -> list[np.ndarray]:
+def _opened(blob: bytes | pa.Buffer, *kinds: type) -> list[np.ndarray]:
+    """Sender ids, how many entries each has, and the further columns, without a copy where these are whole bytes."""
     n, n_ids = np.frombuffer(blob, np.int64, 2)
     at = 16
-    ids = np.frombuffer(blob, np.int64, n_ids, at)
+    out = [np.frombuffer(blob, np.int64, n_ids, at)]
     at += 8 * n_ids
-    counts = np.frombuffer(blob, np.uint32, n_ids, at)
+    out.append(np.frombuffer(blob, np.uint32, n_ids, at))
     at += 4 * n_ids
-    out = [np.repeat(ids, counts)]
     for kind in kinds:
         if kind is bool:
             size = (n + 7) // 8
@@ -95,6 +97,27 @@ def _unpacked(blob: bytes, *kinds: type) -> list[np.ndarray]:
     return out
 
 
+def _gather(table: pa.Table, *kinds: type) -> list[np.ndarray]:
+    """The entries of all blobs: ids of the senders, each entry's sender by its place there, and the further columns.
+
+    Arrays of the final size are filled blob by blob, as a second copy of a bucket would be as large as the bucket.
+    """
+    blobs = [x.as_buffer() for x in table["blob"]]
+    sizes = np.array([np.frombuffer(x, np.int64, 2) for x in blobs]).reshape(-1, 2).sum(0)
+    senders, place = np.empty(sizes[1], np.int64), np.empty(sizes[0], np.uint32)
+    columns = [np.empty(sizes[0], kind) for kind in kinds]
+    a = k = 0
+    for blob in blobs:
+        ids, counts, *parts = _opened(blob, *kinds)
+        b = a + len(parts[0])
+        senders[k : k + len(ids)] = ids
+        place[a:b] = np.repeat(np.arange(k, k + len(ids), dtype=np.uint32), counts)
+        for column, part in zip(columns, parts):
+            column[a:b] = part
+        a, k = b, k + len(ids)
+    return [senders, place, *columns]
+
+
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -102,7 +125,7 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def _by_lane(ids: np.ndarray, keys: np.ndarray, lanes: int) -> Iterator[tuple[int, bytes]]:
     """Hits packed by the lane of their documents, a hash, as ids may have a pattern."""
-    lane = (splitmix(ids) % np.uint64(lanes)).astype(np.int64)
+    lane = (splitmix(ids) % np.uint64(lanes)).astype(np.int32)
     order = np.lexsort((ids, lane))
     lane, ids, keys = lane[order], ids[order], keys[order]
     at = [*_runs(lane), len(lane)] if len(lane) else []
@@ -112,8 +135,8 @@ def _by_lane(ids: np.ndarray, keys: np.ndarray, lanes: int) -> Iterator[tuple[in
 
 def _gathered(key: tuple, table: pa.Table) -> pa.Table:
     """The hits of a lane, one row a document."""
-    parts = [_unpacked(x, np.uint64) for x in table["blob"].to_pylist()]
-    ids, keys = (np.concatenate(x) for x in zip(*parts))
+    senders, place, keys = _gather(table, np.uint64)
+    ids = senders[place]
     order = np.argsort(ids, kind="stable")
     return pa.Table.from_batches([_table(list(_by_doc(ids[order], keys[order])), _FOUND)])
 
@@ -158,14 +181,24 @@ def _probe(bits: int, lanes: int) -> Callable:
         bucket = key[0].as_py()
         if bucket >= 1 << bits:
             return pa.table([pa.array(np.full(len(table), bucket - (1 << bits))), table["blob"]], schema=_LANE)
-        parts = [_unpacked(x, np.uint32, bool) for x in table["blob"].to_pylist()]
-        ids, short, anchor = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(short, kind="stable")
-        ids, short, anchor = ids[order], short[order], anchor[order]
+        # One number an entry, sorted in place: the hash, whether it is an anchor, and the sender.
+        senders, place, short, anchor = _gather(table, np.uint32, bool)
+        entry = short.astype(np.uint64)
+        entry <<= np.uint64(32)
+        entry |= place
+        np.bitwise_or(entry, np.uint64(1 << 31), out=entry, where=anchor)
+        del place, short, anchor
+        entry.sort()
+        # Most hashes stand alone and need no more room.
+        same = np.zeros(len(entry) + 1, bool)
+        same[1:-1] = entry.view(np.uint32)[3::2] == entry.view(np.uint32)[1:-1:2]
+        entry = entry[same[1:] | same[:-1]]
+        short = entry >> np.uint64(32)
         run = _runs(short)
         size = np.diff(np.append(run, len(short)))
-        hit = np.repeat((size > 1) & np.logical_or.reduceat(anchor, run), size)
-        ids, short = ids[hit], short[hit].astype(np.uint64) | np.uint64(bucket << 32)
+        anchored = (entry[run + size - 1] >> np.uint64(31)) & np.uint64(1) > 0  # a run's anchors come last
+        hit = np.repeat(anchored, size)
+        ids, short = senders[entry[hit] & np.uint64((1 << 31) - 1)], short[hit] | np.uint64(bucket << 32)
         return pa.Table.from_batches([_table(list(_by_lane(ids, short, lanes)), _LANE)])
 
     return find
@@ -221,13 +254,20 @@ def _smallest(bits2: int, lanes: int) -> Callable:
         bucket = key[0].as_py()
         if bucket >= 1 << bits2:
             return pa.table([pa.array(np.full(len(table), bucket - (1 << bits2))), table["blob"]], schema=_LANE)
-        parts = [_unpacked(x, np.uint64, np.uint32) for x in table["blob"].to_pylist()]
-        ids, k1, k2 = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((ids, k2, k1))
-        ids, k1, k2 = ids[order], k1[order], k2[order]
-        run = _runs(k1, k2)
-        later = ids > np.repeat(ids[run], np.diff(np.append(run, len(k1))))
-        return pa.Table.from_batches([_table(list(_by_lane(ids[later], k1[later], lanes)), _LANE)])
+        senders, place, k1, k2 = _gather(table, np.uint64, np.uint32)
+        piece = k1.view(np.uint8)[::8] % _PIECES  # windows of equal hashes share a piece; one is sorted at a time
+        found = []
+        for i in range(_PIECES):
+            own = np.flatnonzero(piece == i)
+            ids, x, y = senders[place[own]], k1[own], k2[own]
+            order = np.lexsort((ids, y, x))
+            ids, x, y = ids[order], x[order], y[order]
+            run = _runs(x, y)
+            later = ids > np.repeat(ids[run], np.diff(np.append(run, len(x))))
+            found.append((ids[later], x[later]))
+        del senders, place, k1, k2
+        ids, keys = (np.concatenate(x) for x in zip(*found))
+        return pa.Table.from_batches([_table(list(_by_lane(ids, keys, lanes)), _LANE)])
 
     return find
 
