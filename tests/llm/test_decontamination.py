@@ -273,3 +273,28 @@ def test_the_driver_holds_the_sketch_once(docs, spark):
         tracemalloc.stop()
     assert sketch.shape == (SKETCH_ROWS, columns) and np.count_nonzero(sketch.any(1)) > 500
     assert peak < 1.5 * sketch.nbytes
+
+
+def test_the_driver_factors_by_blocks_of_rows(monkeypatch):
+    """The basis of many columns takes a few times its own size on the driver, beside the sketch."""
+    from tierline.llm import decontamination
+
+    rng = random.Random(3)
+    parts = Parts([(k, " ".join(f"v{rng.randrange(40_000)}" for _ in range(40))) for k in range(200)])
+    idf = np.random.default_rng(4).uniform(1, 9, 1 << COLUMN_BITS).astype(np.float32)
+    given = []
+
+    def sketch(docs, idf, place, rows, columns):
+        given.append(np.random.default_rng(5).standard_normal((300, columns), np.float32))
+        return given[0]
+
+    monkeypatch.setattr(decontamination, "_sketch", sketch)
+    tracemalloc.start()
+    try:
+        basis = fitted(None, idf, parts)
+        peak = tracemalloc.get_traced_memory()[1] - given[0].nbytes
+    finally:
+        tracemalloc.stop()
+    own = basis.directions
+    assert own.shape == (len(given[0][0]), 128) and np.abs(own.T @ own - np.eye(128)).max() < 1e-4
+    assert peak < 8 * own.nbytes

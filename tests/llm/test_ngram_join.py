@@ -145,3 +145,11 @@ def test_recall_at_the_depth_that_splits_reach(docs, monkeypatch):
     linked = [d for d, (_, n) in want.items() if n]
     assert len(linked) > 40 and sum(got[d] == want[d] for d in linked) >= 0.9 * len(linked)
     assert module.runs_needed(0.8, 0.9999, module._DEPTH) >= module.runs_needed(0.8, 0.9999, 2)
+
+
+def test_one_text_of_each_joins_classes_not_rows(docs):
+    """Groups are named by their classes; their plan has the links, the roots and the rows that are kept, each once."""
+    text = " ".join(f"w{i}" for i in range(30))
+    frame = one_text_of_each(docs([(4, text, "s"), (2, text + " x", "s"), (None, text, "s"), (9, "one other text of words", "s")]))
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 3
+    assert sorted(r.doc_id for r in frame.collect()) == [2, 9]

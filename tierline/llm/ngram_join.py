@@ -132,9 +132,11 @@ def _leaves(classes: DataFrame, threshold: float, recall: float, seed: int) -> D
     while True:
         at = settled(at)
         sizes = at.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        small = at.join(sizes.where(F.col("size") <= _SMALL), "node").select(F.col("node").alias("leaf"), "cid", "size")
+        # Written, so that what reads the nodes below has no joins of earlier depths in its plan.
+        at = settled(at.join(sizes, "node"))
+        small = at.where(F.col("size") <= _SMALL).select(F.col("node").alias("leaf"), "cid", "size")
         done = small if done is None else done.unionByName(small)
-        large = settled(at.join(sizes.where(F.col("size") > _SMALL), "node").join(classes.select("cid", "sig"), "cid"))
+        large = settled(at.where(F.col("size") > _SMALL).join(classes.select("cid", "sig"), "cid"))
         if large.isEmpty():
             return settled(done)
         # What share of a node the most frequent value of a sampled coordinate has.
@@ -148,7 +150,7 @@ def _leaves(classes: DataFrame, threshold: float, recall: float, seed: int) -> D
             .select("node")
         )
         dense = settled(dense)
-        done = done.unionByName(large.join(dense, "node").select(F.col("node").alias("leaf"), "cid", "size"))
+        done = done.unionByName(settled(large.join(dense, "node").select(F.col("node").alias("leaf"), "cid", "size")))
         at = large.join(dense, "node", "left_anti").select(
             "cid", F.explode(F.array_distinct(F.array(*[_child(F.col("node"), seed, k) for k in range(_SAMPLED)]))).alias("node")
         )
@@ -307,11 +309,10 @@ def _has_word() -> Column:
     return F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
 
-def _classed(named: DataFrame, threshold: float, size: int, recall: float, seed: int) -> DataFrame:
-    """(doc_id, digest, rep, copies, links, root, class_id): every row of `named`, whose texts have words, with its class.
+def _linked(named: DataFrame, threshold: float, size: int, recall: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest) of every row of `named`, whose texts have words, and (cid, digest, rep, copies, links, root) of every class.
 
-    rep is the smallest doc_id of the rows of equal text, class_id that of the component, which root names. Rows
-    without doc_id are members as others are, but name neither; rep and class_id are NULL where no member has one.
+    rep is the smallest doc_id of the rows of equal text, NULL where none has one; root names the component.
     """
     signed = named.select("doc_id", "text", _text_id().alias("digest")).mapInArrow(
         _signed(size, seed), "doc_id long, digest binary, n long, sig array<long>"
@@ -352,8 +353,18 @@ def _classed(named: DataFrame, threshold: float, size: int, recall: float, seed:
         .join(roots.withColumnRenamed("node", "cid"), "cid", "left")
         .withColumn("root", F.coalesce("root", "cid"))
     )
+    return signed.select("doc_id", "digest"), classed
+
+
+def _classed(named: DataFrame, threshold: float, size: int, recall: float, seed: int) -> DataFrame:
+    """(doc_id, digest, rep, copies, links, root, class_id): every row of `named`, whose texts have words, with its class.
+
+    rep is the smallest doc_id of the rows of equal text, class_id that of the component, which root names. Rows
+    without doc_id are members as others are, but name neither; rep and class_id are NULL where no member has one.
+    """
+    rows, classed = _linked(named, threshold, size, recall, seed)
     smallest = classed.groupBy("root").agg(F.min("rep").alias("class_id"))
-    return signed.select("doc_id", "digest").join(classed.join(smallest, "root"), "digest")
+    return rows.join(classed.join(smallest, "root"), "digest")
 
 
 def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.9999, seed: int = 17) -> DataFrame:
@@ -409,8 +420,9 @@ def one_text_of_each(
     while {key, digest} & set(docs.columns):
         key, digest = f"{key}_", f"{digest}_"
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(_has_word())
-    member = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
-    first = _classed(base, threshold, size, recall, seed).groupBy("root").agg(F.min(member).alias("first"))
+    # A class gives the row of its smallest id, one of those without id where it has no other.
+    member = F.struct(F.col("rep").isNull().alias("last"), F.col("rep").alias("doc_id"), "digest")
+    first = _linked(base, threshold, size, recall, seed)[1].groupBy("root").agg(F.min(member).alias("first"))
     first = first.select(F.col("first.doc_id").alias(key), F.col("first.digest").alias(digest))
     own = F.col("doc_id").cast("long")
     rows = docs.where(_has_word())
