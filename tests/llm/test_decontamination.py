@@ -275,7 +275,7 @@ def test_the_driver_holds_the_sketch_once(docs, spark):
     assert peak < 1.5 * sketch.nbytes
 
 
-def test_the_driver_factors_by_blocks_of_rows(monkeypatch):
+def test_the_driver_holds_few_copies_of_the_basis(monkeypatch):
     """The basis of many columns takes a few times its own size on the driver, beside the sketch."""
     from tierline.llm import decontamination
 

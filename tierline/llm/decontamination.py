@@ -244,20 +244,6 @@ def _sketch(docs: DataFrame, idf: np.ndarray, place: np.ndarray, rows: int, colu
     return total.ravel()[: rows * columns].reshape(rows, columns)
 
 
-def _orthogonal(y: np.ndarray, rows: int = 2_048) -> np.ndarray:
-    """Orthonormal columns that span those of `y`, by blocks of rows, as numpy factors a copy in double precision."""
-    if len(y) <= rows:
-        return np.linalg.qr(y)[0].astype(np.float32)
-    out, upper = [], []
-    for a in range(0, len(y), rows):
-        q, r = np.linalg.qr(y[a : a + rows].astype(np.float64))
-        out.append(q.astype(np.float32))
-        upper.append(r)
-    turn = np.linalg.qr(np.vstack(upper))[0].astype(np.float32)
-    at = np.cumsum([0, *[len(r) for r in upper]])
-    return np.concatenate([q @ turn[i:j] for q, i, j in zip(out, at, at[1:])])
-
-
 def fitted(docs: DataFrame, idf: np.ndarray, parts: Parts, rank: int = RANK, seed: int = 17) -> Basis:
     """The basis by a randomised SVD of the items and all passages of the documents.
 
@@ -314,14 +300,19 @@ def fitted(docs: DataFrame, idf: np.ndarray, parts: Parts, rank: int = RANK, see
     for _ in range(4):
         mine = np.zeros((m, k), np.float32)
         back(mine, *own, q)
-        mine *= np.float32(scale)
+        # Added up in place, and let go of before numpy makes the copies that it factors.
+        mine = scale * mine
         mine += sketch.T @ (sketch @ q)
-        q = _orthogonal(mine)
+        del q
+        q = np.linalg.qr(mine)[0].astype(np.float32)
     y, mine = sketch @ q, np.zeros((k, k), np.float32)
     gram(mine, *own, q)
     _, turn = np.linalg.eigh(y.T @ y + scale * mine)
-    del sketch
-    return Basis(idf, parts, columns, _orthogonal((q @ turn[:, ::-1]).astype(np.float32))[:, :rank])
+    turned = q @ turn[:, ::-1]
+    del sketch, q
+    directions = np.linalg.qr(turned)[0][:, :rank].astype(np.float32)
+    del turned
+    return Basis(idf, parts, columns, directions)
 
 
 def common(a: list[int], b: list[int]) -> int:
