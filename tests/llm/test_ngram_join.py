@@ -148,8 +148,8 @@ def test_recall_at_the_depth_that_splits_reach(docs, monkeypatch):
 
 
 def test_one_text_of_each_joins_classes_not_rows(docs):
-    """Groups are named by their classes; their plan has the links, the roots and the rows that are kept, each once."""
+    """Groups are named by their classes; their plan has the roots and the rows that are kept, each once."""
     text = " ".join(f"w{i}" for i in range(30))
     frame = one_text_of_each(docs([(4, text, "s"), (2, text + " x", "s"), (None, text, "s"), (9, "one other text of words", "s")]))
-    assert frame._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 3
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
     assert sorted(r.doc_id for r in frame.collect()) == [2, 9]
